@@ -25,7 +25,7 @@ _NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def to_date_or_null(c) -> Column:
     """ISO text -> DATE; impossible or out-of-range dates -> NULL."""
-    d = F.try_to_date(as_col(c), F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(as_col(c), "yyyy-MM-dd")
     return F.when(d.between(F.lit(PANDAS_MIN_DATE), F.lit(PANDAS_MAX_DATE)), d)
 
 

@@ -23,6 +23,10 @@ ENVELOPE_COLUMNS = ["parse_status", "parse_error", "text_len", "embedded_text_le
                     "used_ocr", "text_source", "text_source_reason", "extracted_pages",
                     "parsed_at"]
 ID_COLUMNS = ["no_servicio", "cuenta", "rmu", "rpu", "medidor"]
+# Column order of the flat bills table (parsed_at last).
+BILL_COLUMNS = [c for c in FIELD_COLUMNS if c != "historico_rows"] + INDEX_COLUMNS + [
+    "parse_status", "parse_error", "text_len", "embedded_text_len", "used_ocr",
+    "text_source", "text_source_reason", "extracted_pages"]
 
 
 def parse_bills(index: DataFrame, pages: DataFrame,

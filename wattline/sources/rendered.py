@@ -165,7 +165,9 @@ def history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("del "), start_txt, F.lit(" al "), es_date_text(he), F.lit(" "),
         _fmt0(F.floor(F.col("l_quantity") * 100)), F.lit(" $"),
         _fmt2(F.col("l_extendedprice")), F.lit(" $"), _fmt2(pagos))
-    order = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    # Line order; rows equal on all of these render the same line.
+    order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+                     "l_extendedprice", "l_returnflag")
     return (li.groupBy(F.col("l_orderkey").alias("okey"))
             .agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), line.alias("l"))))
                  .alias("_ls"))
