@@ -347,7 +347,7 @@ t AS (
   SELECT mall_folder, recibos_subgroup, medidor, count(kwh) AS bills_count,
     (floor((coalesce(sum(kwh), 0.0)) * 1e6 + 0.5) / 1e6) AS kwh_sum, (floor((avg(kwh)) * 1e6 + 0.5) / 1e6) AS kwh_mean,
     (floor((median(kwh)) * 1e6 + 0.5) / 1e6) AS kwh_median, (floor((coalesce(sum(imp), 0.0)) * 1e2 + 0.5) / 1e2) AS importe_sum,
-    (floor((avg(imp)) * 1e2 + 0.5) / 1e2) AS importe_mean, (floor((avg(mxn)) * 1e6 + 0.5) / 1e6) AS mxn_per_kwh_mean,
+    (floor((avg(imp)) * 1e6 + 0.5) / 1e6) AS importe_mean, (floor((avg(mxn)) * 1e6 + 0.5) / 1e6) AS mxn_per_kwh_mean,
     (floor((median(mxn)) * 1e6 + 0.5) / 1e6) AS mxn_per_kwh_median,
     min(TRY_CAST(periodo_inicio AS DATE)) AS d0, max(TRY_CAST(periodo_fin AS DATE)) AS d1
   FROM x GROUP BY ALL

@@ -141,7 +141,7 @@ def q_run_counters(spark, sf_dir):
 
 # ---- rollups -----------------------------------------------------------------
 
-_MONEY = {"importe_sum": 2, "importe_mean": 2}
+_MONEY = {"importe_sum": 2, "importe_mean": 6}
 _RATIO = {"kwh_mean_bill": 6, "mxn_per_kwh_mean": 6, "kwh_mean": 6,
           "kwh_median": 6, "mxn_per_kwh_median": 6, "kwh_sum": 6}
 
