@@ -101,9 +101,15 @@ def parse_es_date(c, whole: bool = False) -> Column:
     )
 
 
-def detect_document_type(text) -> Column:
-    """Ordered utility signals -> struct(source_utility, document_type)."""
-    t = F.upper(F.coalesce(as_col(text), F.lit("")))
+def detect_document_type(text, upper_text=None) -> Column:
+    """Ordered utility signals -> struct(source_utility, document_type).
+
+    Pass ``upper_text`` (an already upper-cased column) when the caller has
+    one: Spark does not share subexpressions across ``CASE WHEN`` branches,
+    so an inline ``upper`` would run once per signal.
+    """
+    t = as_col(upper_text) if upper_text is not None else \
+        F.upper(F.coalesce(as_col(text), F.lit("")))
 
     def pair(u, d):
         return F.struct(F.lit(u).alias("source_utility"), F.lit(d).alias("document_type"))

@@ -10,6 +10,7 @@ list, not new code.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -117,29 +118,33 @@ HISTORY_FIELDS = ["periodo_inicio_raw", "periodo_fin_raw", "periodo_inicio",
 
 
 def history_rows(text) -> Column:
-    """The consumption-history table as ``array<struct>``, in text order.
+    """The consumption-history rows of a text as ``array<string>``.
 
     The section starts after the first heading and ends at the first footer
-    marker; every row match inside it becomes one struct of strings.
+    marker; each element is one whole row match, in text order. The groups
+    are read later by ``history_row_fields`` in a plain projection (after
+    ``posexplode``), where Spark generates code and shares subexpressions;
+    inside a lambda it would re-run the row regex for every use.
     """
     parts = F.split(as_col(text), PAT_HIST_START, 2)
     tail = F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
     section = F.split(tail, PAT_HIST_STOP, 2).getItem(0)
-    matches = F.regexp_extract_all(section, F.lit(PAT_HIST_ROW), 0)
+    return F.regexp_extract_all(section, F.lit(PAT_HIST_ROW), 0)
 
-    def to_row(m):
-        g = [pystrip(F.regexp_extract(m, PAT_HIST_ROW, i)) for i in range(1, 6)]
-        return F.struct(
-            g[0].alias("periodo_inicio_raw"),
-            g[1].alias("periodo_fin_raw"),
-            _hist_date(g[0]).alias("periodo_inicio"),
-            _hist_date(g[1]).alias("periodo_fin"),
-            num_clean(g[2]).alias("kwh"),
-            num_clean(g[3]).alias("importe"),
-            num_clean(g[4]).alias("pagos_pendientes"),
-        )
 
-    return F.transform(matches, to_row)
+def history_row_fields(m) -> list:
+    """The typed-as-text fields of one history row match ``m``."""
+    m = as_col(m)
+    g = [pystrip(F.regexp_extract(m, PAT_HIST_ROW, i)) for i in range(1, 6)]
+    return [
+        g[0].alias("periodo_inicio_raw"),
+        g[1].alias("periodo_fin_raw"),
+        _hist_date(g[0]).alias("periodo_inicio"),
+        _hist_date(g[1]).alias("periodo_fin"),
+        num_clean(g[2]).alias("kwh"),
+        num_clean(g[3]).alias("importe"),
+        num_clean(g[4]).alias("pagos_pendientes"),
+    ]
 
 
 def extract_fields(df: DataFrame, text_col: str = "text",
@@ -151,45 +156,59 @@ def extract_fields(df: DataFrame, text_col: str = "text",
     kept; callers drop the text right after to keep shuffles narrow).
     """
     text = F.col(text_col)
-    carried = list(keep) if keep is not None else list(df.columns)
-
-    # Projection 1: one regex pass per spec over the long text.
-    raw_cols = []
-    for i, spec in enumerate(specs):
-        group = 1 if len(spec.names) == 1 else 0
-        raw_cols.append(F.regexp_extract(text, spec.pattern, group).alias(f"_raw{i}"))
-    doc = detect_document_type(text).alias("_doc")
-    hist = F.when(
-        detect_document_type(text).getField("document_type") == "cfe_bill",
-        history_rows(text),
-    ).otherwise(F.array().cast(_history_type())).alias("_hist")
-    stage = df.select(*[F.col(c) for c in carried], doc, hist, *raw_cols)
-
-    # Projection 2: groups of multi-group matches, cleaning, fallbacks.
-    values: dict[str, Column] = {}
+    carried = list(keep) if keep is not None else [c for c in df.columns if c != text_col]
+    seen: set = set()
+    primary, fallback = [], []
     for i, spec in enumerate(specs):
-        raw = F.col(f"_raw{i}")
+        (fallback if set(spec.names) & seen else primary).append(i)
+        seen.update(spec.names)
+
+    # Projection 1: one regex pass per primary spec over the long text.
+    def raw_of(i):
+        spec = specs[i]
+        return F.regexp_extract(text, spec.pattern, 1 if len(spec.names) == 1 else 0)
+
+    up = df.select(*[F.col(c) for c in carried], text.alias("_text"),
+                   F.upper(F.coalesce(text, F.lit(""))).alias("_up"))
+    text = F.col("_text")
+    doc = detect_document_type(text, F.col("_up"))
+    hist = F.when(doc.getField("document_type") == "cfe_bill", history_rows(text)) \
+        .otherwise(F.array().cast("array<string>"))
+    stage = up.select(*[F.col(c) for c in carried], "_text", doc.alias("_doc"),
+                      hist.alias("_hist"), *[raw_of(i).alias(f"_raw{i}") for i in primary])
+
+    # Projection 2: groups of multi-group matches, cleaning; a fallback
+    # pattern scans the text only for rows whose earlier value is missing.
+    def groups(i, raw):
+        spec = specs[i]
+        out = []
         for j, name in enumerate(spec.names):
-            if len(spec.names) == 1:
-                g = raw
-            else:
-                g = F.regexp_extract(raw, spec.pattern, j + 1)
+            g = raw if len(spec.names) == 1 else F.regexp_extract(raw, spec.pattern, j + 1)
             v = null_if_empty(pystrip(g))
-            if spec.clean is not None:
-                v = spec.clean(v)
-            values[name] = F.coalesce(values[name], v) if name in values else v
+            out.append((name, spec.clean(v) if spec.clean is not None else v))
+        return out
+
+    values: dict[str, Column] = {}
+    for i in primary:
+        for name, v in groups(i, F.col(f"_raw{i}")):
+            values[name] = v
+    stage2 = stage.select(*[F.col(c) for c in carried], "_text", "_doc", "_hist",
+                          *[v.alias(n) for n, v in values.items()])
+    for i in fallback:
+        spec = specs[i]
+        missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in spec.names])
+        raw = F.when(missing, F.regexp_extract(F.col("_text"), spec.pattern,
+                                               1 if len(spec.names) == 1 else 0))
+        for name, v in groups(i, raw):
+            stage2 = stage2.withColumn(name, F.coalesce(F.col(name), v))
 
     out_cols = [F.col(c) for c in carried]
     out_cols.append(F.col("_doc.source_utility").alias("source_utility"))
     out_cols.append(F.col("_doc.document_type").alias("document_type"))
     for name in FIELD_COLUMNS[2:-3]:
-        out_cols.append(values.get(name, F.lit(None).cast("string")).alias(name))
+        out_cols.append(F.col(name) if name in stage2.columns
+                        else F.lit(None).cast("string").alias(name))
     out_cols.append((F.size("_hist") > 0).alias("tiene_consumo_historico"))
     out_cols.append(F.size("_hist").cast("int").alias("historico_count"))
     out_cols.append(F.col("_hist").alias("historico_rows"))
-    return stage.select(*out_cols)
-
-
-def _history_type():
-    from pyspark.sql import types as T
-    return T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in HISTORY_FIELDS]))
+    return stage2.select(*out_cols)

@@ -45,44 +45,62 @@ def _count_outside(s: Column, keep_class: str) -> Column:
     return F.length(F.regexp_replace(s, "[" + keep_class + "]+", ""))
 
 
-def gate_columns(text, min_chars: int = 80):
-    """G1-G7 as ``(force, reason)`` Columns for one text column."""
+def gate_features(text) -> list:
+    """Per-text gate features (one pass each over the stripped text)."""
     raw = as_col(text)
     s = pystrip(raw)
-    n = F.length(s)
     up = F.upper(s)
-    cid = F.regexp_count(s, F.lit(r"(?U)cid:\d+"))
-    iber_ok = ((up.contains("CATEGOR") & up.contains("TARIF"))
-               | up.contains("DIVISIÓN TARIFARIA") | up.contains("DIVISION TARIFARIA"))
-    hits = sum(up.contains(a).cast("int") for a in STRONG_ANCHORS) + \
-        up.rlike(ANCHOR_SERVICE).cast("int")
-    letters = _count_outside(s, r"^\p{L}")
     allowed = "".join("\\" + ch if ch in "[]\\^-" else ch for ch in GATE_ALLOWED)
-    weird = _count_outside(s, r"\p{L}\p{N}" + allowed)
-    ratio = weird.cast("double") / F.greatest(letters, F.lit(1)).cast("double")
+    return [
+        raw.isNull().alias("_g_null"),
+        F.length(s).alias("_g_len"),
+        F.regexp_count(s, F.lit(r"(?U)cid:\d+")).alias("_g_cid"),
+        up.contains("IBERDROLA").alias("_g_iber"),
+        ((up.contains("CATEGOR") & up.contains("TARIF"))
+         | up.contains("DIVISIÓN TARIFARIA") | up.contains("DIVISION TARIFARIA")).alias("_g_iber_ok"),
+        (sum(up.contains(a).cast("int") for a in STRONG_ANCHORS)
+         + up.rlike(ANCHOR_SERVICE).cast("int")).alias("_g_hits"),
+        _count_outside(s, r"^\p{L}").alias("_g_letters"),
+        _count_outside(s, r"\p{L}\p{N}" + allowed).alias("_g_weird"),
+    ]
+
+
+GATE_FEATURES = ["_g_null", "_g_len", "_g_cid", "_g_iber", "_g_iber_ok", "_g_hits",
+                 "_g_letters", "_g_weird"]
+
+
+def gate_reason(min_chars: int = 80) -> Column:
+    """The ordered rule list over the ``gate_features`` columns."""
+    c = F.col
+    letters1 = F.greatest(c("_g_letters"), F.lit(1))
+    ratio = c("_g_weird").cast("double") / letters1.cast("double")
     # Two places, half-even on the exact quotient.
-    ratio_txt = F.bround(weird.cast("decimal(20,0)") /
-                         F.greatest(letters, F.lit(1)).cast("decimal(20,0)"), 2) \
+    ratio_txt = F.bround(c("_g_weird").cast("decimal(20,0)") / letters1.cast("decimal(20,0)"), 2) \
         .cast("decimal(38,2)").cast("string")
-    reason = (
-        F.when(raw.isNull(), F.lit("none_text"))
-        .when(n < min_chars, F.lit(f"too_short<{min_chars}"))
-        .when(cid >= CID_MAX, F.format_string("cid_garbage(%d)", cid))
-        .when(up.contains("IBERDROLA"),
-              F.when(iber_ok, F.lit("ok_iberdrola")).otherwise(F.lit("iberdrola_missing_anchors")))
-        .when(hits < 2, F.format_string("missing_strong_anchors(%d)", hits))
-        .when((letters > 0) & (ratio > WEIRD_RATIO_MAX), F.concat(F.lit("weird_ratio>"), ratio_txt))
+    return (
+        F.when(c("_g_null"), F.lit("none_text"))
+        .when(c("_g_len") < min_chars, F.lit(f"too_short<{min_chars}"))
+        .when(c("_g_cid") >= CID_MAX, F.format_string("cid_garbage(%d)", c("_g_cid")))
+        .when(c("_g_iber"), F.when(c("_g_iber_ok"), F.lit("ok_iberdrola"))
+              .otherwise(F.lit("iberdrola_missing_anchors")))
+        .when(c("_g_hits") < 2, F.format_string("missing_strong_anchors(%d)", c("_g_hits")))
+        .when((c("_g_letters") > 0) & (ratio > WEIRD_RATIO_MAX),
+              F.concat(F.lit("weird_ratio>"), ratio_txt))
         .otherwise(F.lit("ok"))
     )
-    force = ~reason.isin("ok", "ok_iberdrola")
-    return force, reason
 
 
 def text_gate(df: DataFrame, text_col: str = "text", min_chars: int = 80) -> DataFrame:
-    """Add ``force_ocr`` and ``gate_reason`` for ``text_col``."""
-    force, reason = gate_columns(text_col, min_chars)
-    return df.withColumn("gate_reason", reason).withColumn(
-        "force_ocr", ~F.col("gate_reason").isin("ok", "ok_iberdrola"))
+    """Add ``gate_reason`` and ``force_ocr`` for ``text_col``.
+
+    Features are computed in one projection and the ordered rules read them
+    in the next: Spark does not share subexpressions across the branches of
+    a ``CASE WHEN``, so inlining the features would strip and upper-case
+    the whole text once per rule.
+    """
+    feats = df.select("*", *gate_features(text_col))
+    return feats.select(*df.columns, gate_reason(min_chars).alias("gate_reason")) \
+        .withColumn("force_ocr", ~F.col("gate_reason").isin("ok", "ok_iberdrola"))
 
 
 def choose_text_source(gated: DataFrame, alternate: DataFrame | None,

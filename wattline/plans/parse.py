@@ -14,7 +14,9 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.operators.extract import DEFAULT_SPECS, FIELD_COLUMNS, FieldSpec, extract_fields
+from wattline.operators.extract import (
+    DEFAULT_SPECS, FIELD_COLUMNS, FieldSpec, extract_fields, history_row_fields,
+)
 from wattline.operators.gate import assemble_text, choose_text_source, text_gate
 
 INDEX_COLUMNS = ["file_path", "file_name", "mall_folder", "recibos_subgroup",
@@ -100,8 +102,9 @@ def bill_history(parsed: DataFrame) -> DataFrame:
     rows = parsed.where((F.col("parse_status") == "ok") & (F.col("historico_count") > 0))
     return rows.select(
         *HISTORY_CONTEXT,
-        F.posexplode("historico_rows").alias("historico_idx", "h"),
-    ).select(*HISTORY_CONTEXT, F.col("historico_idx").cast("int").alias("historico_idx"), "h.*")
+        F.posexplode("historico_rows").alias("historico_idx", "_m"),
+    ).select(*HISTORY_CONTEXT, F.col("historico_idx").cast("int").alias("historico_idx"),
+             *history_row_fields(F.col("_m")))
 
 
 def progress_records(parsed: DataFrame) -> DataFrame:
