@@ -40,14 +40,31 @@ def parse_bills(index: DataFrame, pages: DataFrame,
     ``keep_rows`` keeps the ``historico_rows`` array for ``bill_history``.
     """
     emb = assemble_text(pages, max_pages)
-    gated = text_gate(emb, "text", min_chars)
     alt = None
     if alternate_pages is not None:
-        alt = assemble_text(alternate_pages, max_pages, skip_empty=True) \
-            .withColumnRenamed("text", "alt_text")
-    chosen = choose_text_source(gated, alt).withColumn("_found", F.lit(True))
+        alt = assemble_text(alternate_pages, max_pages, skip_empty=True)
+    return parse_texts(index, emb, alt, max_pages, min_chars, specs, keep_rows)
+
+
+def parse_texts(index: DataFrame, texts: DataFrame, alternate_texts: Optional[DataFrame] = None,
+                max_pages: int = 2, min_chars: int = 80,
+                specs: Sequence[FieldSpec] = DEFAULT_SPECS, keep_rows: bool = True,
+                stream: bool = False) -> DataFrame:
+    """Parse from assembled texts (``file_path``, ``text``).
 
-    j = index.select(*INDEX_COLUMNS).join(chosen, "file_path", "left")
+    Batch: every index row gives one output row (a file without text is an
+    error row). ``stream=True``: ``texts`` is a stream and drives the join
+    (stream-static), so only arrived documents produce rows.
+    """
+    gated = text_gate(texts, "text", min_chars)
+    alt = None
+    if alternate_texts is not None:
+        alt = alternate_texts.withColumnRenamed("text", "alt_text")
+    chosen = choose_text_source(gated, alt).withColumn("_found", F.lit(True))
+    if stream:
+        j = chosen.join(index.select(*INDEX_COLUMNS), "file_path", "inner")
+    else:
+        j = index.select(*INDEX_COLUMNS).join(chosen, "file_path", "left")
     found = F.col("_found").isNotNull()
     empty = found & (F.col("text_len") == 0)
     ok = found & ~empty
