@@ -277,8 +277,54 @@ def _q4(num: str, den: str) -> str:
             f"THEN 1 ELSE 0 END) AS DOUBLE) / 10000 END")
 
 
+def _doc_gate() -> str:
+    """The gate rules in DuckDB/RE2 over ``documents`` (independent dialect)."""
+    from wattline.functions.text import PY_WHITESPACE
+    ws = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+    return f"""
+WITH d AS (SELECT doc_id, text, trim(text, {ws}) AS s FROM documents),
+f AS (
+  SELECT doc_id, text IS NULL AS is_null, length(s) AS n,
+    len(regexp_extract_all(s, 'cid:[0-9]+')) AS cid, upper(s) AS up,
+    length(regexp_replace(s, '[^\\pL]', '', 'g')) AS letters,
+    length(regexp_replace(s, '[\\pL\\pN \\n\\r\\t.,:;/\\-_()\\[\\]$%+°º''"]', '', 'g')) AS weird
+  FROM d
+),
+g AS (
+  SELECT *, CAST(contains(up, 'TARIFA') AS INTEGER) + CAST(contains(up, 'CUENTA') AS INTEGER)
+      + CAST(contains(up, 'MEDIDOR') AS INTEGER) + CAST(contains(up, 'RPU') AS INTEGER)
+      + CAST(regexp_matches(up, 'NO\\.?\\s+DE\\s+SERVICIO') AS INTEGER) AS hits,
+    (weird * 100) // greatest(letters, 1) AS q0, (weird * 100) % greatest(letters, 1) AS r0
+  FROM f
+),
+h AS (
+  SELECT *, q0 + CASE WHEN 2 * r0 > greatest(letters, 1)
+                        OR (2 * r0 = greatest(letters, 1) AND q0 % 2 = 1) THEN 1 ELSE 0 END AS q
+  FROM g
+),
+r AS (
+  SELECT *, CASE
+    WHEN is_null THEN 'none_text'
+    WHEN n < 80 THEN 'too_short<80'
+    WHEN cid >= 50 THEN 'cid_garbage(' || cid || ')'
+    WHEN contains(up, 'IBERDROLA') THEN CASE WHEN (contains(up, 'CATEGOR') AND contains(up, 'TARIF'))
+         OR contains(up, 'DIVISIÓN TARIFARIA') OR contains(up, 'DIVISION TARIFARIA')
+         THEN 'ok_iberdrola' ELSE 'iberdrola_missing_anchors' END
+    WHEN hits < 2 THEN 'missing_strong_anchors(' || hits || ')'
+    WHEN letters > 0 AND CAST(weird AS DOUBLE) / letters > 0.35
+      THEN 'weird_ratio>' || (q // 100) || '.' || lpad(CAST(q % 100 AS VARCHAR), 2, '0')
+    ELSE 'ok' END AS gate_reason
+  FROM h
+)
+SELECT doc_id, gate_reason, CAST(n AS BIGINT) AS text_len, CAST(cid AS BIGINT) AS cid,
+  CAST(hits AS BIGINT) AS anchor_hits, CAST(letters AS BIGINT) AS letters,
+  CAST(weird AS BIGINT) AS weird, gate_reason NOT IN ('ok', 'ok_iberdrola') AS force_ocr
+FROM r"""
+
+
 def oracle_queries() -> dict:
     q = {}
+    q["document_gate"] = _doc_gate()
     q["bill_listing"] = WITH + """
 SELECT file_path, file_name FROM paths WHERE cls <> 11"""
     q["path_metadata"] = WITH + """

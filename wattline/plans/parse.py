@@ -1,9 +1,10 @@
 """Files + page texts -> parsed bills and history rows.
 
 One lazy plan per call: page assembly (shuffle by ``file_path``), gate,
-alternate-text join (co-partitioned with the assembly), the index join and
-one wide projection for all fields. The text column is dropped right after
-extraction, so nothing wide reaches a later shuffle, cache or write.
+alternate-text join (co-partitioned with the assembly), one wide projection
+for all fields, then the join with the index. The text column is dropped
+right after extraction, so nothing wide reaches a sort, a later shuffle, a
+cache or a write.
 Every listed file gives exactly one row: problems become ``parse_status``
 values (``error:<Type>``), never a failed task.
 """
@@ -60,44 +61,41 @@ def parse_texts(index: DataFrame, texts: DataFrame, alternate_texts: Optional[Da
     alt = None
     if alternate_texts is not None:
         alt = alternate_texts.withColumnRenamed("text", "alt_text")
-    chosen = choose_text_source(gated, alt).withColumn("_found", F.lit(True))
+    chosen = choose_text_source(gated, alt)
+    # Extract before the index join: the join then moves only short fields,
+    # and the wide text never reaches a sort or a second exchange.
+    carried = ["file_path", "gate_reason", "embedded_text_len", "used_ocr", "text_source",
+               "text_len"]
+    ex = extract_fields(chosen.withColumn("text", F.when(F.col("text_len") > 0, F.col("text"))),
+                        "text", specs, keep=carried).withColumn("_found", F.lit(True))
     if stream:
-        j = chosen.join(index.select(*INDEX_COLUMNS), "file_path", "inner")
+        j = ex.join(index.select(*INDEX_COLUMNS), "file_path", "inner")
     else:
-        j = index.select(*INDEX_COLUMNS).join(chosen, "file_path", "left")
+        j = index.select(*INDEX_COLUMNS).join(ex, "file_path", "left")
     found = F.col("_found").isNotNull()
     empty = found & (F.col("text_len") == 0)
-    ok = found & ~empty
-    staged = j.select(
-        *INDEX_COLUMNS,
-        F.when(ok, F.col("text")).alias("text"),
-        F.when(~found, F.lit("error:FileNotFoundError"))
-         .when(empty, F.lit("error:ValueError")).otherwise(F.lit("ok")).alias("parse_status"),
-        F.when(~found, F.col("file_path"))
-         .when(empty, F.lit("empty_text_after_ocr")).otherwise(F.lit("")).alias("parse_error"),
-        F.coalesce(F.col("text_len"), F.lit(0)).cast("int").alias("text_len"),
-        F.coalesce(F.col("embedded_text_len"), F.lit(0)).cast("int").alias("embedded_text_len"),
-        F.coalesce(F.col("used_ocr"), F.lit(False)).alias("used_ocr"),
-        F.coalesce(F.col("text_source"), F.lit("pdfplumber")).alias("text_source"),
-        F.coalesce(F.col("gate_reason"), F.lit("init")).alias("text_source_reason"),
-    )
-    carried = [c for c in staged.columns if c != "text"]
-    parsed = extract_fields(staged, "text", specs, keep=carried)
-    is_ok = F.col("parse_status") == "ok"
+    is_ok = found & ~empty
     fields = []
     for c in FIELD_COLUMNS:
         if c == "historico_count":
             fields.append(F.when(is_ok, F.col(c)).otherwise(F.lit(0)).alias(c))
         elif c == "historico_rows":
             if keep_rows:
-                fields.append(F.col(c))
+                fields.append(F.when(is_ok, F.col(c)).alias(c))
         else:
             fields.append(F.when(is_ok, F.col(c)).alias(c))
-    return parsed.select(
+    return j.select(
         *fields,
         *INDEX_COLUMNS,
-        "parse_status", "parse_error", "text_len", "embedded_text_len", "used_ocr",
-        "text_source", "text_source_reason",
+        F.when(~found, F.lit("error:FileNotFoundError"))
+         .when(empty, F.lit("error:ValueError")).otherwise(F.lit("ok")).alias("parse_status"),
+        F.when(~found, F.col("file_path"))
+         .when(empty, F.lit("empty_text_after_ocr")).otherwise(F.lit("")).alias("parse_error"),
+        F.coalesce(F.col("text_len"), F.lit(0)).cast("int").alias("text_len"),
+        F.coalesce(F.col("embedded_text_len"), F.lit(0)).cast("int").alias("embedded_text_len"),
+        F.coalesce(F.col("used_ocr"), F.lit(False)).alias("used_ocr"),
+        F.coalesce(F.col("text_source"), F.lit("pdfplumber")).alias("text_source"),
+        F.coalesce(F.col("gate_reason"), F.lit("init")).alias("text_source_reason"),
         F.lit(max_pages).cast("int").alias("extracted_pages"),
         F.current_timestamp().alias("parsed_at"),
     )

@@ -17,7 +17,9 @@ from wattline.operators.fingerprints import (
     mall_fingerprints, mall_rollup, meter_profile, tariff_pivot, tariff_shares,
     tenant_fingerprints,
 )
-from wattline.operators.gate import assemble_text, choose_text_source, text_gate
+from wattline.operators.gate import (
+    assemble_text, choose_text_source, gate_features, gate_reason, text_gate,
+)
 from wattline.operators.history import history_features
 from wattline.operators.paths import build_index, read_listing, sort_paths
 from wattline.operators.profile import describe, histogram, row_count_and_columns, \
@@ -107,6 +109,19 @@ def q_text_gate(spark, sf_dir):
                                    "text_source", "embedded_text_len", "text_len"))
 
 
+def q_document_gate(spark, sf_dir):
+    """G1-G7 over the whole texts of the ``documents`` table, with features."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    feats = docs.select("doc_id", *gate_features("text"))
+    out = feats.select(
+        "doc_id", gate_reason(80).alias("gate_reason"),
+        F.col("_g_len").alias("text_len"), F.col("_g_cid").alias("cid"),
+        F.col("_g_hits").alias("anchor_hits"), F.col("_g_letters").alias("letters"),
+        F.col("_g_weird").alias("weird"))
+    return compare_types(out.withColumn(
+        "force_ocr", ~F.col("gate_reason").isin("ok", "ok_iberdrola")))
+
+
 # ---- parse -------------------------------------------------------------------
 
 def q_parse_bills(spark, sf_dir):
@@ -261,6 +276,7 @@ QUERIES = {
     "first_paths": q_first_paths,
     "assemble_text": q_assemble_text,
     "text_gate": q_text_gate,
+    "document_gate": q_document_gate,
     "parse_bills": q_parse_bills,
     "bill_history": q_bill_history,
     "history_features": q_history_features,
