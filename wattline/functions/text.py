@@ -90,15 +90,18 @@ def parse_es_date(c, whole: bool = False) -> Column:
     """
     s = F.upper(pystrip(as_col(c)))
     pat = r"(?U)^(\d{1,2})\s+([A-ZÁÉÍÓÚÑ]{3})\s+(\d{2,4})" + ("$" if whole else "")
-    dd = (F.regexp_extract(s, pat, 1)).try_cast("int")
-    mon = F.regexp_extract(s, pat, 2)
-    yy = (F.regexp_extract(s, pat, 3)).try_cast("int")
-    mm = F.array_position(F.array(*[F.lit(m) for m in MONTHS_ES]), mon)
-    year = F.when(yy < 100, yy + 2000).otherwise(yy)
-    return F.when(
-        (mon != "") & (mm > 0) & dd.isNotNull() & yy.isNotNull(),
-        F.format_string("%04d-%02d-%02d", year, mm.cast("int"), dd),
-    )
+    # No CASE WHEN: NULL propagates through concat, so every piece is
+    # evaluated once per row (Spark shares subexpressions only outside
+    # conditional branches).
+    dd = F.regexp_extract(s, pat, 1).try_cast("int")
+    yy = F.regexp_extract(s, pat, 3).try_cast("int")
+    mm = F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS_ES]),
+                                   F.regexp_extract(s, pat, 2)), F.lit(0))
+    year = yy + F.when(yy < 100, F.lit(2000)).otherwise(F.lit(0))
+
+    def pad(x, n):
+        return F.lpad(x.cast("string"), n, "0")
+    return F.concat(pad(year, 4), F.lit("-"), pad(mm, 2), F.lit("-"), pad(dd, 2))
 
 
 def detect_document_type(text, upper_text=None) -> Column:

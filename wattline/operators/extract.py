@@ -163,22 +163,13 @@ def extract_fields(df: DataFrame, text_col: str = "text",
         (fallback if set(spec.names) & seen else primary).append(i)
         seen.update(spec.names)
 
-    # Projection 1: one regex pass per primary spec over the long text.
-    def raw_of(i):
+    # Projection 1: one regex pass per primary spec over the long text; a
+    # fallback pattern scans the text only where its primary value is
+    # missing (the guard shares the primary match with its own column).
+    def raw_of(i, txt):
         spec = specs[i]
-        return F.regexp_extract(text, spec.pattern, 1 if len(spec.names) == 1 else 0)
+        return F.regexp_extract(txt, spec.pattern, 1 if len(spec.names) == 1 else 0)
 
-    up = df.select(*[F.col(c) for c in carried], text.alias("_text"),
-                   F.upper(F.coalesce(text, F.lit(""))).alias("_up"))
-    text = F.col("_text")
-    doc = detect_document_type(text, F.col("_up"))
-    hist = F.when(doc.getField("document_type") == "cfe_bill", history_rows(text)) \
-        .otherwise(F.array().cast("array<string>"))
-    stage = up.select(*[F.col(c) for c in carried], "_text", doc.alias("_doc"),
-                      hist.alias("_hist"), *[raw_of(i).alias(f"_raw{i}") for i in primary])
-
-    # Projection 2: groups of multi-group matches, cleaning; a fallback
-    # pattern scans the text only for rows whose earlier value is missing.
     def groups(i, raw):
         spec = specs[i]
         out = []
@@ -188,19 +179,35 @@ def extract_fields(df: DataFrame, text_col: str = "text",
             out.append((name, spec.clean(v) if spec.clean is not None else v))
         return out
 
-    values: dict[str, Column] = {}
+    up = df.select(*[F.col(c) for c in carried], text.alias("_text"),
+                   F.upper(F.coalesce(text, F.lit(""))).alias("_up"))
+    text = F.col("_text")
+    doc = detect_document_type(text, F.col("_up"))
+    hist = F.when(doc.getField("document_type") == "cfe_bill", history_rows(text)) \
+        .otherwise(F.array().cast("array<string>"))
+    first_of = {}
     for i in primary:
+        for name in specs[i].names:
+            first_of.setdefault(name, i)
+    stage1 = [raw_of(i, text).alias(f"_raw{i}") for i in primary]
+    for i in fallback:
+        missing = []
+        for name in specs[i].names:
+            k = first_of[name]
+            val = dict(groups(k, raw_of(k, text)))[name]
+            missing.append(val.isNull())
+        guard = reduce(lambda a, b: a | b, missing)
+        stage1.append(F.when(guard, raw_of(i, text)).alias(f"_raw{i}"))
+    stage = up.select(*[F.col(c) for c in carried], doc.alias("_doc"), hist.alias("_hist"),
+                      *stage1)
+
+    # Projection 2: groups of multi-group matches, cleaning, fallbacks.
+    values: dict[str, Column] = {}
+    for i in primary + fallback:
         for name, v in groups(i, F.col(f"_raw{i}")):
-            values[name] = v
-    stage2 = stage.select(*[F.col(c) for c in carried], "_text", "_doc", "_hist",
+            values[name] = F.coalesce(values[name], v) if name in values else v
+    stage2 = stage.select(*[F.col(c) for c in carried], "_doc", "_hist",
                           *[v.alias(n) for n, v in values.items()])
-    for i in fallback:
-        spec = specs[i]
-        missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in spec.names])
-        raw = F.when(missing, F.regexp_extract(F.col("_text"), spec.pattern,
-                                               1 if len(spec.names) == 1 else 0))
-        for name, v in groups(i, raw):
-            stage2 = stage2.withColumn(name, F.coalesce(F.col(name), v))
 
     out_cols = [F.col(c) for c in carried]
     out_cols.append(F.col("_doc.source_utility").alias("source_utility"))
