@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "wattline") -> SparkSession:
     """Local session for tests and the bench (UI off, AQE on, UTC)."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
@@ -20,8 +20,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("WATTLINE_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if os.environ.get("WATTLINE_EVENT_LOG"):
+        builder = builder.config("spark.eventLog.enabled", "true") \
+            .config("spark.eventLog.dir", os.environ["WATTLINE_EVENT_LOG"])
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
