@@ -1,5 +1,6 @@
 import os
 import sys
+import uuid
 
 import pytest
 
@@ -18,9 +19,9 @@ def spark():
 
 
 @pytest.fixture()
-def scratch(spark, tmp_path_factory):
-    """A fresh folder under the session's checkpoint folder."""
+def scratch(spark):
+    """A fresh, never reused folder under the session's checkpoint folder."""
     base = checkpoint_dir(spark)
-    d = os.path.join(base, "tests", tmp_path_factory.mktemp("t").name)
+    d = os.path.join(base, "tests", uuid.uuid4().hex)
     os.makedirs(d, exist_ok=True)
     return d

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from wattline.operators.gate import assemble_text
 from wattline.operators.paths import build_index
-from wattline.plans.incremental import incremental_parse, read_progress
+from wattline.plans.incremental import current_bills, incremental_parse, read_progress
 from wattline.plans.parse import bills_table, parse_bills
 from wattline.sources.rendered import ROOT, render_bills
 from wattline.streaming.stream import stream_parse
@@ -83,6 +83,9 @@ def test_incremental_two_runs_equal_one(spark, scratch):
     assert r1["processed"] == a.where("parse_status = 'ok'").count()
     prog = read_progress(spark, f"{two}/progress")
     assert prog.select("file_path").distinct().count() == idx.count()
+    cur = current_bills(spark, two).select(*cols)
+    assert cur.count() == idx.count()
+    assert a.exceptAll(cur).count() == 0 and cur.exceptAll(a).count() == 0
     h1 = spark.read.parquet(f"{one}/history_v2").drop("parsed_at")
     h2 = spark.read.parquet(f"{two}/history_v2").drop("parsed_at")
     assert h1.count() == h2.count() and h1.exceptAll(h2).count() == 0

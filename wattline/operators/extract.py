@@ -132,10 +132,21 @@ def history_rows(text) -> Column:
     return F.regexp_extract_all(section, F.lit(PAT_HIST_ROW), 0)
 
 
-def history_row_fields(m) -> list:
-    """The typed-as-text fields of one history row match ``m``."""
+def history_row_groups(m) -> list:
+    """The five stripped groups of one history row match ``m`` (text)."""
     m = as_col(m)
-    g = [pystrip(F.regexp_extract(m, PAT_HIST_ROW, i)) for i in range(1, 6)]
+    return [pystrip(F.regexp_extract(m, PAT_HIST_ROW, i)).alias(f"_h{i}") for i in range(1, 6)]
+
+
+def history_row_fields() -> list:
+    """Fields of a history row from the ``_h1``..``_h5`` group columns.
+
+    Kept in a projection of its own after ``history_row_groups``: the
+    cleaners use their input more than once (inside conditionals, where Spark
+    shares no subexpressions), so feeding them attributes keeps the row
+    regex at one run per group.
+    """
+    g = [F.col(f"_h{i}") for i in range(1, 6)]
     return [
         g[0].alias("periodo_inicio_raw"),
         g[1].alias("periodo_fin_raw"),

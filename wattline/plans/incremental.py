@@ -10,6 +10,7 @@ lost executor only re-runs tasks, and a failed run leaves no partial table.
 """
 from __future__ import annotations
 
+import uuid
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +104,7 @@ def incremental_parse(spark: SparkSession, index: DataFrame, pages: DataFrame,
         skipped = skipped_df.count()
     mode = "overwrite" if fresh else "append"
     parsed = parse_bills(todo, pages, alternate_pages, max_pages)
-    run_dir = f"{out_dir}/_runs/{spark.sparkContext.applicationId}-{spark.sparkContext.startTime}"
+    run_dir = f"{out_dir}/_runs/{uuid.uuid4().hex}"
     parsed.write.mode("overwrite").parquet(run_dir)
     stored = spark.read.parquet(run_dir)
     stored.write.mode(mode).parquet(f"{out_dir}/parsed")
@@ -118,3 +119,16 @@ def incremental_parse(spark: SparkSession, index: DataFrame, pages: DataFrame,
     c = stored.agg(F.count_if(F.col("parse_status") == "ok").alias("processed"),
                    F.count_if(F.col("parse_status") != "ok").alias("errors")).first()
     return {"processed": c["processed"], "errors": c["errors"], "skipped": skipped}
+
+
+def current_bills(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The latest attempt per file of an appended ``bills`` table.
+
+    A resumed run appends retried files next to their earlier error rows;
+    this view keeps each file's most recent row. The group per file holds
+    one row per attempt, so it stays small whatever the table size.
+    """
+    b = spark.read.parquet(f"{out_dir}/bills")
+    latest = b.groupBy("file_path").agg(
+        F.max_by(F.struct(*[F.col(c) for c in b.columns]), F.col("parsed_at")).alias("_r"))
+    return latest.select("_r.*")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators.extract import (
     DEFAULT_SPECS, FIELD_COLUMNS, FieldSpec, extract_fields, history_row_fields,
+    history_row_groups,
 )
 from wattline.operators.gate import assemble_text, choose_text_source, text_gate
 
@@ -119,7 +120,8 @@ def bill_history(parsed: DataFrame) -> DataFrame:
         *HISTORY_CONTEXT,
         F.posexplode("historico_rows").alias("historico_idx", "_m"),
     ).select(*HISTORY_CONTEXT, F.col("historico_idx").cast("int").alias("historico_idx"),
-             *history_row_fields(F.col("_m")))
+             *history_row_groups(F.col("_m"))
+    ).select(*HISTORY_CONTEXT, "historico_idx", *history_row_fields())
 
 
 def progress_records(parsed: DataFrame) -> DataFrame:
