@@ -1,6 +1,4 @@
 """G1-G8 borders and X0-X24 on hand-written texts."""
-from pyspark.sql import functions as F
-
 from wattline.operators.extract import extract_fields
 from wattline.operators.gate import assemble_text, text_gate
 

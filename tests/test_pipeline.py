@@ -1,8 +1,5 @@
 """End-to-end properties: SQL oracle at sf0.001, one row per file, two-run
 incremental = one run, stream = batch, partition-count independence."""
-import os
-import time
-
 import duckdb
 import pytest
 from pyspark.sql import functions as F

@@ -1,6 +1,5 @@
 """A1-A13 on small hand-made bill tables (missing keys, ties, empty groups)."""
 import numpy as np
-from pyspark.sql import functions as F
 
 from wattline.operators.fingerprints import (
     mall_fingerprints, mall_rollup, meter_profile, tariff_pivot, tariff_shares,

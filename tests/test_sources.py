@@ -1,7 +1,6 @@
 """S1 listing over a real folder tree, S3 CSV read, S6 progress log, P1 paths."""
 import os
 
-from pyspark.sql import functions as F
 
 from wattline.operators.paths import bill_listing, build_index
 from wattline.plans.incremental import done_files, read_bills_csv, read_progress

@@ -7,9 +7,8 @@ lengths and digests come from an SQL rendering of the same layout.
 """
 from __future__ import annotations
 
-NL = "chr(10)"
+from wattline.plans.parse import BILL_COLUMNS
 
-from wattline.plans.parse import BILL_COLUMNS  # noqa: E402
 MONTHS = "['ENE','FEB','MAR','ABR','MAY','JUN','JUL','AGO','SEP','OCT','NOV','DIC']"
 
 
