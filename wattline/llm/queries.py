@@ -1,15 +1,32 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattline.llm import exact_dedup, sharding
+from wattline.llm import exact_dedup, line_windows, mixing, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_read(spark, sf_dir, "documents")).drop("repeats")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_output(_read(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_windows.dedup_lines(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.size("removed").alias("n_ranges"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "text")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("row")
 
@@ -18,12 +35,23 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), n_shards=24)
 
 
-QUERIES = {
-    "op7_exact_dedup": op7_exact_dedup,
-    "op8_sharding": op8_sharding,
-}
+QUERIES = {f.__name__: f for f in (op1_mixing, op4_token_files, op6_line_windows, op7_exact_dedup, op8_sharding)}
 
 ORACLE_SQL = {
+    "op6_line_windows": """
+        WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+        w AS (SELECT doc_id, p, ls[p] || chr(10) || ls[p + 1] || chr(10) || ls[p + 2] AS w
+              FROM d, unnest(range(1, len(ls) - 1)) AS t(p)),
+        later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (
+                    PARTITION BY md5(w) ORDER BY doc_id, p) AS r FROM w) WHERE r > 1),
+        gone AS (SELECT doc_id, list_sort(list_distinct(flatten(list([p, p + 1, p + 2])))) AS g FROM later GROUP BY doc_id),
+        r AS (SELECT d.doc_id, d.text, len(ls) AS n_lines, coalesce(g, []) AS g,
+                     CASE WHEN g IS NULL THEN d.text ELSE array_to_string(
+                       [ls[i] FOR i IN range(1, len(ls) + 1) IF NOT list_contains(g, i)], chr(10)) END AS clean
+              FROM d LEFT JOIN gone USING (doc_id))
+        SELECT doc_id, n_lines, len(g) AS n_removed,
+               len([i FOR i IN g IF NOT list_contains(g, i - 1)]) AS n_ranges,
+               sha256(clean) AS text_sha256, clean AS text FROM r""",
     "op7_exact_dedup": """
         WITH d AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
