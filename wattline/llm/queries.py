@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import exact_dedup, line_windows, mixing, sharding, token_files
+from wattline.llm import exact_dedup, language_mix, line_windows, mixing, sharding, token_files, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,18 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).drop("repeats")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.withColumn("spans", F.transform("spans", lambda s: F.array(s["start"], s["stop"])))
+
+
+def op3_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return language_mix.identify(docs, language_mix.fit(docs))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(_read(spark, sf_dir, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -35,7 +47,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), n_shards=24)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_token_files, op6_line_windows, op7_exact_dedup, op8_sharding)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_language_mix, op4_token_files, op6_line_windows, op7_exact_dedup, op8_sharding)}
 
 ORACLE_SQL = {
     "op6_line_windows": """
