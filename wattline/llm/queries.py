@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bag_minhash, exact_dedup, language_mix, line_windows, mixing, sharding, token_files, toxicity
+from wattline.llm import bag_minhash, exact_dedup, language_mix, line_windows, mixing, nn_descent, sharding, token_files, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(_read(spark, sf_dir, "embeddings"))[0]
+
+
 def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_windows.dedup_lines(_read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.size("removed").alias("n_ranges"),
@@ -51,7 +55,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_dedup(_read(spark, sf_dir, "documents")).drop("bag")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_language_mix, op4_token_files, op6_line_windows, op7_exact_dedup, op8_sharding,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_language_mix, op4_token_files, op5_nn_descent, op6_line_windows, op7_exact_dedup, op8_sharding,
                                  op10_bag_minhash)}
 
 ORACLE_SQL = {
