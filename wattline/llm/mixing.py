@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_REPEATS = 2
 #: Rows of one (source, length) that are ranked together, on average.
-ROWS_PER_BUCKET = 5_000
+ROWS_PER_BUCKET = 500
 #: Mean documents whose words the dynamic programme fits; the rest is shared by length first.
 FITTED_DOCS = 32
 #: A document's words are the runs without ASCII white space.
