@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bag_minhash, exact_dedup, language_mix, line_windows, mixing, nn_descent, sharding, token_files, toxicity
+from wattline.llm import bag_minhash, exact_dedup, language_mix, line_windows, mixing, nn_descent, piece_lattice, sharding, token_files, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -51,11 +51,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_lattice.load_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_lattice.digest(piece_lattice.encode(_read(spark, sf_dir, "documents"), model), model)
+
+
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_dedup(_read(spark, sf_dir, "documents")).drop("bag")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_language_mix, op4_token_files, op5_nn_descent, op6_line_windows, op7_exact_dedup, op8_sharding,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_language_mix, op4_token_files, op5_nn_descent, op6_line_windows, op7_exact_dedup, op8_sharding, op9_piece_lattice,
                                  op10_bag_minhash)}
 
 ORACLE_SQL = {
