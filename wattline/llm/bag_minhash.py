@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import stored, text_or_empty
+from wattline.llm.common import row_mark, stored, text_or_empty
 from wattline.llm.components import connected_components
 
 SHINGLE = 5
@@ -183,9 +183,9 @@ def _words(text: str) -> Column:
 
 
 def bags(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, bag, words): the bag names the sequence of words, so copies share it."""
-    rows = docs.select(F.col(key).alias("doc_id"), _words(text).alias("words"))
-    return rows.select("doc_id", F.unhex(F.md5(F.array_join("words", " "))).alias("bag"),
+    """(doc_id, mark, bag, words): the bag names the sequence of words, so copies share it."""
+    rows = docs.select(F.col(key).alias("doc_id"), row_mark(key, text).alias("mark"), _words(text).alias("words"))
+    return rows.select("doc_id", "mark", F.unhex(F.md5(F.array_join("words", " "))).alias("bag"),
                        F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
 
 
@@ -209,12 +209,12 @@ def _lists(rows: list[np.ndarray] | np.ndarray) -> pa.ListArray:
 
 def _sign_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, n_rows, words, n in _pieces(batch, 3):
+        for lo, n_rows, words, n in _pieces(batch, 4):
             shingles, count = shingle_hashes(words, n)
             keys = band_keys(sign(*weigh(shingles, count), n_rows))
             keys = [k if c else k[:0] for k, c in zip(keys, count)]
-            yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, n_rows) for i in range(3)] + [_lists(keys)],
-                                             ["row", "doc_id", "bag", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, n_rows) for i in range(4)] + [_lists(keys)],
+                                             ["row", "doc_id", "mark", "bag", "bands"])
 
 
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,9 +225,10 @@ def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, doc_id, bag, bands) of every document; ``row`` numbers the rows of the stored table."""
-    rows = bags(docs, key, text).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "bag", "words")
-    return stored(rows.mapInArrow(_sign_rows, "row long, doc_id long, bag binary, bands array<long>"), "sketch")
+    """(row, doc_id, mark, bag, bands) of every document; ``row`` numbers the rows of the stored table."""
+    rows = bags(docs, key, text).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
+                                         "mark", "bag", "words")
+    return stored(rows.mapInArrow(_sign_rows, "row long, doc_id long, mark binary, bag binary, bands array<long>"), "sketch")
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
@@ -288,7 +289,7 @@ def _element_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> Dat
 
 
 def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, n_texts, kept, bag.
+    """One row per document: doc_id, class_id, class_size, n_texts, kept, mark.
 
     ``class_id`` is the smallest doc_id of the class, ``n_texts`` the number of
     its different texts; the kept document is the one with that id.
@@ -307,14 +308,14 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
     classes = nodes.join(labels, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
-    members = stored(rows.select("row", "doc_id", "bag").join(classes, "bag"), "members")
+    members = stored(rows.select("row", "doc_id", "mark", "bag").join(classes, "bag"), "members")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     sizes = members.groupBy("class").agg(first.alias("first"), F.count("*").alias("class_size"))
     texts = classes.groupBy("class").agg(F.count("*").alias("n_texts"))
     sizes = stored(sizes.join(texts, "class"), "classes")
     return members.join(sizes, "class").select(
         "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", "n_texts",
-        (F.col("row") == F.col("first.row")).alias("kept"), "bag")
+        (F.col("row") == F.col("first.row")).alias("kept"), "mark")
 
 
 def _wanted(pairs: DataFrame) -> DataFrame:

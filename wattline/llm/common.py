@@ -8,7 +8,10 @@ write are fixed for every later reader.
 """
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_process(kind: str, name: str, make: Callable[[], object]) -> object:
+    """An object that the tasks of one Python worker process share; one name of a kind is held at a time."""
+    held = sys.modules.setdefault("wattline_worker_state", types.ModuleType("wattline_worker_state"))
+    if getattr(held, kind, (None, None))[0] != name:
+        setattr(held, kind, (name, make()))
+    return getattr(held, kind)[1]
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -47,3 +58,23 @@ def bucket_offsets(counts: DataFrame, keys: list[str], bucket: str, n: str, out:
     """
     w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn(out, F.coalesce(F.sum(n).over(w), F.lit(0).cast("long")))
+
+
+def row_mark(key: str, text: str) -> Column:
+    """128 bits that stand for a document's row: its doc_id and its whole text, either of them null or not."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")),
+                                  F.coalesce(F.concat(F.lit("\t"), F.col(text)), F.lit("")))))
+
+
+def apply_decisions(docs: DataFrame, decisions: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) that ``decisions`` (mark, repeats) keeps, ``repeats`` times each.
+
+    Rows that share a mark are equal in doc_id and text: the first of them by
+    the hash of all columns stands for all.
+    """
+    kept = decisions.groupBy("mark").agg(F.sum("repeats").cast("int").alias("__repeats")) \
+        .where("__repeats > 0").withColumnRenamed("mark", "__mark")
+    rows = docs.withColumn("__mark", row_mark(key, text)).join(kept, "__mark")
+    rank = F.row_number().over(Window.partitionBy("__mark").orderBy(F.xxhash64(*docs.columns)))
+    rows = rows.withColumn("__rank", rank).where("__rank = 1")
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from wattline.llm.common import stored, text_or_empty
+from wattline.llm.common import row_mark, stored, text_or_empty
 
 #: Characters in a block.
 BLOCK = 4096
@@ -43,21 +43,20 @@ def normalised(col: str):
 
 
 def _blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, doc_id, sha, n, idx, block, digest): whole texts cut into blocks."""
+    """(row, head, n, idx, block, digest): whole texts cut into blocks; the first one carries the row's head."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"),
-                       normalised(text).alias("norm"))
-    rows = rows.select("row", "doc_id", F.unhex(F.sha2("norm", 256)).alias("sha"),
+                       row_mark(key, text).alias("mark"), normalised(text).alias("norm"))
+    rows = rows.select("row", F.struct("doc_id", "mark", F.unhex(F.sha2("norm", 256)).alias("sha")).alias("head"),
                        F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % BLOCK), F.lit(0)).alias("blocks"))
-    rows = rows.select("row", "doc_id", "sha", F.greatest(F.size("blocks"), F.lit(1)).alias("n"),
+    rows = rows.select("row", "head", F.greatest(F.size("blocks"), F.lit(1)).alias("n"),
                        F.posexplode_outer("blocks").alias("idx", "block"))
     first = F.coalesce(F.col("idx"), F.lit(0)) == 0
-    return rows.select("row", F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.col("sha")).alias("sha"),
-                       "n", F.coalesce("idx", F.lit(0)).alias("idx"), F.coalesce("block", F.lit("")).alias("block")) \
+    return rows.select("row", F.when(first, F.col("head")).alias("head"), "n", F.coalesce("idx", F.lit(0)).alias("idx"), F.coalesce("block", F.lit("")).alias("block")) \
         .withColumn("digest", F.xxhash64("block"))
 
 
 def name_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, doc_id, sha, n, idx, name): the blocks of every document, named."""
+    """(row, head, n, idx, name): the blocks of every document, named."""
     blocks = _blocks(docs, key, text)
     counts = stored(blocks.groupBy("digest").agg(F.count("*").alias("rows")), "block-counts")
     limit = (counts.agg(F.sum("rows")).first()[0] or 0) // HOT_SHARE
@@ -71,11 +70,11 @@ def name_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = blocks.join(F.broadcast(hot), "digest", "left")
     is_hot = F.coalesce(F.col("block") == F.col("hot_block"), F.lit(False))
     rows = rows.select(
-        "row", "doc_id", "sha", "n", "idx", F.when(is_hot, F.col("hot_name")).alias("hot_name"),
+        "row", "head", "n", "idx", F.when(is_hot, F.col("hot_name")).alias("hot_name"),
         F.when(~is_hot, F.col("block")).alias("block"),
         F.pmod(F.when(is_hot, F.xxhash64("row", "idx")).otherwise(F.col("digest")), F.lit(BUCKETS)).alias("bucket"))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("block"))
-    return stored(rows.select("row", "doc_id", "sha", "n", "idx", F.coalesce(
+    return stored(rows.select("row", "head", "n", "idx", F.coalesce(
         "hot_name", F.shiftleft(F.col("bucket"), 42) + rank).alias("name")), "named-blocks")
 
 
@@ -87,9 +86,9 @@ def _name_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def identities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, doc_id, sha, n, name): equal (n, name) if and only if the texts are equal."""
+    """(row, head, n, name): equal (n, name) if and only if the texts are equal."""
     named = name_blocks(docs, key, text)
-    done = named.where("n = 1").select("row", "doc_id", "sha", "n", "name")
+    done = named.where("n = 1").select("row", "head", "n", "name")
     longest = named.agg(F.max("n")).first()[0] or 0
     current = named.where("n > 1").select("row", "n", "idx", "name", F.col("n").alias("left_over"))
     whole = None
@@ -109,15 +108,16 @@ def identities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         longest = (longest + 1) // 2
     if whole is None:
         return done
-    heads = named.where("n > 1 and idx = 0").select("row", "doc_id", "sha")
-    return done.unionByName(heads.join(whole, "row").select("row", "doc_id", "sha", "n", "name"))
+    heads = named.where("n > 1 and idx = 0").select("row", "head")
+    return done.unionByName(heads.join(whole, "row").select("row", "head", "n", "name"))
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, mark (see ``row_mark``)."""
     ids = stored(identities(docs, key, text), "identities")
+    ids = ids.select("row", "head.*", "n", "name")
     last = F.max(F.struct("doc_id", "row"))
     groups = stored(ids.groupBy("n", "name").agg(last.alias("keep"), F.count("*").alias("group_size")), "groups")
     return ids.join(groups, ["n", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "row")
+        (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "mark")

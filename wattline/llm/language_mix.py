@@ -15,6 +15,7 @@ an empty result; without anything to learn from all is ``und``.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattline.llm.common import text_or_empty, unit_hash
+from wattline.llm.common import per_process, unit_hash
 from wattline.llm.token_files import slices
 
 UNKNOWN = "und"
@@ -197,29 +199,42 @@ class Identifier:
         return self.rows[ids]
 
 
-def _identify_rows(model: LanguageModel):
+def _identify_rows(model: LanguageModel, text_at: int, keep: list[int]):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identifier = Identifier(model)
+        identifier = per_process("identifier", name, lambda: Identifier(model))
         for batch in batches:
             lo = 0
-            for texts in slices(batch.column(batch.num_columns - 1).to_pylist()):
-                lang, score, top, sets = identifier.identify(texts)
+            for texts in slices(batch.column(text_at).to_pylist()):
+                lang, score, top, sets = identifier.identify([t or "" for t in texts])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(lo, len(texts)) for k in range(batch.num_columns - 1)]
+                    [batch.column(k).slice(lo, len(texts)) for k in keep]
                     + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(top, pa.float64()),
                        pa.array(sets, pa.list_(pa.string()))],
-                    [*batch.schema.names[:-1], "lang_pred", "score", "share", "languages"])
+                    [batch.schema.names[k] for k in keep] + ["__lang", "__score", "__share", "__set"])
                 lo += len(texts)
     return run
 
 
+_FOUND = "__lang string, __score double, __share double, __set array<string>"
+
+
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, share, languages."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_identify_rows(model), "doc_id long, held_out boolean, lang_pred string, score double, "
-                                                  "share double, languages array<string>")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
+    found = rows.mapInArrow(_identify_rows(model, 2, [0, 1]), f"doc_id long, held_out boolean, {_FOUND}")
+    return found.select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"),
+                        F.col("__share").alias("share"), F.col("__set").alias("languages"))
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose texts aren't rejected; no shuffle."""
+    fields = T.StructType(docs.schema.fields + T._parse_datatype_string(_FOUND).fields)
+    found = docs.mapInArrow(_identify_rows(model, docs.columns.index(text), list(range(len(docs.columns)))), fields)
+    return found.where(~rejected("__lang", "__share")).select(*docs.columns)
 
 
-def rejected() -> Column:
-    """Whether a predicted row names no language that holds its text."""
-    return (F.col("lang_pred") == UNKNOWN) | (F.col("share") < LEAST_SHARE)
+def rejected(lang: str = "lang_pred", share: str = "share") -> Column:
+    """Whether no language holds a text: it has no letter, or its largest share is below LEAST_SHARE."""
+    return (F.col(lang) == UNKNOWN) | (F.col(share) < LEAST_SHARE)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import bucket_offsets, stored, text_or_empty, unit_hash
+from wattline.llm.common import bucket_offsets, row_mark, stored, text_or_empty, unit_hash
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -131,8 +131,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET) ->
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, seed: int = 1, key: str = "doc_id",
         text: str = "text", source: str = "source") -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, repeats, taken."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"),
+    """One row per document: doc_id, size, source, source_size, target, taken, repeats, mark."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), row_mark(key, text).alias("mark"),
                        F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long").alias("size"))
     rows = stored(rows.withColumn("u", unit_hash(seed, "doc_id", "size")), "sizes")
     lengths = stored(rows.groupBy("source", "size").agg(F.count("*").alias("docs")), "lengths")
@@ -156,11 +156,11 @@ def _pick(rows: DataFrame, plan: DataFrame) -> DataFrame:
     big = rows.where(F.col("docs") > ROWS_PER_BUCKET).groupBy(*group, "bucket").agg(F.count("*").alias("n"))
     before = bucket_offsets(big, group, "bucket", "n", "before").select(
         F.col("source").alias("b_source"), F.col("size").alias("b_size"), F.col("bucket").alias("b_bucket"), "before")
-    rank = F.row_number().over(Window.partitionBy(*group, "bucket").orderBy("u", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy(*group, "bucket").orderBy("u", "doc_id", "mark"))
     ranked = rows.withColumn("rank", rank).join(
         before, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("size") == F.col("b_size"))
         & (F.col("bucket") == F.col("b_bucket")), "left")
     picked = F.coalesce("before", F.lit(0)) + F.col("rank") <= F.col("extra")
     repeats = F.col("passes") + picked.cast("int")
     return ranked.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"),
-                         "source", repeats.alias("repeats"))
+                         "source", repeats.alias("repeats"), "mark")

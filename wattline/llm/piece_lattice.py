@@ -376,8 +376,8 @@ def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def digest(encoded: DataFrame, model: PieceModel) -> DataFrame:
-    """doc_id, n_ids, ids_crc32 (little-endian 32-bit ids), and whether decoding gives the text back."""
+def digest(encoded: DataFrame, model: PieceModel, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_ids, ids_crc32 (little-endian 32-bit ids), whether decoding gives the text back, and ids if asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_bytes(model)
         for batch in batches:
@@ -388,6 +388,6 @@ def digest(encoded: DataFrame, model: PieceModel) -> DataFrame:
                 crc.append(zlib.crc32(values[a:b].astype("<u4").tobytes()))
                 same.append(decode_ids(values[a:b], table, table) == text.replace(MARK, " "))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
-                ["doc_id", "n_ids", "ids_crc32", "decoded"])
-    return encoded.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded boolean")
+                [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+                + [lists] * with_ids, ["doc_id", "n_ids", "ids_crc32", "decoded"] + ["ids"] * with_ids)
+    return encoded.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded boolean" + ", ids array<int>" * with_ids)

@@ -13,7 +13,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_read(spark, sf_dir, "documents")).drop("repeats")
+    return mixing.mix(_read(spark, sf_dir, "documents")).drop("repeats", "mark")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("row")
+    return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("mark")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bag_minhash.near_dedup(_read(spark, sf_dir, "documents")).drop("bag")
+    return bag_minhash.near_dedup(_read(spark, sf_dir, "documents")).drop("mark")
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_language_mix, op4_token_files, op5_nn_descent, op6_line_windows, op7_exact_dedup, op8_sharding, op9_piece_lattice,

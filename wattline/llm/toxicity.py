@@ -22,6 +22,7 @@ every score is 0.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import text_or_empty, unit_hash
+from wattline.llm.common import per_process, text_or_empty, unit_hash
 from wattline.llm.token_files import slices
 
 #: Labelled documents (expected number) to learn from, per label; longer ones than CHARS aren't taken.
@@ -343,8 +344,10 @@ SPAN_TYPE = "array<struct<start:int,stop:int,marginal:double>>"
 
 
 def _score_rows(model: Crf | None):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model) if model else None
+        scorer = per_process("scorer", name, lambda: Scorer(model)) if model else None
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("marginal", pa.float64())]))
         for batch in batches:
             lo = 0
