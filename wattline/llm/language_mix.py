@@ -206,8 +206,8 @@ def _identify_rows(model: LanguageModel, text_at: int, keep: list[int]):
         identifier = per_process("identifier", name, lambda: Identifier(model))
         for batch in batches:
             lo = 0
-            for texts in slices(batch.column(text_at).to_pylist()):
-                lang, score, top, sets = identifier.identify([t or "" for t in texts])
+            for texts in slices([t or "" for t in batch.column(text_at).to_pylist()]):
+                lang, score, top, sets = identifier.identify(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(lo, len(texts)) for k in keep]
                     + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(top, pa.float64()),
@@ -230,9 +230,11 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) whose texts aren't rejected; no shuffle."""
-    fields = T.StructType(docs.schema.fields + T._parse_datatype_string(_FOUND).fields)
-    found = docs.mapInArrow(_identify_rows(model, docs.columns.index(text), list(range(len(docs.columns)))), fields)
-    return found.where(~rejected("__lang", "__share")).select(*docs.columns)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    fields = T.StructType(plain.schema.fields + T._parse_datatype_string(_FOUND).fields)
+    found = plain.mapInArrow(_identify_rows(model, names.index(text), list(range(len(names)))), fields)
+    return found.where(~rejected("__lang", "__share")).select(*plain.columns).toDF(*names)
 
 
 def rejected(lang: str = "lang_pred", share: str = "share") -> Column:
