@@ -47,9 +47,18 @@ def _hist_date(c):
 
 
 # The bill layout patterns (Java form of the layout's regexes).
+# Quantifiers are possessive wherever what follows can't match what they
+# repeat, so runs of blanks are scanned once; tests/test_patterns.py holds the
+# plain forms and compares them.
 _D = r"[0-9]{1,2}\s+[A-ZÁÉÍÓÚÑ]{3}\s+[0-9]{2,4}"
 _N = r"([0-9][0-9,\.]*)"
-PAT_CLIENTE = CIM + r"^\s*([A-ZÁÉÍÓÚÑ0-9\.\-&,/ ]+?)\s+TOTAL\s+A\s+PAGAR\s*:"
+_NAME = r"[A-ZÁÉÍÓÚÑ0-9\.\-&,/"
+_TOTAL = r"TOTAL\s++A\s++PAGAR\s*+"
+# A match begins where a run of white space does, so the run is read once; it
+# must hold a line start. The second branch is a name of blanks only.
+_LINE_START = r"(?<!\s)(?:\A|[^\S\n]*+\n)"
+PAT_CLIENTE = (CIM + _LINE_START + r"(?:\s*+(" + _NAME + r"]" + _NAME + r" ]*?)(?<! )\s++" + _TOTAL + r":"
+               + r"|(?=[^ \S]*+[ ]\s)\s*+" + _TOTAL + r":)")
 PAT_NO_SERVICIO = CI + r"NO\.\s*DE\s*SERVICIO\s*:\s*([0-9 \-]+)"
 PAT_CUENTA = CI + r"CUENTA\s*:\s*([A-Z0-9 \-]+)"
 PAT_RMU = CI + r"RMU\s*:\s*([0-9 \-]+)"
@@ -63,20 +72,20 @@ PAT_MEDIDOR = CI + r"\bMEDIDOR\s*:\s*([A-Z0-9\- ]+)\b"
 PAT_MULTIPLICADOR = CI + r"\bMULTIPLICADOR\s*:\s*([0-9\.,]+)\b"
 PAT_NO_HILOS = CI + r"\bNO\s+HILOS\s*:\s*([0-9]+)\b"
 PAT_ENERGY = CI + r"Energ[ií]a\s*\(kWh\)\s*" + _N + r"\s+" + _N + r"\s+" + _N
-PAT_KWH_ANY = CI + _N + r"\s*kWh\b"
-PAT_IMPORTE = CI + r"TOTAL\s+A\s+PAGAR\s*:?\s*[\r\n]*\s*\$?\s*" + _N
+PAT_KWH_ANY = CI + r"(?<![0-9])(?<![0-9][,\.])([0-9][0-9,\.]*+)\s*+kWh\b"
+PAT_IMPORTE = CI + _TOTAL + r":?+\s*+\$?+\s*+" + _N
 PAT_CARGO_FIJO = CI + r"Cargo\s+Fijo.*?\s" + _N
 PAT_SUBTOTAL_ENERGIA = CI + r"\bEnerg[ií]a\b\s+" + _N
 PAT_SUBTOTAL = CI + r"\bSubtotal\b\s+" + _N
 PAT_IVA = CI + r"\bIVA\b\s+\d+%?\s+" + _N
 PAT_FAC_PERIODO = CI + r"Fac\.\s*del\s*Periodo\s+" + _N
-PAT_TOTAL_LINEA = CIM + r"^\s*Total\s+" + _N + r"\s*$"
+PAT_TOTAL_LINEA = CIM + _LINE_START + r"\s*+Total\s++([0-9][0-9,\.]*+)\s*$"
 PAT_HIST_START = r"(?iUd)CONSUMO\s+HIST[ÓO]RICO"
 PAT_HIST_STOP = (r"(?iUd)(Datos\s+Fiscales|Cadena\s+Original|Instancias\s+y\s+recursos"
                  r"|Este\s+documento|-2-)")
-PAT_HIST_ROW = (r"(?iUd)del\s+(\d{1,2}\s+[A-ZÁÉÍÓÚÑ]{3}\s+\d{2,4})\s+al\s+"
-                r"(\d{1,2}\s+[A-ZÁÉÍÓÚÑ]{3}\s+\d{2,4})\s+"
-                r"([0-9][0-9,\.]*)\s+\$?\s*([0-9][0-9,\.]*)\s+\$?\s*([0-9][0-9,\.]*)")
+PAT_HIST_ROW = (r"(?iUd)del\s++(\d{1,2}\s++[A-ZÁÉÍÓÚÑ]{3}\s++\d{2,4})\s++al\s++"
+                r"(\d{1,2}\s++[A-ZÁÉÍÓÚÑ]{3}\s++\d{2,4})\s++"
+                r"([0-9][0-9,\.]*+)\s++(?:\$\s*+)?+([0-9][0-9,\.]*+)\s++(?:\$\s*+)?+([0-9][0-9,\.]*)")
 
 DEFAULT_SPECS: Sequence[FieldSpec] = (
     _spec("cliente_nombre", PAT_CLIENTE),
@@ -103,7 +112,7 @@ DEFAULT_SPECS: Sequence[FieldSpec] = (
     _spec("total_linea", PAT_TOTAL_LINEA, num_clean),
 )
 
-# Output order of the flat record (the envelope adds its own columns).
+# Output order of the flat record (the envelope adds its own columns).
 FIELD_COLUMNS = [
     "source_utility", "document_type", "cliente_nombre", "no_servicio", "cuenta",
     "rmu", "rpu", "limite_pago", "corte_a_partir", "periodo_inicio", "periodo_fin",
@@ -113,6 +122,7 @@ FIELD_COLUMNS = [
     "tiene_consumo_historico", "historico_count", "historico_rows",
 ]
 
+# Fields of a history row.
 HISTORY_FIELDS = ["periodo_inicio_raw", "periodo_fin_raw", "periodo_inicio",
                   "periodo_fin", "kwh", "importe", "pagos_pendientes"]
 
