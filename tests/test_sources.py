@@ -25,6 +25,9 @@ def test_bill_listing_folder_tree(spark, scratch):
         with open(p, "wb") as fh:
             fh.write(b"%PDF-1.4 x")
     listed = bill_listing(spark, root)
+    for other in (f"file:{root}", f"file://{root}", f"{root}/../root", f"{root}/"):
+        assert listed.exceptAll(bill_listing(spark, other)).count() == 0
+        assert bill_listing(spark, other).count() == listed.count()
     got = sorted(os.path.relpath(r.file_path, root) for r in listed.collect())
     assert got == sorted(k for k, v in FILES.items() if v)
     idx = {os.path.relpath(r.file_path, root): r for r in build_index(listed, root).collect()}

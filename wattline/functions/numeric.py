@@ -19,7 +19,8 @@ PANDAS_MIN_DATE = _dt.date(1677, 9, 22)
 PANDAS_MAX_DATE = _dt.date(2262, 4, 11)
 
 # A plain decimal number the way pandas.to_numeric reads it: optional sign,
-# digits with an optional fraction, optional exponent; also inf / infinity.
+# digits with an optional fraction, optional exponent. Words such as ``inf`` and
+# numbers beyond the range of a double are missing values here.
 _NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -36,7 +37,8 @@ def safe_numeric(c) -> Column:
     ``0x10``); ``nan`` and infinities become NULL (missing).
     """
     s = pystrip(as_col(c).cast("string"))
-    return F.when(s.rlike(_NUMERIC), (s).try_cast("double"))
+    v = F.when(s.rlike(_NUMERIC), s.try_cast("double"))
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
 
 
 def to_num_series(c) -> Column:
@@ -73,11 +75,19 @@ def months_span(first, last) -> Column:
 
 
 def quantize4(num, den) -> Column:
-    """Decimal ``num / den`` rounded half-even to 4 places.
+    """Decimal ``num / den`` rounded half-even to 4 places, exactly.
 
-    NULL when either side is NULL or the denominator is 0. Both sides are
-    decimals, so the quotient is exact to 20 places before the one rounding.
+    NULL when either side is NULL or the denominator is 0, or where the
+    quotient has no room in 38 digits. The quotient of 10,000 ``num`` is split
+    into a whole number and a remainder, and the remainder decides the rounding.
     """
     den = as_col(den)
-    q = F.try_divide(as_col(num), F.when(den != 0, den))
-    return F.bround(q, 4).cast("decimal(18,4)")
+    den = F.when(den != 0, den)
+    scaled = as_col(num) * F.lit(10_000).cast("decimal(5,0)")
+    rest = F.try_mod(scaled, den)
+    whole = F.try_divide(scaled - rest, den).try_cast("decimal(38,0)")
+    twice, size = F.abs(rest) * F.lit(2).cast("decimal(1,0)"), F.abs(den)
+    away = F.when((twice > size) | ((twice == size) & (F.abs(whole) % 2 == 1)), F.lit(1)).otherwise(F.lit(0))
+    sign = F.signum(scaled) * F.signum(den)
+    return F.try_divide((whole + (away * sign).cast("decimal(1,0)")).try_cast("decimal(34,0)"),
+                        F.lit(10_000).cast("decimal(5,0)")).try_cast("decimal(38,4)")

@@ -27,17 +27,23 @@ def assemble_text(pages: DataFrame, max_pages: int = 2, key: str = "file_path",
     ``pages`` has (``key``, ``page_no``, ``text``). The page filter is pushed
     to the scan; a missing page text counts as ``''``; the result is stripped.
     ``skip_empty=True`` leaves empty pages out (how the OCR side joins pages).
-    Each group holds at most ``max_pages`` rows, so no key can grow a group
-    beyond that whatever its share of the input.
+    A page without a key belongs to no document and is left out (count them
+    with ``keyless_pages``). Of pages that repeat a number the largest text
+    counts. Each page number has its own aggregate column, so a document never
+    gathers more than ``max_pages`` texts whatever its share of the input.
     """
-    p = pages.where(F.col("page_no").between(1, max_pages))
+    p = pages.where(F.col("page_no").between(1, max_pages) & F.col(key).isNotNull())
     txt = F.coalesce(F.col("text"), F.lit(""))
     if skip_empty:
         p = p.where(txt != "")
-    agg = p.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("page_no"), txt.alias("t")))).alias("_pages"))
-    return agg.select(
-        key, pystrip(F.array_join(F.col("_pages.t"), "\n")).alias("text"))
+    numbers = range(1, max_pages + 1)
+    agg = p.groupBy(key).agg(*[F.max(F.when(F.col("page_no") == i, txt)).alias(f"_page{i}") for i in numbers])
+    return agg.select(key, pystrip(F.concat_ws("\n", *[f"_page{i}" for i in numbers])).alias("text"))
+
+
+def keyless_pages(pages: DataFrame, key: str = "file_path") -> DataFrame:
+    """How many pages name no document (one row)."""
+    return pages.agg(F.count_if(F.col(key).isNull()).alias("keyless_pages"))
 
 
 def _count_outside(s: Column, keep_class: str) -> Column:
@@ -69,14 +75,30 @@ GATE_FEATURES = ["_g_null", "_g_len", "_g_cid", "_g_iber", "_g_iber_ok", "_g_hit
                  "_g_letters", "_g_weird"]
 
 
+def _two_places(num: Column, den: Column, ratio: Column) -> Column:
+    """The double ``num / den`` with two decimals, rounded by its exact binary value.
+
+    Off a tie the exact quotient decides. On a tie the double lies on one side
+    of it: its halves of at most 27 bits, times 200, are exact, and the sign of
+    what they differ from the odd number 200 ratio stands for tells the side.
+    """
+    hundred = num.cast("long") * 100
+    low, rest = F.floor(hundred / den), hundred % den
+    low = F.when(low * den > hundred, low - 1).otherwise(low)
+    split = ratio * F.lit(134217729.0)
+    high = split - (split - ratio)
+    side = (high * 200 - (low * 2 + 1).cast("double")) + (ratio - high) * 200
+    up = (rest * 2 > den) | ((rest * 2 == den) & ((side > 0) | ((side == 0) & (low % 2 == 1))))
+    value = low + up.cast("long")
+    return F.concat(F.floor(value / 100).cast("string"), F.lit("."), F.lpad((value % 100).cast("string"), 2, "0"))
+
+
 def gate_reason(min_chars: int = 80) -> Column:
     """The ordered rule list over the ``gate_features`` columns."""
     c = F.col
     letters1 = F.greatest(c("_g_letters"), F.lit(1))
     ratio = c("_g_weird").cast("double") / letters1.cast("double")
-    # Two places, half-even on the exact quotient.
-    ratio_txt = F.bround(c("_g_weird").cast("decimal(20,0)") / letters1.cast("decimal(20,0)"), 2) \
-        .cast("decimal(38,2)").cast("string")
+    ratio_txt = _two_places(c("_g_weird"), letters1, ratio)
     return (
         F.when(c("_g_null"), F.lit("none_text"))
         .when(c("_g_len") < min_chars, F.lit(f"too_short<{min_chars}"))
@@ -103,6 +125,11 @@ def text_gate(df: DataFrame, text_col: str = "text", min_chars: int = 80) -> Dat
         .withColumn("force_ocr", ~F.col("gate_reason").isin("ok", "ok_iberdrola"))
 
 
+def forced_only(alternate_pages: DataFrame, gated: DataFrame, key: str = "file_path") -> DataFrame:
+    """The alternate pages of the keys that the gate forces; their texts are the only ones needed."""
+    return alternate_pages.join(gated.where("force_ocr").select(key), key, "left_semi")
+
+
 def choose_text_source(gated: DataFrame, alternate: DataFrame | None,
                        key: str = "file_path", text_col: str = "text") -> DataFrame:
     """Forced rows take the alternate text (``''`` when there is none).
@@ -110,13 +137,14 @@ def choose_text_source(gated: DataFrame, alternate: DataFrame | None,
     Adds ``used_ocr``, ``text_source``, ``embedded_text_len`` and
     ``final_text`` / ``text_len``. ``alternate`` is (``key``, ``alt_text``),
     already assembled; both inputs come out of a group-by on ``key``, so the
-    join needs no extra exchange of the (wide) embedded text.
+    join needs no extra exchange of the (wide) embedded text. Pass it through
+    ``forced_only`` before assembly to read the alternates of forced keys only.
     """
     if alternate is None:
         alt = F.lit(None).cast("string")
         j = gated
     else:
-        j = gated.join(alternate.hint("shuffle_hash"), key, "left")
+        j = gated.join(alternate, key, "left")
         alt = F.col("alt_text")
     force = F.col("force_ocr")
     final = F.when(force, F.coalesce(alt, F.lit(""))).otherwise(F.col(text_col))

@@ -6,6 +6,10 @@ projection with no shuffle until the final sort.
 """
 from __future__ import annotations
 
+import posixpath
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +21,7 @@ YEAR_MIN, YEAR_MAX = 1990, 2035
 def _rel_parts(path: Column, root: str) -> Column:
     """Segments of ``path`` below ``root`` (the leaf file name is the last)."""
     root = root.rstrip("/")
-    rel = F.when(path.startswith(root + "/"), F.substring(path, len(root) + 2, 1 << 30))
+    rel = F.when(path.startswith(root + "/"), F.substr(path, F.lit(len(root) + 2)))
     return F.split(rel, "/")
 
 
@@ -44,14 +48,32 @@ def bill_listing(spark: SparkSession, root: str, bills_folder: str = BILLS_FOLDE
     """List bill PDFs under a real folder tree (``binaryFile``, paths only).
 
     Selecting only ``path`` makes the scan read no file content. Spark skips
-    files and folders whose names start with ``_`` or ``.``.
+    files and folders whose names start with ``_`` or ``.``. The file system
+    may write paths in another form than the caller's root (with a scheme and
+    host, without ``..``), so both are compared by their path part alone; the
+    result starts with that part of the root. Only the bill folders are
+    walked. For millions of files keep a listing table and use ``read_listing``.
     """
-    df = (spark.read.format("binaryFile")
-          .option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.[pP][dD][fF]")
-          .load(root)
-          .select(F.regexp_replace(F.col("path"), "^file:", "").alias("file_path")))
-    return read_listing(df, root, bills_folder)
+    plain = path_part(root)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.[pP][dD][fF]"))
+    try:
+        inside = bills_folder in plain.split("/")
+        df = files.load(root if inside else f"{root.rstrip('/')}/{{{bills_folder},*/{bills_folder}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = files.load(root)  # no bill folder, or no root, which is an error
+    return read_listing(df.select(F.regexp_replace(F.col("path"), SCHEME, "/").alias("file_path")), plain, bills_folder)
+
+
+#: A URI's scheme and host up to the slash that begins its path.
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/"
+
+
+def path_part(root: str) -> str:
+    """A root without scheme and host, normalised (``.``, ``..``, repeated slashes)."""
+    return posixpath.normpath(re.sub("^/+", "/", re.sub(SCHEME, "/", root)))
 
 
 def read_listing(listing: DataFrame, root: str, bills_folder: str = BILLS_FOLDER,

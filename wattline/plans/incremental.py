@@ -1,24 +1,27 @@
 """Tables on storage and the resumable batch run.
 
 The reference resumes by skipping files whose progress log holds an ``ok``
-record. Here the log is an append-only table; the skip is an anti join
-(a broadcast only when AQE measures the done set as small); and a resumed
-run *appends* its rows to the stored tables (the reference overwrote them
-with only the new rows). Outputs go to a folder the caller names (on a
-cluster: shared storage); Spark's job commit makes each write atomic, so a
-lost executor only re-runs tasks, and a failed run leaves no partial table.
+record. Here each run writes its tables into folders named by the run, and the
+progress records last: they are the run's commit. Readers take only the runs
+that have progress records, so a run that failed half-way leaves nothing that
+anyone reads, and the next run parses its files again. The skip is an anti join
+(a broadcast only when AQE measures the done set as small). Outputs go to a
+folder the caller names (on a cluster: shared storage).
 """
 from __future__ import annotations
 
+import time
 import uuid
 from typing import Optional
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.plans.parse import bill_history, bills_table, parse_bills, progress_records
 from wattline.operators.history import history_features
+from wattline.operators.paths import sort_index
+from wattline.plans.parse import INDEX_COLUMNS, bill_history, bills_table, parse_bills, progress_records, run_counters
 
 PROGRESS_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType()),
@@ -32,9 +35,13 @@ PROGRESS_SCHEMA = T.StructType([
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """S6 input: JSON-lines progress log; blank or malformed lines are dropped."""
-    return (spark.read.schema(PROGRESS_SCHEMA).option("mode", "DROPMALFORMED")
-            .json(path))
+    """S6 input: JSON-lines progress log; blank or malformed lines are dropped, a missing log is empty."""
+    try:
+        return spark.read.schema(PROGRESS_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PROGRESS_SCHEMA)
 
 
 def done_files(progress: DataFrame) -> DataFrame:
@@ -75,11 +82,53 @@ def append_progress(progress: DataFrame, path: str) -> None:
     progress.write.mode("append").json(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+#: The end of a fresh run's name.
+FRESH = "-fresh"
+
+
+def write_run(spark: SparkSession, parsed: DataFrame, out_dir: str, run: str) -> DataFrame:
+    """Write one run's tables, the progress records last; returns the stored parse.
+
+    The parse is written once and every other table is derived from that copy,
+    so the text work runs once and the lineage is cut there. Writing the same
+    run again replaces it.
+    """
+    path = f"{out_dir}/parsed/run={run}"
+    parsed.write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(parsed.schema).parquet(path)
+    write_table(sort_index(stored.select(*INDEX_COLUMNS)), f"{out_dir}/index/run={run}")
+    write_table(bills_table(stored), f"{out_dir}/bills/run={run}")
+    write_table(history_features(bill_history(stored)), f"{out_dir}/history_v2/run={run}")
+    progress_records(stored).write.mode("overwrite").json(f"{out_dir}/progress/run={run}")
+    return stored
+
+
+def read_runs(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Progress records of all runs, with their ``run``; none if there is no log yet."""
+    try:
+        return (spark.read.schema(T.StructType(PROGRESS_SCHEMA.fields + [T.StructField("run", T.StringType())]))
+                .option("mode", "DROPMALFORMED").option("basePath", f"{out_dir}/progress").json(f"{out_dir}/progress"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType(PROGRESS_SCHEMA.fields + [T.StructField("run", T.StringType())]))
+
+
+def current_runs(runs: DataFrame) -> DataFrame:
+    """The records from the last fresh run on; the name of a fresh run says so."""
+    last = runs.agg(F.max(F.when(F.col("run").endswith(FRESH), F.col("run"))).alias("last"))
+    return runs.where(F.col("run") >= F.coalesce(last.scalar(), F.lit("")))
+
+
+def committed(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
+    """The rows of a stored table that count: of committed runs, each file's latest attempt.
+
+    Runs are named in the order of their start, and a run attempts a file once.
+    """
+    latest = current_runs(read_runs(spark, out_dir)).groupBy("file_path").agg(F.max("run").alias("run"))
+    rows = spark.read.option("basePath", f"{out_dir}/{table}").parquet(f"{out_dir}/{table}")
+    rows = rows.withColumn("run", F.col("run").cast("string"))
+    return rows.join(latest, ["file_path", "run"], "left_semi").drop("run")
 
 
 def incremental_parse(spark: SparkSession, index: DataFrame, pages: DataFrame,
@@ -87,48 +136,24 @@ def incremental_parse(spark: SparkSession, index: DataFrame, pages: DataFrame,
                       resume: bool = True, fresh: bool = False, max_pages: int = 2) -> dict:
     """Parse what is not yet ``ok`` and add it to the stored tables.
 
-    Layout under ``out_dir``: ``parsed/`` (with the history array),
-    ``bills/``, ``history_v2/`` and ``progress/``. ``fresh`` discards earlier
-    outputs (overwrite); otherwise new rows are appended. The parse result
-    is written once and every other table is derived from that written copy,
-    so the expensive text work runs once and the lineage is cut there.
+    Layout under ``out_dir``: ``index/`` (sorted), ``parsed/`` (with the history
+    array), ``bills/``, ``history_v2/`` and ``progress/``, each by run; read them
+    with ``committed``. With ``resume`` files that are done are skipped; without
+    it all files are parsed again, and their new rows replace the old ones.
+    ``fresh`` also discards what earlier runs found: readers start at it.
     Returns the run counters (processed / errors / skipped).
     """
-    prog_path = f"{out_dir}/progress"
-    todo = index
-    skipped = 0
-    if resume and not fresh and _exists(spark, prog_path):
-        done = done_files(read_progress(spark, prog_path))
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}" + (FRESH if fresh else "")
+    todo, skipped = index, 0
+    if resume and not fresh:
+        done = done_files(current_runs(read_runs(spark, out_dir)))
         todo = index.join(done, "file_path", "left_anti")
-        skipped_df = index.join(done, "file_path", "left_semi")
-        skipped = skipped_df.count()
-    mode = "overwrite" if fresh else "append"
-    parsed = parse_bills(todo, pages, alternate_pages, max_pages)
-    run_dir = f"{out_dir}/_runs/{uuid.uuid4().hex}"
-    parsed.write.mode("overwrite").parquet(run_dir)
-    stored = spark.read.parquet(run_dir)
-    stored.write.mode(mode).parquet(f"{out_dir}/parsed")
-    bills_table(stored).write.mode(mode).parquet(f"{out_dir}/bills")
-    hist = bill_history(stored)
-    history_features(hist).write.mode(mode).parquet(f"{out_dir}/history_v2")
-    prog = progress_records(stored)
-    if fresh:
-        prog.write.mode("overwrite").json(prog_path)
-    else:
-        append_progress(prog, prog_path)
-    c = stored.agg(F.count_if(F.col("parse_status") == "ok").alias("processed"),
-                   F.count_if(F.col("parse_status") != "ok").alias("errors")).first()
+        skipped = index.join(done, "file_path", "left_semi").count()
+    stored = write_run(spark, parse_bills(todo, pages, alternate_pages, max_pages), out_dir, run)
+    c = run_counters(stored).first()
     return {"processed": c["processed"], "errors": c["errors"], "skipped": skipped}
 
 
 def current_bills(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The latest attempt per file of an appended ``bills`` table.
-
-    A resumed run appends retried files next to their earlier error rows;
-    this view keeps each file's most recent row. The group per file holds
-    one row per attempt, so it stays small whatever the table size.
-    """
-    b = spark.read.parquet(f"{out_dir}/bills")
-    latest = b.groupBy("file_path").agg(
-        F.max_by(F.struct(*[F.col(c) for c in b.columns]), F.col("parsed_at")).alias("_r"))
-    return latest.select("_r.*")
+    """The latest committed attempt per file."""
+    return committed(spark, out_dir, "bills")

@@ -19,7 +19,8 @@ from wattline.operators.extract import (
     DEFAULT_SPECS, FIELD_COLUMNS, FieldSpec, extract_fields, history_row_fields,
     history_row_groups,
 )
-from wattline.operators.gate import assemble_text, choose_text_source, text_gate
+from wattline.operators.gate import assemble_text, choose_text_source, forced_only, text_gate
+from wattline.operators.paths import file_name, path_metadata
 
 INDEX_COLUMNS = ["file_path", "file_name", "mall_folder", "recibos_subgroup",
                  "recibos_year_folder", "recibos_year"]
@@ -44,20 +45,23 @@ def parse_bills(index: DataFrame, pages: DataFrame,
     emb = assemble_text(pages, max_pages)
     alt = None
     if alternate_pages is not None:
-        alt = assemble_text(alternate_pages, max_pages, skip_empty=True)
+        forced = forced_only(alternate_pages, text_gate(emb, "text", min_chars))
+        alt = assemble_text(forced, max_pages, skip_empty=True)
     return parse_texts(index, emb, alt, max_pages, min_chars, specs, keep_rows)
 
 
-def parse_texts(index: DataFrame, texts: DataFrame, alternate_texts: Optional[DataFrame] = None,
+def parse_texts(index: Optional[DataFrame], texts: DataFrame, alternate_texts: Optional[DataFrame] = None,
                 max_pages: int = 2, min_chars: int = 80,
                 specs: Sequence[FieldSpec] = DEFAULT_SPECS, keep_rows: bool = True,
-                stream: bool = False) -> DataFrame:
+                root: Optional[str] = None) -> DataFrame:
     """Parse from assembled texts (``file_path``, ``text``).
 
     Batch: every index row gives one output row (a file without text is an
-    error row). ``stream=True``: ``texts`` is a stream and drives the join
-    (stream-static), so only arrived documents produce rows.
+    error row). With a ``root`` instead of an index (a stream of arriving
+    documents) every text gives one row, whose index columns come from its
+    own path. A missing text counts as empty.
     """
+    texts = texts.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
     gated = text_gate(texts, "text", min_chars)
     alt = None
     if alternate_texts is not None:
@@ -69,8 +73,9 @@ def parse_texts(index: DataFrame, texts: DataFrame, alternate_texts: Optional[Da
                "text_len"]
     ex = extract_fields(chosen.withColumn("text", F.when(F.col("text_len") > 0, F.col("text"))),
                         "text", specs, keep=carried).withColumn("_found", F.lit(True))
-    if stream:
-        j = ex.join(index.select(*INDEX_COLUMNS), "file_path", "inner")
+    if root is not None:
+        path = F.col("file_path")
+        j = ex.select("*", file_name(path).alias("file_name"), *path_metadata(path, root))
     else:
         j = index.select(*INDEX_COLUMNS).join(ex, "file_path", "left")
     found = F.col("_found").isNotNull()
