@@ -25,11 +25,28 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/wattline-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a shared Parquet table and return a reader of it."""
+#: The setting that bounds the rows of a batch on its way to a Python worker.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Groups that a collecting aggregate keeps in a hash map before it sorts instead.
+HASH_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+
+
+def stored(df: DataFrame, name: str, **settings: tuple[str, int]) -> DataFrame:
+    """Write ``df`` as a shared Parquet table and return a reader of it.
+
+    ``settings`` (each a Spark setting and its value) hold for this write only,
+    such as smaller batches for rows that hold blocks of vectors.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = {key: spark.conf.get(key) for key, _ in settings.values()}
+    try:
+        for key, value in settings.values():
+            spark.conf.set(key, value)
+        df.write.parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -72,9 +89,8 @@ def apply_decisions(docs: DataFrame, decisions: DataFrame, key: str = "doc_id",
     Rows that share a mark are equal in doc_id and text: the first of them by
     the hash of all columns stands for all.
     """
-    kept = decisions.groupBy("mark").agg(F.sum("repeats").cast("int").alias("__repeats")) \
-        .where("__repeats > 0").withColumnRenamed("mark", "__mark")
-    rows = docs.withColumn("__mark", row_mark(key, text)).join(kept, "__mark")
-    rank = F.row_number().over(Window.partitionBy("__mark").orderBy(F.xxhash64(*docs.columns)))
-    rows = rows.withColumn("__rank", rank).where("__rank = 1")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).select(*docs.columns)
+    kept = decisions.groupBy("mark").agg(F.sum("repeats").cast("int").alias("repeats")).where("repeats > 0")
+    rows = docs.select(row_mark(key, text).alias("mark"), F.struct(*docs.columns).alias("row")).join(kept, "mark")
+    rank = F.row_number().over(Window.partitionBy("mark").orderBy(F.xxhash64("row")))
+    rows = rows.withColumn("rank", rank).where("rank = 1")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select("row.*")

@@ -42,12 +42,12 @@ def normalised(col: str):
     return F.translate(text_or_empty(col), UPPER, LOWER)
 
 
-def _blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _blocks(docs: DataFrame, key: str, text: str, block: int) -> DataFrame:
     """(row, head, n, idx, block, digest): whole texts cut into blocks; the first one carries the row's head."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"),
                        row_mark(key, text).alias("mark"), normalised(text).alias("norm"))
     rows = rows.select("row", F.struct("doc_id", "mark", F.unhex(F.sha2("norm", 256)).alias("sha")).alias("head"),
-                       F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % BLOCK), F.lit(0)).alias("blocks"))
+                       F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % block), F.lit(0)).alias("blocks"))
     rows = rows.select("row", "head", F.greatest(F.size("blocks"), F.lit(1)).alias("n"),
                        F.posexplode_outer("blocks").alias("idx", "block"))
     first = F.coalesce(F.col("idx"), F.lit(0)) == 0
@@ -55,9 +55,9 @@ def _blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
         .withColumn("digest", F.xxhash64("block"))
 
 
-def name_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def name_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """(row, head, n, idx, name): the blocks of every document, named."""
-    blocks = _blocks(docs, key, text)
+    blocks = _blocks(docs, key, text, block)
     counts = stored(blocks.groupBy("digest").agg(F.count("*").alias("rows")), "block-counts")
     limit = (counts.agg(F.sum("rows")).first()[0] or 0) // HOT_SHARE
     hot_digests = counts.where(F.col("rows") > F.lit(max(limit, LEAST_HOT))).select("digest")
@@ -85,9 +85,9 @@ def _name_pairs(pairs: DataFrame) -> DataFrame:
     return stored(names, "pair-names")
 
 
-def identities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def identities(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """(row, head, n, name): equal (n, name) if and only if the texts are equal."""
-    named = name_blocks(docs, key, text)
+    named = name_blocks(docs, key, text, block)
     done = named.where("n = 1").select("row", "head", "n", "name")
     longest = named.agg(F.max("n")).first()[0] or 0
     current = named.where("n > 1").select("row", "n", "idx", "name", F.col("n").alias("left_over"))
@@ -112,9 +112,9 @@ def identities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return done.unionByName(heads.join(whole, "row").select("row", "head", "n", "name"))
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, mark (see ``row_mark``)."""
-    ids = stored(identities(docs, key, text), "identities")
+    ids = stored(identities(docs, key, text, block), "identities")
     ids = ids.select("row", "head.*", "n", "name")
     last = F.max(F.struct("doc_id", "row"))
     groups = stored(ids.groupBy("n", "name").agg(last.alias("keep"), F.count("*").alias("group_size")), "groups")
