@@ -19,6 +19,7 @@ from wattline.operators.fingerprints import mall_fingerprints, mall_rollup, tari
     tenant_fingerprints  # noqa: E402
 from wattline.operators.history import history_features  # noqa: E402
 from wattline.operators.paths import build_index  # noqa: E402
+from wattline.plans.queries import TARIFFS  # noqa: E402
 from wattline.plans.parse import bill_history, bills_table, parse_bills  # noqa: E402
 from wattline.session import local_session  # noqa: E402
 from wattline.sources.rendered import ROOT, render_bills  # noqa: E402
@@ -66,9 +67,9 @@ def main() -> None:
                                .write.format("noop").mode("overwrite").save())
     q["mall_rollup"] = timed(lambda: mall_rollup(bills)
                              .write.format("noop").mode("overwrite").save())
-    q["tariff_pivot"] = timed(lambda: tariff_pivot(bills)
+    q["tariff_pivot"] = timed(lambda: tariff_pivot(bills, TARIFFS)
                               .write.format("noop").mode("overwrite").save())
-    q["mall_fingerprints"] = timed(lambda: mall_fingerprints(bills)
+    q["mall_fingerprints"] = timed(lambda: mall_fingerprints(bills, TARIFFS)
                                    .write.format("noop").mode("overwrite").save())
     n_bills = stored.count()
     total = round(sum(q.values()), 3)

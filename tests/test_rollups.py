@@ -1,3 +1,4 @@
+import pytest
 """A1-A13 on small hand-made bill tables (missing keys, ties, empty groups)."""
 import numpy as np
 
@@ -39,11 +40,16 @@ def test_tariff_shares_and_pivot(spark):
     s1 = {x.tarifa: x.tarifa_share for x in sh if x.recibos_subgroup == "s1"}
     assert s1 == {"PDBT": 1 / 3, "GDBT": 1 / 3, "nan": 1 / 3}
     assert all(x.tarifa_share is None for x in sh if x.recibos_subgroup is None)
-    wide = tariff_pivot(bills(spark))
+    labels = ["GDBT", "PDBT", "nan"]
+    wide = tariff_pivot(bills(spark), labels)
     assert wide.columns == ["mall_folder", "recibos_subgroup", "share_GDBT", "share_PDBT", "share_nan"]
     w = {x.mall_folder: x for x in wide.collect()}
     assert w["m2"].share_nan == 1.0 and w["m2"].share_PDBT == 0.0
-    fp = {(x.mall_folder, x.recibos_subgroup): x for x in mall_fingerprints(bills(spark)).collect()}
+    fp = {(x.mall_folder, x.recibos_subgroup): x for x in mall_fingerprints(bills(spark), labels).collect()}
+    maps = {(x.mall_folder, x.recibos_subgroup): x.tarifa_shares for x in mall_fingerprints(bills(spark)).collect()}
+    assert maps[("m1", "s1")] == s1 and maps[("m1", None)] is None
+    with pytest.raises(Exception, match="not in the list: nan"):
+        mall_fingerprints(bills(spark), labels[:2]).collect()
     assert fp[("m1", None)].share_PDBT is None and fp[("m1", "s1")].share_GDBT == 1 / 3
 
 
@@ -116,3 +122,52 @@ def test_history_features_flags(spark):
     d = r[(None, "1")]
     assert d.pdf_no_servicio_nunique is None and not d.flag_pdf_mixed_no_servicio
     assert d.billing_days == 1
+
+
+def test_many_labels_stay_on_executors(spark):
+    """50,000 free-text labels: no job while the plan is built, one read, whole shares."""
+    df = spark.range(50_000).selectExpr(
+        "'m' AS mall_folder", "concat('s', id % 3) AS recibos_subgroup", "concat('M', id % 100) AS medidor",
+        "'5' AS kwh_total", "'10' AS importe_total", "concat('T', id) AS tarifa")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "plan only")
+    fp = mall_fingerprints(df)
+    assert not list(status.getJobIdsForGroup("build"))
+    spark.sparkContext.setJobGroup("run", "")
+    rows = fp.collect()
+    assert sum(len(r.tarifa_shares) for r in rows) == 50_000
+    assert all(abs(sum(r.tarifa_shares.values()) - 1) < 1e-9 and r.meters == 100 for r in rows)
+    plan = fp._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("wide", [50_000, 40])
+def test_percentiles_against_numpy(spark, monkeypatch, wide):
+    import numpy as np
+    from wattline.operators import percentiles as P
+    monkeypatch.setattr(P, "WIDE", wide)
+    monkeypatch.setattr(P, "CUTS", 7)
+    rng = np.random.default_rng(3)
+    rows = [("hot" if i % 3 else None, int(i % 2), float(rng.choice([1.5, rng.normal()]))) for i in range(900)] + [("hot", 1, None), ("x", 0, 2.0)]
+    df = spark.createDataFrame(rows, "a string, b int, v double").repartition(5)
+    probs = {"p10": 0.1, "p50": 0.5, "p99": 0.99}
+    got = {tuple(r["key"]): r for r in P.percentiles(df, ["a", "b"], "v", probs).collect()}
+    for k in {(a, b) for a, b, v in rows}:
+        v = [x for a, b, x in rows if (a, b) == k and x is not None]
+        for name, p in probs.items():
+            assert abs(got[k][name] - np.quantile(v, p)) < 1e-12
+    one = P.percentiles(df, [], "v", probs).collect()
+    assert len(one) == 1 and abs(one[0]["p50"] - np.median([r[2] for r in rows if r[2] is not None])) < 1e-12
+    assert P.percentiles(df.limit(0), ["a"], "v", probs).count() == 0
+
+
+def test_hot_group_without_meter(spark):
+    """A third of all bills has no meter: exact medians and mode of that group."""
+    import numpy as np
+    rows = [("m", "s", None if i % 3 == 0 else f"M{i % 50}", str(i % 997 + i / 1000), str(i), "A" if i % 4 else "B") for i in range(6000)]
+    df = spark.createDataFrame(rows, "mall_folder string, recibos_subgroup string, medidor string, kwh_total string, "
+                                     "importe_total string, tarifa string").repartition(6)
+    got = [r for r in tenant_fingerprints(df).collect() if r.medidor is None]
+    own = [r for r in rows if r[2] is None]
+    assert len(got) == 1 and got[0].bills_count == len(own) and got[0].tarifa_mode == "A"
+    assert abs(got[0].kwh_median - np.median([float(r[3]) for r in own])) < 1e-9

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattline.functions.numeric import months_span, safe_numeric, to_date_or_null
+from wattline.operators.percentiles import percentiles
 
 MALL_KEYS = ["mall_folder", "recibos_subgroup"]
 TENANT_KEYS = ["mall_folder", "recibos_subgroup", "medidor"]
@@ -29,10 +30,12 @@ def require_columns(df: DataFrame, required: Sequence[str], who: str) -> None:
         raise ValueError(f"{who} missing columns: {missing}")
 
 
-def pick_column(df: DataFrame, candidates: Sequence[str]) -> Optional[str]:
-    """First candidate column that exists."""
-    cols = set(df.columns)
-    return next((c for c in candidates if c in cols), None)
+def first_present(df: DataFrame, candidates: Sequence[str]) -> Optional[str]:
+    """The first of the candidate names that is a column."""
+    for name in candidates:
+        if name in df.columns:
+            return name
+    return None
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -53,10 +56,62 @@ def _typed(bills: DataFrame) -> DataFrame:
         .withColumn("mxn_per_kwh", mxn_per_kwh(F.col("kwh_total"), F.col("importe_total")))
 
 
+def _tariff_meter_groups(bills: DataFrame) -> DataFrame:
+    """Sums by (mall, subgroup) and tariff label (kind 0), and by (mall, subgroup) and meter (kind 1).
+
+    Bills are read and reduced once, by tariff and meter; both groupings work on
+    that small result.
+    """
+    label = F.coalesce(F.col("tarifa").cast("string"), F.lit(NAN_LABEL))
+    x = _typed(bills.select(*MALL_KEYS, "medidor", "kwh_total", "importe_total", label.alias("tarifa")))
+    base = x.groupBy(*MALL_KEYS, "tarifa", "medidor").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("kwh_total").alias("bills"), F.sum("kwh_total").alias("kwh"),
+        F.sum("importe_total").alias("importe"), F.sum("mxn_per_kwh").alias("mxn"), F.count("mxn_per_kwh").alias("mxn_bills"))
+    sums = ["rows", "bills", "kwh", "importe", "mxn", "mxn_bills"]
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("tarifa").alias("name")),
+                    F.struct(F.lit(1).alias("kind"), F.col("medidor").alias("name")))
+    each = base.select(*MALL_KEYS, *sums, F.explode(kinds).alias("k")).select(*MALL_KEYS, *sums, "k.*")
+    return each.groupBy(*MALL_KEYS, "kind", "name").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def _roll_aggregates() -> list:
+    meter = F.col("kind") == 1
+
+    def total(c):
+        return F.sum(F.when(meter, F.col(c)))
+    kwh, importe = F.coalesce(total("kwh"), F.lit(0.0)), F.coalesce(total("importe"), F.lit(0.0))
+    meters = F.count(F.when(meter, F.col("name")))
+    return [
+        total("bills").alias("bills"), meters.alias("meters"), kwh.alias("kwh_sum"),
+        F.try_divide(total("kwh"), total("bills")).alias("kwh_mean_bill"), importe.alias("importe_sum"),
+        F.try_divide(total("mxn"), total("mxn_bills")).alias("mxn_per_kwh_mean"),
+        F.try_divide(kwh, meters).alias("kwh_per_meter"),
+    ]
+
+
+def _keys_present() -> Column:
+    return F.col("mall_folder").isNotNull() & F.col("recibos_subgroup").isNotNull()
+
+
+def _share_columns(tariffs: Sequence[str]) -> list:
+    """One share per listed label over the rows of a group; any other label stops the query."""
+    tariff, total = F.col("kind") == 0, F.sum(F.when(F.col("kind") == 0, F.col("rows")))
+    listed = F.when(~tariff | F.col("name").isin(*tariffs), F.lit(0)).otherwise(
+        F.raise_error(F.concat(F.lit("tariff label not in the list: "), F.col("name"))).cast("int"))
+    # The check is a part of every share (it adds 0), so no plan can leave it out.
+    return [((F.coalesce(F.sum(F.when(tariff & (F.col("name") == t), F.col("rows"))), F.lit(0)) + F.sum(listed)) / total)
+            .alias(f"share_{t}") for t in tariffs]
+
+
+def _share_map() -> Column:
+    tariff, total = F.col("kind") == 0, F.sum(F.when(F.col("kind") == 0, F.col("rows")))
+    counts = F.array_sort(F.collect_list(F.when(tariff, F.struct("name", "rows"))))
+    return F.map_from_entries(F.transform(counts, lambda e: F.struct(e["name"], e["rows"] / total)))
+
+
 def mall_rollup(bills: DataFrame) -> DataFrame:
     """A1 (+P23): one row per (mall, subgroup)."""
-    require_columns(bills, MALL_KEYS + ["medidor", "kwh_total", "importe_total", "tarifa"],
-                    "compute_mall_fingerprints")
+    require_columns(bills, MALL_KEYS + ["medidor", "kwh_total", "importe_total"], "mall rollup")
     x = _typed(bills.select(*MALL_KEYS, "medidor", "kwh_total", "importe_total"))
     out = x.groupBy(*MALL_KEYS).agg(
         F.count("kwh_total").alias("bills"),
@@ -88,95 +143,83 @@ def tariff_shares(bills: DataFrame) -> DataFrame:
     )
 
 
-def tariff_labels(shares: DataFrame) -> list:
-    """Sorted tariff labels seen in groups with both keys present.
-
-    A bounded, enum-like set (one small distinct); capped by
-    ``spark.sql.pivotMaxValues`` like any pivot.
-    """
-    rows = (shares.where(F.col("tarifa_share").isNotNull())
-            .select("tarifa").distinct().collect())
-    return sorted(r[0] for r in rows)
-
+def tariff_pivot(bills: DataFrame, tariffs: Sequence[str]) -> DataFrame:
+    """A4, wide form: ``share_<tariff>`` per (mall, subgroup) for the listed labels; absent tariff = 0.
 
-def tariff_pivot(bills: DataFrame, tariffs: Optional[Sequence[str]] = None) -> DataFrame:
-    """A4: wide ``share_<tariff>`` per (mall, subgroup); absent tariff = 0.
-
-    Only groups with both keys present appear (their shares exist). Pass
-    ``tariffs`` to skip the label lookup and fix the column set.
+    Labels are free text, so the columns are the caller's: a label that isn't
+    listed fails the query. Only groups with both keys present appear.
     """
-    shares = tariff_shares(bills).where(F.col("tarifa_share").isNotNull())
-    values = list(tariffs) if tariffs is not None else tariff_labels(shares)
-    wide = shares.groupBy(*MALL_KEYS).pivot("tarifa", values).agg(F.first("tarifa_share"))
-    wide = wide.fillna(0.0, subset=values) if values else wide
-    return wide.select(*MALL_KEYS, *[F.col(f"`{v}`").alias(f"share_{v}") for v in values])
+    shares = tariff_shares(bills).where(_keys_present())
+    rows = shares.select(*MALL_KEYS, F.lit(0).alias("kind"), F.col("tarifa").alias("name"), F.col("tarifa_bills").alias("rows"))
+    return rows.groupBy(*MALL_KEYS).agg(*_share_columns(tariffs))
 
 
 def tariff_map(bills: DataFrame) -> DataFrame:
-    """A4, map form: (mall, subgroup, shares map) with no dynamic columns."""
-    shares = tariff_shares(bills).where(F.col("tarifa_share").isNotNull())
-    return shares.groupBy(*MALL_KEYS).agg(F.map_from_entries(F.collect_list(
-        F.struct("tarifa", "tarifa_share"))).alias("tarifa_shares"))
+    """A4, map form: (mall, subgroup, shares by label) with no dynamic columns."""
+    shares = tariff_shares(bills).where(_keys_present())
+    return shares.groupBy(*MALL_KEYS).agg(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("tarifa", "tarifa_share")))).alias("tarifa_shares"))
 
 
 def mall_fingerprints(bills: DataFrame, tariffs: Optional[Sequence[str]] = None,
                       sort: bool = False) -> DataFrame:
-    """Rollup ⟕ tariff pivot on the (null-safe) group keys."""
-    roll = mall_rollup(bills)
-    wide = tariff_pivot(bills, tariffs)
-    w = wide.select(*[F.col(c).alias(f"_p_{c}") if c in MALL_KEYS else F.col(c)
-                      for c in wide.columns])
-    cond = [roll[k].eqNullSafe(w[f"_p_{k}"]) for k in MALL_KEYS]
-    out = roll.join(w, cond, "left").drop(*[f"_p_{k}" for k in MALL_KEYS])
-    if sort:
-        out = out.orderBy(*[F.asc_nulls_last(k) for k in MALL_KEYS])
-    return out
+    """The rollup with the tariff shares of each (mall, subgroup).
 
-
-def tenant_fingerprints(bills: DataFrame, hours_default: float = 720.0,
-                        sort: bool = False) -> DataFrame:
+    Shares come as a map by label, or as one column per label of ``tariffs``.
+    Both parts derive from one reduction of the bills, so nothing is joined and
+    no job runs before the caller's.
+    """
+    require_columns(bills, MALL_KEYS + ["medidor", "kwh_total", "importe_total", "tarifa"], "mall fingerprints")
+    groups = _tariff_meter_groups(bills).groupBy(*MALL_KEYS)
+    if tariffs is None:
+        out = groups.agg(*_roll_aggregates(), _share_map().alias("tarifa_shares")) \
+            .withColumn("tarifa_shares", F.when(_keys_present(), F.col("tarifa_shares")))
+    else:
+        out = groups.agg(*_roll_aggregates(), *_share_columns(tariffs))
+        for t in tariffs:
+            out = out.withColumn(f"share_{t}", F.when(_keys_present(), F.col(f"share_{t}")))
+    return out.orderBy(*[F.asc_nulls_last(k) for k in MALL_KEYS]) if sort else out
+
+
+def tenant_fingerprints(bills: DataFrame, sort: bool = False) -> DataFrame:
     """One row per (mall, subgroup, medidor).
 
     First/last period dates come out NULL for a group with a missing key
-    (the reference takes them from a group-by that drops such groups).
-    ``median`` is exact (value -> count map per group, merged map-side).
-    ``hours_default`` is accepted and unused, as in the reference.
+    (the reference takes them from a group-by that drops such groups). The
+    mode comes from counts by label and the exact medians from counts by
+    value, so the group of all bills without a meter is never in one task.
     """
-    require_columns(bills, TENANT_KEYS + ["kwh_total", "importe_total", "tarifa"],
-                    "compute_tenant_fingerprints")
-    has_ini = "periodo_inicio" in bills.columns
-    has_fin = "periodo_fin" in bills.columns
-    cols = TENANT_KEYS + ["tarifa", "kwh_total", "importe_total"] + \
-        (["periodo_inicio"] if has_ini else []) + (["periodo_fin"] if has_fin else [])
-    x = _typed(bills.select(*cols))
-    aggs = [
-        F.mode(F.col("tarifa").cast("string"), True).alias("tarifa_mode"),
-        F.count("kwh_total").alias("bills_count"),
-        F.coalesce(F.sum("kwh_total"), F.lit(0.0)).alias("kwh_sum"),
-        F.avg("kwh_total").alias("kwh_mean"),
-        F.median("kwh_total").alias("kwh_median"),
-        F.coalesce(F.sum("importe_total"), F.lit(0.0)).alias("importe_sum"),
-        F.avg("importe_total").alias("importe_mean"),
-        F.avg("mxn_per_kwh").alias("mxn_per_kwh_mean"),
-        F.median("mxn_per_kwh").alias("mxn_per_kwh_median"),
-    ]
-    keys_ok = F.col("mall_folder").isNotNull() & F.col("recibos_subgroup").isNotNull() & \
-        F.col("medidor").isNotNull()
-    if has_ini:
-        aggs.append(F.min(to_date_or_null("periodo_inicio")).alias("_first"))
-    if has_fin:
-        aggs.append(F.max(to_date_or_null("periodo_fin")).alias("_last"))
-    out = x.groupBy(*TENANT_KEYS).agg(*aggs)
+    require_columns(bills, TENANT_KEYS + ["kwh_total", "importe_total", "tarifa"], "tenant fingerprints")
+    has_ini, has_fin = ("periodo_inicio" in bills.columns, "periodo_fin" in bills.columns)
+    dates = [c for c, has in (("periodo_inicio", has_ini), ("periodo_fin", has_fin)) if has]
+    x = _typed(bills.select(*TENANT_KEYS, F.col("tarifa").cast("string").alias("tarifa"), "kwh_total", "importe_total", *dates))
+    values = [("kwh", "kwh_total"), ("importe", "importe_total"), ("mxn", "mxn_per_kwh")]
+    span = ([F.min(to_date_or_null("periodo_inicio")).alias("_first")] if has_ini else []) \
+        + ([F.max(to_date_or_null("periodo_fin")).alias("_last")] if has_fin else [])
+    base = x.groupBy(*TENANT_KEYS, "tarifa").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(f"{n}_sum") for n, c in values],
+        *[F.count(c).alias(f"{n}_n") for n, c in values], *span)
+    most = F.min(F.when(F.col("tarifa").isNotNull(), F.struct((-F.col("rows")).alias("n"), "tarifa")))
+    means = [F.try_divide(F.sum(f"{n}_sum"), F.sum(f"{n}_n")) for n, _ in values]
+    out = base.groupBy(*TENANT_KEYS).agg(
+        most["tarifa"].alias("tarifa_mode"),
+        F.sum("kwh_n").alias("bills_count"),
+        F.coalesce(F.sum("kwh_sum"), F.lit(0.0)).alias("kwh_sum"), means[0].alias("kwh_mean"),
+        F.coalesce(F.sum("importe_sum"), F.lit(0.0)).alias("importe_sum"), means[1].alias("importe_mean"),
+        means[2].alias("mxn_per_kwh_mean"),
+        *([F.min("_first").alias("_first")] if has_ini else []), *([F.max("_last").alias("_last")] if has_fin else []))
+    keys_ok = _keys_present() & F.col("medidor").isNotNull()
     if has_ini:
         out = out.withColumn("first_periodo_inicio", F.when(keys_ok, F.col("_first"))).drop("_first")
     if has_fin:
         out = out.withColumn("last_periodo_fin", F.when(keys_ok, F.col("_last"))).drop("_last")
     if has_ini and has_fin:
-        out = out.withColumn("months_span",
-                             months_span("first_periodo_inicio", "last_periodo_fin"))
-    if sort:
-        out = out.orderBy(*[F.asc_nulls_last(k) for k in TENANT_KEYS])
-    return out
+        out = out.withColumn("months_span", months_span("first_periodo_inicio", "last_periodo_fin"))
+    out = out.withColumn("key", F.struct(*TENANT_KEYS))
+    for column, name in (("kwh_total", "kwh_median"), ("mxn_per_kwh", "mxn_per_kwh_median")):
+        out = out.join(percentiles(x, TENANT_KEYS, column, {name: 0.5}), "key", "left")
+    out = out.drop("key")
+    return out.orderBy(*[F.asc_nulls_last(k) for k in TENANT_KEYS]) if sort else out
 
 
 def meter_profile(df: DataFrame, meter: str, kwh: str, kw: Optional[str] = None,

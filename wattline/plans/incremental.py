@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattline.operators.fingerprints import normalize_columns
 from wattline.operators.history import history_features
 from wattline.operators.paths import sort_index
 from wattline.plans.parse import INDEX_COLUMNS, bill_history, bills_table, parse_bills, progress_records, run_counters
@@ -62,7 +63,7 @@ def read_bills_csv(spark: SparkSession, path: str, schema: Optional[T.StructType
     r = spark.read.option("header", True)
     df = r.schema(schema).csv(path) if schema is not None else \
         r.option("inferSchema", False).csv(path)
-    return df.toDF(*[c.strip() for c in df.columns])
+    return normalize_columns(df)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",

@@ -7,7 +7,17 @@ lengths and digests come from an SQL rendering of the same layout.
 """
 from __future__ import annotations
 
-from wattline.plans.parse import BILL_COLUMNS
+# The white space that Python's str.strip removes.
+WHITE_SPACE = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+# The columns of the flat bills table, in order.
+BILL_COLUMNS = [
+    "source_utility", "document_type", "cliente_nombre", "no_servicio", "cuenta", "rmu", "rpu", "limite_pago",
+    "corte_a_partir", "periodo_inicio", "periodo_fin", "tarifa", "medidor", "multiplicador", "no_hilos",
+    "lectura_actual_kwh", "lectura_anterior_kwh", "kwh_total", "importe_total", "cargo_fijo", "subtotal_energia",
+    "subtotal", "iva", "fac_del_periodo", "total_linea", "tiene_consumo_historico", "historico_count", "file_path",
+    "file_name", "mall_folder", "recibos_subgroup", "recibos_year_folder", "recibos_year", "parse_status",
+    "parse_error", "text_len", "embedded_text_len", "used_ocr", "text_source", "text_source_reason",
+    "extracted_pages"]
 
 MONTHS = "['ENE','FEB','MAR','ABR','MAY','JUN','JUL','AGO','SEP','OCT','NOV','DIC']"
 
@@ -278,8 +288,7 @@ def _q4(num: str, den: str) -> str:
 
 def _doc_gate() -> str:
     """The gate rules in DuckDB/RE2 over ``documents`` (independent dialect)."""
-    from wattline.functions.text import PY_WHITESPACE
-    ws = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+    ws = " || ".join(f"chr({code})" for code in WHITE_SPACE)
     return f"""
 WITH d AS (SELECT doc_id, text, trim(text, {ws}) AS s FROM documents),
 f AS (
@@ -293,14 +302,10 @@ g AS (
   SELECT *, CAST(contains(up, 'TARIFA') AS INTEGER) + CAST(contains(up, 'CUENTA') AS INTEGER)
       + CAST(contains(up, 'MEDIDOR') AS INTEGER) + CAST(contains(up, 'RPU') AS INTEGER)
       + CAST(regexp_matches(up, 'NO\\.?\\s+DE\\s+SERVICIO') AS INTEGER) AS hits,
-    (weird * 100) // greatest(letters, 1) AS q0, (weird * 100) % greatest(letters, 1) AS r0
+    CAST(weird AS DOUBLE) / greatest(letters, 1) AS ratio
   FROM f
 ),
-h AS (
-  SELECT *, q0 + CASE WHEN 2 * r0 > greatest(letters, 1)
-                        OR (2 * r0 = greatest(letters, 1) AND q0 % 2 = 1) THEN 1 ELSE 0 END AS q
-  FROM g
-),
+h AS (SELECT * FROM g),
 r AS (
   SELECT *, CASE
     WHEN is_null THEN 'none_text'
@@ -310,8 +315,7 @@ r AS (
          OR contains(up, 'DIVISIÓN TARIFARIA') OR contains(up, 'DIVISION TARIFARIA')
          THEN 'ok_iberdrola' ELSE 'iberdrola_missing_anchors' END
     WHEN hits < 2 THEN 'missing_strong_anchors(' || hits || ')'
-    WHEN letters > 0 AND CAST(weird AS DOUBLE) / letters > 0.35
-      THEN 'weird_ratio>' || (q // 100) || '.' || lpad(CAST(q % 100 AS VARCHAR), 2, '0')
+    WHEN letters > 0 AND ratio > 0.35 THEN 'weird_ratio>' || printf('%.2f', ratio)
     ELSE 'ok' END AS gate_reason
   FROM h
 )
@@ -440,6 +444,7 @@ FROM bills"""
     q["canonical_metrics"] = WITH + BILLS_NUM.replace("x AS (", "xx AS (") + """
 , c AS (
   SELECT b.file_path, b.cls, b.parse_status, b.total, b.kwh AS k, b.ini, b.fin,
+    b.okey % 7 * 125 AS kwc, b.okey % 11 * 1234 AS demc,
     pb.tarifa, pb.medidor, pb.kwh_total, pb.importe_total, pb.periodo_inicio, pb.periodo_fin
   FROM bills b JOIN pb ON b.file_path = pb.file_path
 ), d AS (
@@ -457,8 +462,51 @@ SELECT file_path,
   CAST(kwh_total AS DOUBLE) AS kwh_total, CAST(importe_total AS DOUBLE) AS importe_total,
   CASE WHEN kwh_total IS NOT NULL AND dias IS NOT NULL THEN """ + _q4("k", "dias") + """ END AS kwh_per_day,
   CASE WHEN importe_total IS NOT NULL AND kwh_total IS NOT NULL THEN """ + _q4("cents", "k * 100") + """ END AS cost_per_kwh,
-  CAST(NULL AS DOUBLE) AS load_factor, CAST(NULL AS DOUBLE) AS demand_ratio
+  CASE WHEN kwh_total IS NOT NULL AND dias IS NOT NULL THEN """ + _q4("k * 100", "kwc * 24 * dias") + """ END AS load_factor,
+  CASE WHEN importe_total IS NOT NULL THEN """ + _q4("demc", "cents") + """ END AS demand_ratio
 FROM d"""
+    demand = """
+, w AS (
+  SELECT TRY_CAST(pb.kwh_total AS DOUBLE) AS kwh, pb.medidor, (b.okey % 7 * 125) / 100.0 AS kw
+  FROM bills b JOIN pb ON b.file_path = pb.file_path)"""
+
+    def six(x: str) -> str:
+        return f"floor(({x}) * 1e6 + 0.5) / 1e6"
+
+    def desc(x: str, name: str) -> str:
+        return (f"CAST(count({x}) AS DOUBLE) AS {name}_count, {six(f'avg({x})')} AS {name}_mean, "
+                f"{six(f'stddev_samp({x})')} AS {name}_std, {six(f'min({x})')} AS {name}_min, "
+                + "".join(f"{six(f'quantile_cont({x}, {p / 100})')} AS {name}_p{p}, " for p in (25, 50, 75))
+                + f"{six(f'max({x})')} AS {name}_max")
+    q["meter_profile_kw"] = WITH + BILLS_NUM + demand + f"""
+SELECT medidor, {six('avg(kwh)')} AS avg_kwh, {six('avg(kw)')} AS avg_kw, count(*) AS bills,
+  CASE WHEN avg(kw) <> 0 THEN {six('avg(kwh) / (avg(kw) * 720.0)')} END AS load_factor
+FROM w WHERE medidor IS NOT NULL GROUP BY medidor"""
+    q["dataset_profile"] = WITH + BILLS_NUM + demand + f"""
+, lf AS (SELECT *, CASE WHEN kw <> 0 THEN kwh / (kw * 720.0) END AS lf FROM w)
+SELECT count(*) AS rows, count(DISTINCT medidor) AS unique_meters, {desc('kwh', 'kwh_desc')},
+  {desc('kw', 'kw_desc')}, {desc('lf', 'load_factor_desc')} FROM lf"""
+    q["first_index_rows"] = WITH + """
+SELECT file_path, file_name, mall AS mall_folder, sub AS recibos_subgroup,
+  year_folder AS recibos_year_folder, year_num AS recibos_year
+FROM paths WHERE cls <> 11
+ORDER BY mall NULLS LAST, sub NULLS LAST, year_num NULLS LAST, file_name LIMIT 100"""
+    q["first_malls"] = q["mall_fingerprints"] + " ORDER BY ru.mall_folder NULLS LAST, ru.recibos_subgroup NULLS LAST LIMIT 20"
+    q["tariff_map"] = WITH + BILLS_NUM + SHARES + """
+SELECT mall_folder, recibos_subgroup, string_agg(tarifa || '='
+         || printf('%.9f', CAST(tarifa_bills AS DOUBLE) / tarifa_bills_total), ',' ORDER BY tarifa) AS shares
+FROM sh WHERE tarifa_bills_total IS NOT NULL GROUP BY ALL"""
+    q["incremental_runs"] = WITH + """
+SELECT file_path, parse_status, CASE WHEN cfe_fields OR cls = 2 THEN CAST(kwh AS VARCHAR) END AS kwh_total,
+  CAST(CASE WHEN cfe_fields THEN n_lines ELSE 0 END AS BIGINT) AS history_rows
+FROM bills"""
+    q["analysis_run"] = WITH + BILLS_NUM + """
+SELECT 'kwh_histogram' AS output, 30 AS rows UNION ALL SELECT 'profile', 1
+UNION ALL SELECT 'malls', count(*) FROM (SELECT DISTINCT mall_folder, recibos_subgroup FROM x)
+UNION ALL SELECT 'tenants', count(*) FROM (SELECT DISTINCT mall_folder, recibos_subgroup, medidor FROM x)
+UNION ALL SELECT 'meters', count(DISTINCT medidor) FROM x
+UNION ALL SELECT 'tariff_shares', count(*) FROM (SELECT DISTINCT mall_folder, recibos_subgroup, tarifa FROM x)
+UNION ALL SELECT 'tariff_counts', count(*) FROM (SELECT DISTINCT tarifa FROM x)"""
     q["done_files"] = WITH + """
 SELECT file_path FROM paths WHERE cls <> 11 AND okey % 2 = 0"""
     q["resume_filter"] = WITH + """

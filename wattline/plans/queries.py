@@ -7,6 +7,8 @@ dates as ISO text.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from wattline.functions.numeric import billing_days, to_date_or_null
 from wattline.operators.canonical import canonical_bill, derived_metrics
 from wattline.operators.fingerprints import (
-    mall_fingerprints, mall_rollup, meter_profile, tariff_pivot, tariff_shares,
+    mall_fingerprints, mall_rollup, meter_profile, tariff_map, tariff_pivot, tariff_shares,
     tenant_fingerprints,
 )
 from wattline.operators.gate import (
@@ -22,15 +24,19 @@ from wattline.operators.gate import (
 )
 from wattline.operators.history import history_features
 from wattline.operators.paths import build_index, read_listing, sort_paths
-from wattline.operators.profile import describe, histogram, row_count_and_columns, \
+from wattline.operators.profile import dataset_profile, describe, histogram, row_count_and_columns, \
     unique_count, value_counts
-from wattline.plans.incremental import done_files, resume_filter
+from wattline.plans.analysis import analyze
+from wattline.plans.incremental import committed, done_files, incremental_parse, resume_filter
 from wattline.plans.parse import bill_history, bills_table, parse_bills, progress_records, \
     run_counters
+from wattline.session import checkpoint_dir
 from wattline.sources.rendered import ROOT, render_bills
 
 MAX_PAGES = 2
 FIRST_N = 100
+# The tariff labels that the rendered bills hold (missing: 'nan').
+TARIFFS = ["DB1", "GDBT", "GDMTH", "GDMTO", "PDBT", "nan"]
 
 
 def compare_types(df: DataFrame, round_cols: dict | None = None) -> DataFrame:
@@ -68,6 +74,19 @@ def _parsed(spark, sf_dir, keep_rows=True):
                        max_pages=MAX_PAGES, keep_rows=keep_rows)
 
 
+def _with_demand(bills: DataFrame) -> DataFrame:
+    """Adds a maximum demand and a demand charge, made of the order key, as text."""
+    key = F.regexp_extract("file_name", r"^(\d+)", 1).cast("long")
+
+    def cents(c):
+        return F.concat(F.floor(c / 100).cast("string"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+    return bills.withColumn("kw_max_demand", cents(key % 7 * 125)).withColumn("cargo_demanda", cents(key % 11 * 1234))
+
+
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _bills(spark, sf_dir):
     return bills_table(_parsed(spark, sf_dir, keep_rows=False)).drop("parsed_at")
 
@@ -91,6 +110,12 @@ def q_first_paths(spark, sf_dir):
     return sort_paths(read_listing(_src(spark, sf_dir).listing, ROOT), FIRST_N)
 
 
+def q_first_index_rows(spark, sf_dir):
+    """O1: the first rows of the sorted index."""
+    idx = build_index(_src(spark, sf_dir).listing, ROOT, sort=True)
+    return compare_types(idx.limit(FIRST_N))
+
+
 # ---- text ------------------------------------------------------------------
 
 def q_assemble_text(spark, sf_dir):
@@ -170,12 +195,25 @@ def q_tariff_shares(spark, sf_dir):
 
 
 def q_tariff_pivot(spark, sf_dir):
-    wide = tariff_pivot(_bills(spark, sf_dir))
+    wide = tariff_pivot(_bills(spark, sf_dir), TARIFFS)
     return compare_types(wide)
 
 
+def q_tariff_map(spark, sf_dir):
+    shares = tariff_map(_bills(spark, sf_dir))
+    entries = F.transform(F.map_entries("tarifa_shares"), lambda e: F.concat(
+        e["key"], F.lit("="), F.format_string("%.9f", e["value"])))
+    return shares.select("mall_folder", "recibos_subgroup", F.array_join(entries, ",").alias("shares"))
+
+
 def q_mall_fingerprints(spark, sf_dir):
-    fp = mall_fingerprints(_bills(spark, sf_dir))
+    fp = mall_fingerprints(_bills(spark, sf_dir), TARIFFS)
+    return compare_types(fp, {**_MONEY, **_RATIO})
+
+
+def q_first_malls(spark, sf_dir):
+    """The first rows of the sorted rollup."""
+    fp = mall_fingerprints(_bills(spark, sf_dir), TARIFFS, sort=True).limit(20)
     return compare_types(fp, {**_MONEY, **_RATIO})
 
 
@@ -188,6 +226,22 @@ def q_meter_profile(spark, sf_dir):
                          {"avg_kwh": 6})
 
 
+def q_meter_profile_kw(spark, sf_dir):
+    """A10, P16 with a demand column."""
+    p = meter_profile(_with_demand(_bills(spark, sf_dir)), "medidor", "kwh_total", "kw_max_demand")
+    return compare_types(p, {"avg_kwh": 6, "avg_kw": 6, "load_factor": 6})
+
+
+def q_dataset_profile(spark, sf_dir):
+    """S7, A9 on demand and load factor, roles picked from the candidate names."""
+    bills = _with_demand(_bills(spark, sf_dir)).withColumnsRenamed({"kwh_total": "kwh", "kw_max_demand": "kw_max"})
+    p = dataset_profile(bills)
+    flat = p.select("rows", F.col("unique_meters").alias("unique_meters"),
+                    *[F.col(f"{d}.{c}").alias(f"{d}_{c}") for d in ("kwh_desc", "kw_desc", "load_factor_desc")
+                      for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")])
+    return compare_types(flat, {c: 6 for c in flat.columns if c[-5:] != "count" and c.startswith(("kw", "load"))})
+
+
 # ---- profile -----------------------------------------------------------------
 
 def q_tariff_value_counts(spark, sf_dir):
@@ -217,7 +271,7 @@ def q_row_count(spark, sf_dir):
 
 def q_canonical_metrics(spark, sf_dir):
     bills = _bills(spark, sf_dir)
-    flat = bills.withColumn("dias_facturados", billing_days(
+    flat = _with_demand(bills).withColumn("dias_facturados", billing_days(
         to_date_or_null("periodo_inicio"), to_date_or_null("periodo_fin")).cast("string"))
     m = derived_metrics(canonical_bill(flat))
     b = F.col("bill")
@@ -269,7 +323,39 @@ def q_incremental_parse(spark, sf_dir):
     return compare_types(progress_records(parsed).drop("at"))
 
 
+def q_incremental_runs(spark, sf_dir):
+    """Half of the files, then all with resume; the committed rows of both runs."""
+    b = _src(spark, sf_dir)
+    idx, out = build_index(b.listing, ROOT), _folder(spark, "incremental")
+    key = F.regexp_extract("file_name", r"^(\d+)", 1).cast("long")
+    incremental_parse(spark, idx.where(key % 2 == 0), b.pages, b.alternate_pages, out)
+    incremental_parse(spark, idx, b.pages, b.alternate_pages, out)
+    bills = committed(spark, out, "bills").select("file_path", "parse_status", "kwh_total")
+    history = committed(spark, out, "history_v2").groupBy("file_path").agg(F.count(F.lit(1)).alias("history_rows"))
+    return bills.join(history, "file_path", "left").na.fill(0, ["history_rows"])
+
+
+def q_analysis_run(spark, sf_dir):
+    """The composed run from one stored table: rows of each output."""
+    out = _folder(spark, "analysis")
+    _bills(spark, sf_dir).write.parquet(f"{out}/bills")
+    tables = analyze(spark, spark.read.parquet(f"{out}/bills"), out, TARIFFS)
+    counts = [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("output"), "rows")
+              for name, t in sorted(tables.items())]
+    found = counts[0]
+    for c in counts[1:]:
+        found = found.unionByName(c)
+    return found
+
+
 QUERIES = {
+    "first_index_rows": q_first_index_rows,
+    "tariff_map": q_tariff_map,
+    "first_malls": q_first_malls,
+    "meter_profile_kw": q_meter_profile_kw,
+    "dataset_profile": q_dataset_profile,
+    "incremental_runs": q_incremental_runs,
+    "analysis_run": q_analysis_run,
     "bill_listing": q_bill_listing,
     "path_metadata": q_path_metadata,
     "bills_index": q_bills_index,
