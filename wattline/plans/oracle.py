@@ -252,7 +252,8 @@ ROLLUP = """
 def _hist_v2() -> str:
     return WITH + ", hb AS (" + HISTORY_SELECT + """),
 hx AS (SELECT * FROM hb UNION ALL
-       SELECT * REPLACE ('1' || no_servicio AS no_servicio) FROM hb WHERE cls = 16),
+       SELECT * REPLACE ('1' || no_servicio AS no_servicio) FROM hb WHERE cls = 16 UNION ALL
+       SELECT * REPLACE ('1' || cuenta AS cuenta) FROM hb WHERE cls = 19),
 hy AS (
   SELECT *, TRY_CAST(periodo_inicio AS DATE) AS d0, TRY_CAST(periodo_fin AS DATE) AS d1,
     CASE WHEN TRY_CAST(periodo_fin AS DATE) - TRY_CAST(periodo_inicio AS DATE) + 1 > 0

@@ -158,12 +158,13 @@ def q_bill_history(spark, sf_dir):
 
 
 def _history_with_second_contract(spark, sf_dir):
-    """Class 16 files get a second copy of their rows under another contract."""
+    """Class 16 files get a second copy of their rows under another contract, class 19 files under another account."""
     h = bill_history(_parsed(spark, sf_dir))
     key = F.regexp_extract(F.col("file_name"), r"^(\d+)\.", 1).cast("long")
     extra = h.where(key % 100 == 16).withColumn(
         "no_servicio", F.concat(F.lit("1"), F.col("no_servicio")))
-    return h.unionByName(extra)
+    account = h.where(key % 100 == 19).withColumn("cuenta", F.concat(F.lit("1"), F.col("cuenta")))
+    return h.unionByName(extra).unionByName(account)
 
 
 def q_history_features(spark, sf_dir):
