@@ -160,19 +160,24 @@ def doc_features(p: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray
 
 def lexicon(docs: list[list[str]], labels: np.ndarray, least: int = 4, purity: float = 0.97) -> set[tuple[int, str]]:
     """Words (length 0) and beginnings that explain toxic documents, picked by greedy cover."""
-    forms = [{(0, w) for w in d} | {(n, w[:n]) for w in d for n in PREFIXES if len(w) >= n} for d in map(set, docs)]
-    df = [Counter(), Counter()]
-    for f, y in zip(forms, labels):
-        df[y].update(f)
-    rate = max(1, (labels == 0).sum()) / max(1, (labels == 1).sum())
-    good = {f for f, k in df[1].items() if k >= least and k * rate >= purity * (k * rate + df[0][f])}
+    def forms(words: list[str]) -> set[tuple[int, str]]:
+        different = set(words)
+        return {(0, w) for w in different} | {(n, w[:n]) for w in different for n in PREFIXES if len(w) >= n}
+    toxic, clean = [d for d, y in zip(docs, labels) if y], [d for d, y in zip(docs, labels) if not y]
+    found, others = Counter(), Counter()
+    for d in toxic:
+        found.update(forms(d))
+    often = {f for f, k in found.items() if k >= least}
+    for d in clean:
+        others.update(forms(d) & often)
+    rate = max(1, len(clean)) / max(1, len(toxic))
+    good = {f for f in often if found[f] * rate >= purity * (found[f] * rate + others[f])}
     where: dict[tuple[int, str], set[int]] = {}
-    for i, (f, y) in enumerate(zip(forms, labels)):
-        if y:
-            for x in f & good:
-                where.setdefault(x, set()).add(i)
+    for i, d in enumerate(toxic):
+        for x in forms(d) & good:
+            where.setdefault(x, set()).add(i)
     # Frequent forms are toxic whether or not the cover needs them.
-    chosen = {f for f in good if df[1][f] >= max(least, FREQUENT * (labels == 1).sum())}
+    chosen = {f for f in good if found[f] >= max(least, FREQUENT * len(toxic))}
     while where:
         best = max(where, key=lambda x: (len(where[x]), -x[0], x[1]))
         if len(where[best]) < least:
@@ -262,7 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: dict[int, int] | None =
         return None
     share = F.when(F.col("toxic") == 1, F.lit(wanted[1] / found[1])).otherwise(F.lit(wanted[0] / found[0]))
     picked = marked.where(unit_hash(seed, "label_id") < share)
-    sample = rows.join(picked, rows["doc_id"] == picked["label_id"]).select("doc_id", "text", "toxic").toPandas()
+    # The sample's size bounds the broadcast: about SAMPLE_DOCS ids, whatever the tables' sizes.
+    sample = rows.join(F.broadcast(picked), rows["doc_id"] == picked["label_id"]).select("doc_id", "text", "toxic").toPandas()
     sample = sample.drop_duplicates("text").sort_values(["doc_id", "text"])
     y = sample["toxic"].to_numpy(dtype=int)
     if len(set(y)) < 2:
