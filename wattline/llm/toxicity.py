@@ -36,8 +36,8 @@ from wattline.llm.common import per_process, text_or_empty, unit_hash
 from wattline.llm.token_files import slices
 
 #: Labelled documents (expected number) to learn from, per label; longer ones than CHARS aren't taken.
-SAMPLE_DOCS = {0: 1500, 1: 1200}
-SAMPLE_CHARS = 50_000
+SAMPLE_DOCS = {0: 1200, 1: 1000}
+SAMPLE_CHARS = 20_000
 #: A predicted document scores at least this.
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
