@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import stored, unit_hash
+from wattline.llm.common import ARROW_ROWS, stored, unit_hash
 from wattline.llm.components import connected_components
 
 THRESHOLD = 0.95
@@ -204,8 +204,9 @@ def _count_links(members: DataFrame, dim: int, threshold: float) -> DataFrame:
     blocks = stored(dealt.groupBy("component", "block").agg(
         F.collect_list(F.struct("node", "vec", "copies")).alias("rows")), "blocks")
     pairs = blocks.join(blocks.select("component", F.col("rows").alias("others")), "component")
-    return pairs.select("rows", "others").mapInArrow(_block_links(dim, threshold), "node long, links long") \
-        .groupBy("node").agg(F.sum("links").alias("links"))
+    counted = stored(pairs.select("rows", "others").mapInArrow(_block_links(dim, threshold), "node long, links long"),
+                     "block-links", rows=(ARROW_ROWS, 16))
+    return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id",
