@@ -12,11 +12,12 @@ Signatures are cut into bands; documents that share a band are candidates, and
 a candidate pair is a link if the overlap of the whole multisets is at least
 ``THRESHOLD``. Classes are the connected components of the links.
 
-No pair of a large group is enumerated: equal multisets are one node; a band's
-bucket links its members to its smallest and to their neighbours in order
-(two pairs per member). Members of a bucket that these links leave in different
-components are compared by an exact prefix-filtered join: two multisets with
-similarity t share one of the rarest (1 - t) parts of their shingles.
+No group becomes rows of all its pairs: equal texts are one node, and a band's
+bucket first links its members to its smallest node. Where a bucket still holds
+several components, ``ROUNDS`` rounds compare its members with ``CENTRES`` of
+its nodes in other components. Members that are still apart meet in pairs of
+blocks of bounded size, where a matrix product gives all exact overlaps at once
+and only links that join two components come out.
 
 Nulls: a null text is empty. Texts of one to four words are one shingle; empty
 texts are equal to each other and to nothing else. A null doc_id is kept last
@@ -32,13 +33,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import row_mark, stored, text_or_empty
+from wattline.llm.common import ARROW_ROWS, HASH_GROUPS, row_mark, small_batches, stored, text_or_empty
 from wattline.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 SLOTS = BANDS * ROWS
+#: Nodes of a bucket that its members are compared with in each round, and rounds (each draws others).
+CENTRES, ROUNDS = 16, 2
+#: Buckets (its largest) in which a node takes part in a round; the blocks that follow cover all.
+ROUND_BUCKETS = 1
+#: Shingles of a bucket's members that one block holds, about (a longer document is a block of its own).
+BLOCK_SHINGLES = 16_000
 #: Words of documents that are signed together within a worker.
 SLICE_WORDS = 400_000
 
@@ -213,8 +220,9 @@ def _sign_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles, count = shingle_hashes(words, n)
             keys = band_keys(sign(*weigh(shingles, count), n_rows))
             keys = [k if c else k[:0] for k, c in zip(keys, count)]
-            yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, n_rows) for i in range(4)] + [_lists(keys)],
-                                             ["row", "doc_id", "mark", "bag", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).slice(lo, n_rows) for i in range(4)] + [_lists(keys)],
+                ["row", "doc_id", "mark", "bag", "bands"])
 
 
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,36 +247,92 @@ def _stars(buckets: DataFrame) -> DataFrame:
     return stored(star.distinct(), "stars")
 
 
-def _split_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, component) of the members of buckets that hold more than one component."""
+def _split(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, node, component, size) of the members of buckets that hold more than one component."""
     named = stored(buckets.join(labels, "node", "left").select(
         "band", "node", F.coalesce("component", "node").alias("component")), "named-buckets")
-    split = stored(named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                   .where("low != high").select("band"), "split-buckets")
-    return stored(named.join(split, "band", "left_semi").select("node", "component").distinct(), "split-members")
+    split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                      F.count("*").alias("size")).where("low != high")
+    return stored(named.join(stored(split.select("band", "size"), "split-buckets"), "band"), "split")
 
 
-def _prefix_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of members in different components that can reach the threshold.
+def _centre_pairs(split: DataFrame, seed: int) -> DataFrame:
+    """Different pairs of members of split buckets and a few seeded nodes of other components in their buckets.
 
-    Elements are ordered by how many members hold them. Of a set of n, the
-    first n - ceil(t n) + 1 hold at least one that any set of similarity t has
-    among its own first ones.
+    The same nodes tend to be drawn in all buckets of a group, so pairs stay few.
     """
-    each = stored(members.join(sets, "node").select(
-        "node", "component", F.size("elements").alias("n"), F.explode("elements").alias("element")), "elements")
-    held = stored(each.groupBy("element").agg(F.count("*").alias("held"), F.min("component").alias("low"),
-                                              F.max("component").alias("high")), "held")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("held", "element"))
-    ranked = each.join(held, "element").withColumn("rank", rank)
-    prefix = ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1)
-                          & (F.col("low") != F.col("high"))).select("element", "node", "component", "n")
-    prefix = stored(prefix, "prefixes")
-    other = prefix.select("element", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "n")])
-    near = (F.col("component") < F.col("component_b")) \
-        & (F.least("n", "n_b") >= F.lit(threshold) * F.greatest("n", "n_b") - 1e-9)
-    found = prefix.join(other, "element").where(near)
-    return stored(found.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "prefix-pairs")
+    drawn = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64(F.lit(seed), "node"), "node"))
+    centres = split.withColumn("rank", drawn).where(F.col("rank") <= CENTRES) \
+        .select("band", F.col("node").alias("centre"), F.col("component").alias("other"))
+    largest = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("size"), "band"))
+    members = split.withColumn("rank", largest).where(F.col("rank") <= ROUND_BUCKETS)
+    pairs = members.join(stored(centres, "centres"), "band").where("component != other") \
+        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    return stored(pairs.distinct(), "centre-pairs")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of one list shares with each of another, by a product of incidence matrices."""
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def incidence(sets: list[np.ndarray]) -> np.ndarray:
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(common, flat), max(0, len(common) - 1))
+        held = common[at] == flat if len(common) else np.zeros(len(flat), bool)
+        out = np.zeros((len(sets), len(common)), np.float32)
+        out[row[held], at[held]] = 1.0
+        return out
+    return incidence(left) @ incidence(right).T
+
+
+def _compare_blocks(threshold: float):
+    """Links (a, b) between two blocks: enough of them to join every two components that any pair of them joins."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for i in range(batch.num_rows):
+                blocks = [batch.column(0)[i].values, batch.column(1)[i].values]
+                (node_a, comp_a), (node_b, comp_b) = ((x.field(0).to_numpy(), x.field(1).to_numpy()) for x in blocks)
+                apart = comp_a[:, None] != comp_b[None, :]
+                if not apart.any():
+                    continue
+                sets = []
+                for x in blocks:
+                    lists = x.field(2)
+                    at = lists.offsets.to_numpy()
+                    values = lists.values.to_numpy()
+                    sets.append([values[p:q] for p, q in zip(at[:-1], at[1:])])
+                n_a, n_b = (np.array([len(x) for x in y], dtype=np.float64) for y in sets)
+                both = _overlaps(*sets).astype(np.float64)
+                hits = np.nonzero(apart & (both >= threshold * (n_a[:, None] + n_b[None, :] - both) - 1e-9))
+                root: dict[int, int] = {}
+
+                def top(c: int) -> int:
+                    while root.get(c, c) != c:
+                        c = root[c]
+                    return c
+                for p, q in zip(*hits):
+                    x, y = top(int(comp_a[p])), top(int(comp_b[q]))
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        found.append((int(node_a[p]), int(node_b[q])))
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def _block_links(split: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links that join components of the members of split buckets, whatever pair of members they need."""
+    sized = split.join(sets.select("node", F.size("elements").alias("n")), "node")
+    blocks = stored(sized.groupBy("band").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("n_blocks")), "block-counts")
+    dealt = split.join(blocks, "band").select(
+        "band", "node", "component", F.pmod(F.xxhash64("node"), F.greatest("n_blocks", F.lit(1))).alias("block"))
+    blocks = stored(dealt.join(sets, "node").groupBy("band", "block").agg(
+        F.collect_list(F.struct("node", "component", "elements")).alias("members")), "blocks", groups=(HASH_GROUPS, 1_000))
+    other = blocks.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
+    pairs = blocks.join(other, "band").where("block <= other")
+    found = pairs.select("members", "others").mapInArrow(_compare_blocks(threshold), "a long, b long")
+    return stored(found, "block-links", rows=(ARROW_ROWS, 32))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -294,19 +358,25 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
     ``class_id`` is the smallest doc_id of the class, ``n_texts`` the number of
     its different texts; the kept document is the one with that id.
     """
+    small_batches(docs.sparkSession)
     rows = sketch(docs, key, text)
     nodes = stored(rows.groupBy("bag").agg(F.min("row").alias("node")), "nodes")
-    heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    buckets = stored(heads.select(F.col("row").alias("node"), F.explode("bands").alias("band")), "bands")
+    heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    buckets = stored(heads.select("node", F.explode("bands").alias("band")), "bands")
     pairs = _stars(buckets)
-    wanted = _wanted(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = _element_sets(docs, nodes.join(wanted, "node", "left_semi"), key, text)
     links = stored(_linked(pairs, sets, threshold), "links")
     labels = connected_components(links)
-    rest = _prefix_pairs(_split_members(buckets, labels), sets, threshold)
-    more = stored(_linked(rest, sets, threshold), "more-links")
-    if not more.isEmpty():
-        labels = connected_components(links.unionByName(more))
+    for step in range(ROUNDS + 1):
+        split = _split(buckets, labels)
+        if split.isEmpty():
+            break
+        more = stored(_linked(_centre_pairs(split, step), sets, threshold), "links") if step < ROUNDS \
+            else _block_links(split, sets, threshold)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = connected_components(links)
     classes = nodes.join(labels, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
     members = stored(rows.select("row", "doc_id", "mark", "bag").join(classes, "bag"), "members")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
@@ -317,6 +387,3 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
         "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", "n_texts",
         (F.col("row") == F.col("first.row")).alias("kept"), "mark")
 
-
-def _wanted(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -50,6 +50,19 @@ def stored(df: DataFrame, name: str, **settings: tuple[str, int]) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Whole texts that a batch on its way to a Python worker may hold; long texts make larger batches costly.
+TEXT_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the session's batches of texts small, unless it has set them smaller.
+
+    It must hold until the caller's action, so it stays set.
+    """
+    if int(spark.conf.get(ARROW_ROWS)) > TEXT_ROWS:
+        spark.conf.set(ARROW_ROWS, TEXT_ROWS)
+
+
 def per_process(kind: str, name: str, make: Callable[[], object]) -> object:
     """An object that the tasks of one Python worker process share; one name of a kind is held at a time."""
     held = sys.modules.setdefault("wattline_worker_state", types.ModuleType("wattline_worker_state"))

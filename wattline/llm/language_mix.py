@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import per_process, unit_hash
+from wattline.llm.common import per_process, small_batches, unit_hash
 from wattline.llm.token_files import slices
 
 UNKNOWN = "und"
@@ -36,7 +36,7 @@ SAMPLE_DOCS = 1500
 UNIT_WORDS = 4
 ITERATIONS = 12
 SMOOTHING = 0.5
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 #: The pipeline rejects a text none of whose languages holds this share.
 LEAST_SHARE = 0.3
 WORD = re.compile(r"[^\W\d_]+")
@@ -86,6 +86,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text", lang: str = "lang",
         seed: int = 3) -> LanguageModel:
     """Trigram likelihoods of each language from the sample; only its trigram counts reach the driver."""
+    small_batches(docs.sparkSession)
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)) \
         .select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
@@ -222,6 +223,7 @@ _FOUND = "__lang string, __score double, __share double, __set array<string>"
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, share, languages."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
     found = rows.mapInArrow(_identify_rows(model, 2, [0, 1]), f"doc_id long, held_out boolean, {_FOUND}")
     return found.select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"),
@@ -230,6 +232,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) whose texts aren't rejected; no shuffle."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     fields = T.StructType(plain.schema.fields + T._parse_datatype_string(_FOUND).fields)

@@ -11,9 +11,10 @@ path, kept as a bit mask of boundaries:
   neighbouring symbols, leftmost first, until none is left. Viterbi over BPE
   scores (they are merge ranks) would give other ids than the model's.
 
-Units go back to their texts in two ways: the ``HOT_UNITS`` most frequent ones
-through a broadcast dictionary of that bounded size, all others by joins (unit to
-ids, then text to its rare units). Ids equal the library's.
+Units go back to their texts in two ways: at most ``HOT_UNITS`` that are frequent
+in a seeded sample of texts through a broadcast dictionary of that bounded size,
+all others by joins (unit to ids, then text to its rare units). Ids equal the
+library's.
 
 Characters outside the model become its byte pieces. Decoding looks pieces up,
 joins bytes, and turns the word mark into spaces again.
@@ -25,10 +26,12 @@ a heap. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
+import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,16 +39,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import stored, text_or_empty
-from wattline.llm.token_files import slices
+from wattline.llm.common import HASH_GROUPS, per_process, small_batches, stored, text_or_empty, unit_hash
+from wattline.llm.token_files import gather, slices
 
 MARK = "▁"
 #: Units in the broadcast dictionary (each of at most LONGEST characters).
-HOT_UNITS = 1 << 19
+HOT_UNITS = 200_000
 #: Characters of a unit whose boundaries fit a 64-bit mask.
 LONGEST = 60
+#: Units whose lattices one task builds, about.
+UNITS_PER_TASK = 40_000
+#: Texts (expected number) among which frequent units are looked for.
+SAMPLE_DOCS = 15_000
 #: Different units that a worker counts before it passes them on.
-COUNTED = 200_000
+COUNTED = 100_000
 BPE, UNIGRAM = 2, 1
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Texts of other characters than these are cut at word marks only.
@@ -98,6 +105,14 @@ class PieceModel:
         return np.array(out, "<u2").tobytes()
 
 
+def unit_codes(model: PieceModel, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different units of texts, each text's units as places among them, and how many each text has."""
+    units = [model.units(t) for t in texts]
+    n = np.array([len(u) for u in units], dtype=np.int64)
+    coded = pa.array(itertools.chain.from_iterable(units), pa.string(), size=int(n.sum())).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), n
+
+
 def cut_safely(pattern: re.Pattern, pieces: list[str]) -> bool:
     """Whether the pattern never cuts inside a piece."""
     return all(pattern.findall(p) == [p] for p in pieces)
@@ -181,10 +196,16 @@ def count_units(docs: DataFrame, model: PieceModel, text: str = "text") -> DataF
 # --- lattice and folds ------------------------------------------------------------
 
 def piece_table(spark, model: PieceModel) -> DataFrame:
-    """(piece, id, rank, score): rank orders pieces by falling score, equal scores alike."""
+    """(piece, id, rank, score, late): rank orders pieces by falling score, equal scores alike.
+
+    ``late`` pieces are half of a piece with a better rank, so merging one may
+    open a merge that comes before it.
+    """
     order = {s: r for r, s in enumerate(sorted(set(model.scores.values()), reverse=True))}
-    rows = [(p, i, order[model.scores[p]], float(model.scores[p])) for p, i in model.ids.items()]
-    return spark.createDataFrame(rows, "piece string, id int, rank long, score double")
+    rank = {p: order[s] for p, s in model.scores.items()}
+    late = {half for p in rank for k in range(1, len(p)) for half in (p[:k], p[k:]) if rank.get(half, -1) > rank[p]}
+    rows = [(p, i, rank[p], float(model.scores[p]), int(p in late)) for p, i in model.ids.items()]
+    return spark.createDataFrame(rows, "piece string, id int, rank long, score double, late int")
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge: Column) -> DataFrame:
@@ -195,7 +216,9 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge:
     partitioning by uid, so exploded substrings never travel.
     """
     n = F.char_length("unit")
-    starts = units.repartition("uid").select("uid", "unit", F.explode(F.sequence(F.lit(0), F.greatest(
+    # A given number of partitions, so that small tables of long work aren't merged into few tasks.
+    parts = max(1, -(-units.count() // UNITS_PER_TASK))
+    starts = units.repartition(parts, "uid").select("uid", "unit", F.explode(F.sequence(F.lit(0), F.greatest(
         F.lit(0), n - least))).alias("start"))
     first = F.when(F.col("start") == 0, F.lit(1)).otherwise(F.lit(least))
     cuts = starts.select("uid", "unit", "start", F.explode(F.sequence(first, F.least(F.lit(longest), n - F.col("start")))).alias("len"))
@@ -206,8 +229,9 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge:
 
 
 def bpe_edge() -> Column:
-    """An edge as one number that sorts by rank, then start: rank, start (6 bits), length (6 bits)."""
-    return F.shiftleft(F.col("rank"), 12) + F.shiftleft(F.col("start").cast("long"), 6) + F.col("len")
+    """An edge as one number that sorts by rank, then start: rank, start (6 bits), length (6 bits), late (1 bit)."""
+    return F.shiftleft(F.col("rank"), 13) + F.shiftleft(F.col("start").cast("long"), 7) \
+        + F.shiftleft(F.col("len").cast("long"), 1) + F.col("late")
 
 
 def _sl(x: Column, by: Column) -> Column:
@@ -218,30 +242,44 @@ def _sr(x: Column, by: Column) -> Column:
     return F.call_function("shiftright", x, by.cast("int"))
 
 
-def fold_merges(edges: Column, n: Column) -> Column:
-    """Boundaries (bit i: before character i) after ``n`` rounds of merges over a unit of n + 1 characters.
+def _span(edge: Column) -> tuple[Column, Column]:
+    return F.shiftright(edge, 7).bitwiseAND(63), F.shiftright(edge, 1).bitwiseAND(63)
 
-    Each round applies the first edge, in sorted order, that spans exactly two
-    neighbouring symbols.
-    """
-    one = F.lit(1).cast("long")
 
-    def span(e):
-        return _sr(e, F.lit(6)).bitwiseAND(63), e.bitwiseAND(63)
+def _merges(mask: Column, edge: Column) -> Column:
+    """Whether the edge spans exactly two neighbouring symbols."""
+    start, length = _span(edge)
+    at = _sr(mask, start)
+    inner = F.shiftright(at, 1).bitwiseAND(_sl(F.lit(1).cast("long"), length - 1) - 1)
+    return (at.bitwiseAND(1) + _sr(at, length).bitwiseAND(1) == 2) & (F.bit_count(inner) == 1)
+
+
+def _merged(mask: Column, edge: Column) -> Column:
+    start, length = _span(edge)
+    return mask.bitwiseAND(F.bitwise_not(_sl(_sl(F.lit(1).cast("long"), length - 1) - 1, start + 1)))
+
 
-    def merges(mask, e):
-        start, length = span(e)
-        at = _sr(mask, start)
-        inner = _sr(at, F.lit(1)).bitwiseAND(_sl(one, length - 1) - 1)
-        ends = at.bitwiseAND(1) + _sr(at, length).bitwiseAND(1)
-        return (ends == 2) & (F.bit_count(inner) == 1)
+def fold_merges(edges: Column, n: Column) -> tuple[Column, Column]:
+    """Boundaries (bit i: before character i) of a unit of n characters after all merges, in two forms.
 
-    def step(mask, _):
-        e = F.try_element_at(F.filter(edges, lambda x: merges(mask, x)), F.lit(1))
-        start, length = span(e)
-        gone = _sl(_sl(one, length - 1) - 1, start + 1)
-        return F.coalesce(mask.bitwiseAND(F.bitwise_not(gone)), mask)
-    return F.aggregate(F.sequence(F.lit(0), n), _sl(one, n + 2) - 1, step)
+    The first applies each of the sorted edges once, in order. That is the
+    model's order unless a late piece opens an earlier edge: then it is
+    negative, and the second form holds, whose rounds each apply the first edge
+    that merges.
+    """
+    whole = _sl(F.lit(1).cast("long"), n + 1) - 1
+    failed = F.lit(-1).cast("long")
+
+    def one(mask, e):
+        after = _merged(mask, e)
+        opened = (e.bitwiseAND(1) == 1) & F.exists(edges, lambda x: (x < e) & _merges(after, x))
+        return F.when((mask < 0) | ~_merges(mask, e), mask).otherwise(F.when(opened, failed).otherwise(after))
+
+    def first(mask, _):
+        e = F.try_element_at(F.filter(edges, lambda x: _merges(mask, x)), F.lit(1))
+        return F.coalesce(_merged(mask, e), mask)
+    once = F.aggregate(edges, whole, one)
+    return once, F.aggregate(F.sequence(F.lit(1), n), whole, first)
 
 
 def fold_viterbi(edges: Column, n: Column) -> tuple[Column, Column]:
@@ -268,20 +306,23 @@ def fold_viterbi(edges: Column, n: Column) -> tuple[Column, Column]:
 
 
 def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
-    """(unit, n, ids): every unit (unit, n) with its ids, 16 bits each."""
+    """(unit, ids): every unit (unit) with its ids, 16 bits each."""
     spark = units.sparkSession
-    units = stored(units.withColumn("uid", F.monotonically_increasing_id()), "units")
-    short = units.where(F.char_length("unit") <= LONGEST).select("uid", "unit")
+    units = stored(units.select("unit", F.monotonically_increasing_id().alias("uid")), "units")
+    short = units.where(F.char_length("unit") <= LONGEST)
     pieces, n = piece_table(spark, model), F.char_length("unit")
     if model.kind == BPE:
-        found = lattice(short, pieces, min(model.longest, LONGEST), 2, bpe_edge())
-        found = found.select("uid", "unit", F.explode(F.array(F.array_sort("edges"))).alias("edges"))
-        paths = found.select("uid", "unit", fold_merges(F.col("edges"), n - 1).alias("mask"))
+        found = stored(lattice(short, pieces, min(model.longest, LONGEST), 2, bpe_edge()), "lattice",
+                       groups=(HASH_GROUPS, 4 * UNITS_PER_TASK))
+        found = found.select("unit", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
+        once, rounds = fold_merges(F.col("edges"), n)
+        found = found.select("unit", "edges", once.alias("mask"))
+        paths = found.select("unit", F.when(F.col("mask") >= 0, F.col("mask")).otherwise(rounds).alias("mask"))
     else:
         # A character outside the model costs more than any piece.
         unknown = min(model.scores.values(), default=0.0) - 10.0
         edge = F.struct("start", "len", "score")
-        found = lattice(short, pieces, min(model.longest, LONGEST), 1, edge)
+        found = stored(lattice(short, pieces, min(model.longest, LONGEST), 1, edge), "lattice", groups=(HASH_GROUPS, 50_000))
         chars = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
             i.alias("start"), F.lit(1).alias("len"), F.lit(unknown).alias("score")))
         found = found.select("uid", "unit", F.array_sort(F.concat("edges", chars)).alias("edges"))
@@ -301,67 +342,87 @@ def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
 
 # --- texts ------------------------------------------------------------------------
 
-def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, ids): whole texts with their ids."""
+ENCODED = "doc_id long, text string, ids array<int>"
+
+
+def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str = "text",
+           then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: str = ENCODED) -> DataFrame:
+    """(doc_id, text, ids): whole texts with their ids.
+
+    ``then`` turns each batch of these columns into rows of ``schema`` in the
+    same pass, where ids needn't leave their worker.
+    """
     spark = docs.sparkSession
-    counts = stored(count_units(docs, model, text), "unit-counts")
-    coded = stored(encode_units(counts, model), "unit-ids")
-    top = counts.where(F.char_length("unit") <= LONGEST).orderBy(F.desc("n"), "unit").limit(HOT_UNITS).select("unit")
-    top = stored(top, "hot-units")
-    hot = {r["unit"]: bytes(r["ids"]) for r in coded.join(top, "unit").toLocalIterator()}
-    shared = spark.sparkContext.broadcast(hot)
-    rare = coded.join(top, "unit", "left_anti")
+    small_batches(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
+    some = rows.where(unit_hash(9, "mark") < SAMPLE_DOCS / max(1, docs.count()))
+    often = count_units(some, model).where((F.col("n") > 1) & (F.char_length("unit") <= LONGEST))
+    top = stored(often.orderBy(F.desc("n"), "unit").limit(HOT_UNITS).select("unit"), "hot-units")
+    frequent = spark.sparkContext.broadcast({r["unit"]: None for r in top.toLocalIterator()})
 
     def rare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value.keys()
+        known = frequent.value
         for batch in batches:
-            marks, units = [], []
-            for mark, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = set(model.units(t)).difference(known)
-                units.extend(found)
-                marks.extend([mark] * len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(units, pa.string())], ["mark", "unit"])
-    wanted = rows.select("mark", "text").mapInArrow(rare_units, "mark long, unit string").distinct()
-    found = wanted.join(rare, "unit").groupBy("mark").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-    found = stored(found, "rare-units")
+            lo = 0
+            for texts in slices(batch.column(1).to_pylist()):
+                marks = batch.column(0).slice(lo, len(texts)).to_numpy()
+                lo += len(texts)
+                different, place, n = unit_codes(model, texts)
+                new = np.array([u not in known for u in different.to_pylist()], dtype=bool)
+                at = np.flatnonzero(new[place]) if len(place) else np.zeros(0, np.int64)
+                pairs = np.unique(np.repeat(np.arange(len(n)), n)[at] * max(1, len(different)) + place[at])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(marks[pairs // max(1, len(different))], pa.int64()),
+                     different.take(pa.array(pairs % max(1, len(different))))], ["mark", "unit"])
+    rare = stored(rows.select("mark", "text").mapInArrow(rare_units, "mark long, unit string").distinct(), "rare-units")
+    coded = stored(encode_units(rare.select("unit").distinct().unionByName(top), model), "unit-ids")
+    shared = spark.sparkContext.broadcast({r["unit"]: bytes(r["ids"]) for r in coded.join(top, "unit").toLocalIterator()})
+    found = stored(rare.join(coded, "unit").groupBy("mark").agg(F.collect_list(F.struct("unit", "ids")).alias("rare")),
+                   "rare-ids", groups=(HASH_GROUPS, 20_000))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, empty = shared.value.get, []
+        get = shared.value.get
         for batch in batches:
             lo = 0
             for texts in slices(batch.column(1).to_pylist()):
-                out = []
-                for t, own in zip(texts, batch.column(2).slice(lo, len(texts)).to_pylist()):
-                    units = model.units(t)
-                    ids = list(map(get, units))
-                    if None in ids:
-                        more = {r["unit"]: r["ids"] for r in own or empty}
-                        ids = [more[u] if i is None else i for u, i in zip(units, ids)]
-                    out.append(np.frombuffer(b"".join(ids), "<u2").astype(np.int32))
-                at = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, len(texts)), batch.column(1).slice(lo, len(texts)),
-                     pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out)))], ["doc_id", "text", "ids"])
+                here = slice(lo, lo + len(texts))
                 lo += len(texts)
+                own = batch.column(2).slice(here.start, len(texts)).flatten()
+                more = dict(zip(own.field("unit").to_pylist(), own.field("ids").to_pylist()))
+                different, place, n = unit_codes(model, texts)
+                ids = [get(u) or more[u] for u in different.to_pylist()]
+                lengths = np.array([len(i) // 2 for i in ids], dtype=np.int64)
+                found, ends = gather(place, lengths, np.frombuffer(b"".join(ids), "<u2").astype(np.int32))
+                at = ends[np.concatenate([[0], np.cumsum(n)])].astype(np.int32)
+                coded_rows = pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(here.start, len(texts)), batch.column(1).slice(here.start, len(texts)),
+                     pa.ListArray.from_arrays(pa.array(at), pa.array(found))], ["doc_id", "text", "ids"])
+                yield then(coded_rows) if then else coded_rows
     return rows.join(found, "mark", "left").select("doc_id", "text", "rare") \
-        .mapInArrow(code, "doc_id long, text string, ids array<int>")
+        .mapInArrow(code, schema)
 
 
-def decode_ids(ids: np.ndarray, model_pieces: np.ndarray, byte_values: np.ndarray) -> str:
-    """The text of ids: pieces as UTF-8, byte pieces as their byte, the first word mark dropped."""
-    raw = b"".join(model_pieces[ids].tolist())
-    out = raw.decode("utf-8", "replace").replace(MARK, " ")
-    return out[1:] if out.startswith(" ") else out
-
-
-def piece_bytes(model: PieceModel) -> np.ndarray:
+def piece_bytes(model: PieceModel) -> pa.Array:
     """Each id's bytes; control and unknown pieces have none."""
     out = [p.encode() if p in model.ids else b"" for p in model.pieces]
     for b, i in enumerate(model.byte_ids):
         out[i] = bytes([b])
-    return np.array(out, dtype=object)
+    return pa.array(out, pa.large_binary())
+
+
+def decode_lists(ids: pa.ListArray, table: pa.Array) -> list[str]:
+    """The text of each list of ids: its pieces' bytes as UTF-8, word marks as spaces, the first one dropped."""
+    at = ids.offsets.to_numpy().astype(np.int64)
+    taken = table.take(ids.values.slice(int(at[0]), int(at[-1] - at[0])))
+    ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)
+    data, out = taken.buffers()[2], []
+    bounds = ends[at - at[0]].tolist()
+    raw = data.to_pybytes() if data is not None else b""
+    for a, b in zip(bounds, bounds[1:]):
+        text = raw[a:b].decode("utf-8", "replace").replace(MARK, " ")
+        out.append(text[1:] if text.startswith(" ") else text)
+    return out
 
 
 def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
@@ -369,25 +430,35 @@ def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_bytes(model)
         for batch in batches:
-            lists = batch.column(1)
-            at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            texts = [decode_ids(values[a:b], table, table) for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(decode_lists(batch.column(1), table), pa.string())],
+                                             ["doc_id", "text"])
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def _digest(model: PieceModel, with_ids: bool) -> tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str]:
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(2)
+        table = per_process("pieces", name, lambda: piece_bytes(model))
+        at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:])]
+        same = [a == b.replace(MARK, " ") for a, b in zip(decode_lists(lists, table), batch.column(1).to_pylist())]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+            + [lists] * with_ids, ["doc_id", "n_ids", "ids_crc32", "decoded"] + ["ids"] * with_ids)
+    name = uuid.uuid4().hex
+    return each, "doc_id long, n_ids long, ids_crc32 long, decoded boolean" + ", ids array<int>" * with_ids
+
+
 def digest(encoded: DataFrame, model: PieceModel, with_ids: bool = False) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (little-endian 32-bit ids), whether decoding gives the text back, and ids if asked."""
+    each, schema = _digest(model, with_ids)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = piece_bytes(model)
-        for batch in batches:
-            lists = batch.column(2)
-            at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            crc, same = [], []
-            for a, b, text in zip(at[:-1], at[1:], batch.column(1).to_pylist()):
-                crc.append(zlib.crc32(values[a:b].astype("<u4").tobytes()))
-                same.append(decode_ids(values[a:b], table, table) == text.replace(MARK, " "))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
-                + [lists] * with_ids, ["doc_id", "n_ids", "ids_crc32", "decoded"] + ["ids"] * with_ids)
-    return encoded.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded boolean" + ", ids array<int>" * with_ids)
+        return map(each, batches)
+    return encoded.mapInArrow(run, schema)
+
+
+def encode_and_check(docs: DataFrame, model: PieceModel, with_ids: bool = False) -> DataFrame:
+    """The digest of ``encode``, made in the same pass."""
+    each, schema = _digest(model, with_ids)
+    return encode(docs, model, then=each, schema=schema)

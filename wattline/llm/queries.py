@@ -53,7 +53,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_lattice.load_model(public_tokenizers.path("piece_bpe_32k.model"))
-    return piece_lattice.digest(piece_lattice.encode(_read(spark, sf_dir, "documents"), model), model)
+    return piece_lattice.encode_and_check(_read(spark, sf_dir, "documents"), model)
 
 
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

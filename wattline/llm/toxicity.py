@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import per_process, text_or_empty, unit_hash
+from wattline.llm.common import per_process, small_batches, text_or_empty, unit_hash
 from wattline.llm.token_files import slices
 
 #: Labelled documents (expected number) to learn from, per label; longer ones than CHARS aren't taken.
@@ -46,7 +46,7 @@ SPACE = 1 << 18
 PREFIXES = (4, 5, 6)
 #: A telling form of this share of the toxic sample is always in the lexicon.
 FREQUENT = 0.03
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 EPOCHS = 40
 TOKEN = re.compile(r"\w+")
 
@@ -369,6 +369,7 @@ def _score_rows(model: Crf | None):
 
 def score_documents(docs: DataFrame, model: Crf | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, spans."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"),
                        text_or_empty(text).alias("text"))
     scored = rows.mapInArrow(_score_rows(model), f"doc_id long, held_out boolean, score double, spans {SPAN_TYPE}")
