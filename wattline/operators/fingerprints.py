@@ -215,10 +215,13 @@ def tenant_fingerprints(bills: DataFrame, sort: bool = False) -> DataFrame:
         out = out.withColumn("last_periodo_fin", F.when(keys_ok, F.col("_last"))).drop("_last")
     if has_ini and has_fin:
         out = out.withColumn("months_span", months_span("first_periodo_inicio", "last_periodo_fin"))
-    out = out.withColumn("key", F.struct(*TENANT_KEYS))
-    for column, name in (("kwh_total", "kwh_median"), ("mxn_per_kwh", "mxn_per_kwh_median")):
-        out = out.join(percentiles(x, TENANT_KEYS, column, {name: 0.5}), "key", "left")
-    out = out.drop("key")
+    medians = {"kwh_median": "kwh_total", "mxn_per_kwh_median": "mxn_per_kwh"}
+    pairs = F.array(*[F.struct(F.lit(name).alias("name"), F.col(c).alias("v")) for name, c in medians.items()])
+    each = x.select(*TENANT_KEYS, F.explode(pairs).alias("p")).select(*TENANT_KEYS, "p.*")
+    found = percentiles(each, TENANT_KEYS + ["name"], "v", {"median": 0.5})
+    found = found.groupBy(F.struct(*[F.col(f"key.{k}").alias(k) for k in TENANT_KEYS]).alias("key")).agg(
+        *[F.max(F.when(F.col("key.name") == name, F.col("median"))).alias(name) for name in medians])
+    out = out.withColumn("key", F.struct(*TENANT_KEYS)).join(found, "key", "left").drop("key")
     return out.orderBy(*[F.asc_nulls_last(k) for k in TENANT_KEYS]) if sort else out
 
 
