@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import ARROW_ROWS, HASH_GROUPS, row_mark, small_batches, stored, text_or_empty
+from wattline.llm.common import ARROW_ROWS, HASH_GROUPS, row_mark, small_batches, stored, temporaries, text_or_empty
 from wattline.llm.components import connected_components
 
 SHINGLE = 5
@@ -359,30 +359,31 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
     its different texts; the kept document is the one with that id.
     """
     small_batches(docs.sparkSession)
-    rows = sketch(docs, key, text)
-    nodes = stored(rows.groupBy("bag").agg(F.min("row").alias("node")), "nodes")
-    heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
-    buckets = stored(heads.select("node", F.explode("bands").alias("band")), "bands")
-    pairs = _stars(buckets)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _element_sets(docs, nodes.join(wanted, "node", "left_semi"), key, text)
-    links = stored(_linked(pairs, sets, threshold), "links")
-    labels = connected_components(links)
-    for step in range(ROUNDS + 1):
-        split = _split(buckets, labels)
-        if split.isEmpty():
-            break
-        more = stored(_linked(_centre_pairs(split, step), sets, threshold), "links") if step < ROUNDS \
-            else _block_links(split, sets, threshold)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = connected_components(links)
-    classes = nodes.join(labels, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
-    members = stored(rows.select("row", "doc_id", "mark", "bag").join(classes, "bag"), "members")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    sizes = members.groupBy("class").agg(first.alias("first"), F.count("*").alias("class_size"))
-    texts = classes.groupBy("class").agg(F.count("*").alias("n_texts"))
-    sizes = stored(sizes.join(texts, "class"), "classes")
+    with temporaries(docs.sparkSession) as keep:
+        rows = sketch(docs, key, text)
+        nodes = stored(rows.groupBy("bag").agg(F.min("row").alias("node")), "nodes")
+        heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+        buckets = stored(heads.select("node", F.explode("bands").alias("band")), "bands")
+        pairs = _stars(buckets)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = _element_sets(docs, nodes.join(wanted, "node", "left_semi"), key, text)
+        links = stored(_linked(pairs, sets, threshold), "links")
+        labels = connected_components(links)
+        for step in range(ROUNDS + 1):
+            split = _split(buckets, labels)
+            if split.isEmpty():
+                break
+            more = stored(_linked(_centre_pairs(split, step), sets, threshold), "links") if step < ROUNDS \
+                else _block_links(split, sets, threshold)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                labels = connected_components(links)
+        classes = nodes.join(labels, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
+        members = keep(rows.select("row", "doc_id", "mark", "bag").join(classes, "bag"), "members")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+        sizes = members.groupBy("class").agg(first.alias("first"), F.count("*").alias("class_size"))
+        texts = classes.groupBy("class").agg(F.count("*").alias("n_texts"))
+        sizes = keep(sizes.join(texts, "class"), "classes")
     return members.join(sizes, "class").select(
         "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", "n_texts",
         (F.col("row") == F.col("first.row")).alias("kept"), "mark")

@@ -8,10 +8,11 @@ write are fixed for every later reader.
 """
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,38 @@ ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 HASH_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 
 
+#: Paths of the tables written inside the open ``temporaries`` blocks, innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def temporaries(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that ``stored`` writes inside the block when it ends well.
+
+    The block gets a function that stores a table outside: a result that stays.
+    Nothing that is read later may depend on the others.
+    """
+    _OPEN.append(written := [])
+
+    def close() -> None:
+        _OPEN[:] = [w for w in _OPEN if w is not written]
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        close()
+        try:
+            return stored(df, name)
+        finally:
+            _OPEN.append(written)
+    try:
+        yield keep
+    finally:
+        close()
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in written:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(hadoop).delete(folder, True)
+
+
 def stored(df: DataFrame, name: str, **settings: tuple[str, int]) -> DataFrame:
     """Write ``df`` as a shared Parquet table and return a reader of it.
 
@@ -43,6 +76,8 @@ def stored(df: DataFrame, name: str, **settings: tuple[str, int]) -> DataFrame:
     try:
         for key, value in settings.values():
             spark.conf.set(key, value)
+        if _OPEN:
+            _OPEN[-1].append(path)
         df.write.parquet(path)
     finally:
         for key, value in before.items():

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from wattline.llm.common import row_mark, stored, text_or_empty
+from wattline.llm.common import row_mark, stored, temporaries, text_or_empty
 
 #: Characters in a block.
 BLOCK = 4096
@@ -114,7 +114,8 @@ def identities(docs: DataFrame, key: str = "doc_id", text: str = "text", block:
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, mark (see ``row_mark``)."""
-    ids = stored(identities(docs, key, text, block), "identities")
+    with temporaries(docs.sparkSession) as keep:
+        ids = keep(identities(docs, key, text, block), "identities")
     ids = ids.select("row", "head.*", "n", "name")
     last = F.max(F.struct("doc_id", "row"))
     groups = stored(ids.groupBy("n", "name").agg(last.alias("keep"), F.count("*").alias("group_size")), "groups")
