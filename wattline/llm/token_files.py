@@ -150,7 +150,7 @@ class TextEncoder:
 
         Pre-tokens are reduced to different ones, whose ids are then gathered.
         """
-        plain = [self._plain(t) for t in texts]
+        plain = [True] * len(texts) if self._plain("\n".join(texts)) else [self._plain(t) for t in texts]
         words, n_words = split_plain([t for t, p in zip(texts, plain) if p])
         coded = words.dictionary_encode()
         ids = self._ids(coded.dictionary.to_pylist())
