@@ -6,12 +6,15 @@ neighbours of neighbours (Dong et al., 2011): an edge v -> u meets the list of
 u, and closer nodes replace farther ones in the lists of both ends, until few
 entries change. Only pairs with a fresh edge are tried again.
 
-Threshold edges form components. A list that is saturated (all its entries
-reach the threshold) can't hold all links of its node, so it is enlarged to
-the node's whole component, block by block; entries below the threshold are
-dropped. Recall is audited against brute force over a bounded seeded sample of
-query vectors; found misses are kept as edges, and more orders are added while
-recall is below ``RECALL``.
+Threshold edges form components: every pair at the threshold that an order or
+a join meets between different components, whether or not a list has room for
+it. A list that is saturated (all its entries reach the threshold) can't hold
+all links of its node, so rounds repeat with new orders: from the second on, a
+node has a list of the closest nodes of its own component and another of the
+closest ones outside, and an order compares a row with the last rows of other
+components before it. A link that leaves a component is thus never displaced by
+links inside. Rounds end when one adds no edge. Links inside a component are
+then counted exactly, block by block.
 
 Nothing here grows with the degree of a node: lists are bounded, hubs are
 split by adaptive joins, a component is handled in pairs of bounded blocks
@@ -65,13 +68,15 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return unit(flat.reshape(-1, dim)) if len(flat) else np.zeros((0, dim))
 
 
-def _pairs_batch(a, b, sim) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())],
-                                      ["v", "id", "sim"])
+def _pairs_batch(a, b, sim, own=None) -> pa.RecordBatch:
+    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())]
+    names = ["v", "id", "sim"]
+    return pa.RecordBatch.from_arrays(columns, names) if own is None else \
+        pa.RecordBatch.from_arrays(columns + [pa.array(own, pa.bool_())], names + ["own"])
 
 
 def _project(dim: int, orders: range):
-    """(trial, place, node, vec): each node's place in every order, from the signs of seeded projections."""
+    """(trial, place, node, vec, component): each node's place in every order, from the signs of seeded projections."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = [np.random.default_rng([5, t]).standard_normal((dim, BITS)) for t in orders]
         bits = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
@@ -80,85 +85,140 @@ def _project(dim: int, orders: range):
             for t, plane in zip(orders, planes):
                 place = ((v @ plane) > 0).astype(np.int64) @ bits
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), t, np.int32)), pa.array(place), batch.column(0), batch.column(1)],
-                    ["trial", "place", "node", "vec"])
+                    [pa.array(np.full(len(v), t, np.int32)), pa.array(place), batch.column(0), batch.column(1), batch.column(2)],
+                    ["trial", "place", "node", "vec", "component"])
     return run
 
 
 def _window(dim: int):
-    """Similarities of each row and the STEPS rows before it in the sorted partition."""
+    """Similarities of each row and the last rows of the STEPS runs before its own in the sorted partition.
+
+    A run is a row and those that follow it in the same component.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_t, held_n, held_v = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dim))
+        trial, node, component, vec = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dim))
         for batch in batches:
-            trial = np.concatenate([held_t, batch.column(0).to_numpy()])
-            node = np.concatenate([held_n, batch.column(2).to_numpy()])
-            vec = np.concatenate([held_v, _matrix(batch.column(3), dim)])
+            held = len(node)
+            trial = np.concatenate([trial, batch.column(0).to_numpy()])
+            node = np.concatenate([node, batch.column(2).to_numpy()])
+            vec = np.concatenate([vec, _matrix(batch.column(3), dim)])
+            component = np.concatenate([component, batch.column(4).to_numpy()])
+            ends = (np.diff(component) != 0) | (np.diff(trial) != 0)
+            place = np.concatenate([[0], np.cumsum(ends)]).astype(np.int64)[:len(node)]
+            last = np.append(np.flatnonzero(ends), len(node) - 1)
             for step in range(1, STEPS + 1):
-                hi = np.arange(max(step, len(held_n)), len(node))
-                hi = hi[trial[hi] == trial[hi - step]]
-                sim = (vec[hi] * vec[hi - step]).sum(1)
-                yield _pairs_batch(node[hi], node[hi - step], sim)
-                yield _pairs_batch(node[hi - step], node[hi], sim)
-            held_t, held_n, held_v = trial[-STEPS:], node[-STEPS:], vec[-STEPS:]
+                hi = np.arange(held, len(node))
+                hi = hi[place[hi] >= step]
+                lo = last[place[hi] - step]
+                near = (trial[hi] == trial[lo]) & (component[hi] != component[lo])
+                hi, lo = hi[near], lo[near]
+                sim, own = (vec[hi] * vec[lo]).sum(1), np.zeros(len(hi), bool)
+                yield _pairs_batch(node[hi], node[lo], sim, own)
+                yield _pairs_batch(node[lo], node[hi], sim, own)
+            kept = last[-STEPS - 1:] if len(node) else last[:0]
+            trial, node, component, vec = trial[kept], node[kept], component[kept], vec[kept]
     return run
 
 
-def _meet(dim: int):
-    """Each edge v -> u with the list of u: candidates closer to v than its farthest neighbour."""
+def _meet(dim: int, threshold: float):
+    """Each edge v -> u with the lists of u: candidates closer to v than its farthest neighbour of their kind.
+
+    Pairs of different components at the threshold are links and always candidates.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v, vec = batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
-            least, fresh = batch.column(2).to_numpy(), batch.column(3).to_numpy(zero_copy_only=False)
-            lists = batch.column(4)
+            component, fresh = batch.column(2).to_numpy(), batch.column(5).to_numpy(zero_copy_only=False)
+            least = np.stack([batch.column(3).to_numpy(), batch.column(4).to_numpy()])
+            lists = batch.column(6)
             at, inner = lists.offsets.to_numpy(), lists.values
             w = inner.field(0).to_numpy()[at[0]:at[-1]]
             w_fresh = inner.field(1).to_numpy(zero_copy_only=False)[at[0]:at[-1]]
             w_vec = _matrix(inner.field(2).slice(at[0], at[-1] - at[0]), dim)
+            w_component = inner.field(3).to_numpy()[at[0]:at[-1]]
             row = np.repeat(np.arange(len(v)), np.diff(at))
             new = (fresh[row] | w_fresh) & (w != v[row])
-            row, w, w_vec = row[new], w[new], w_vec[new]
+            row, w, w_vec, own = row[new], w[new], w_vec[new], (w_component == component[row])[new]
             sim = (vec[row] * w_vec).sum(1)
-            keep = sim > least[row]
-            yield _pairs_batch(v[row[keep]], w[keep], sim[keep])
-            yield _pairs_batch(w[keep], v[row[keep]], sim[keep])
+            keep = (sim > least[own.astype(np.int64), row]) | (~own & (sim >= threshold))
+            yield _pairs_batch(v[row[keep]], w[keep], sim[keep], own[keep])
+            yield _pairs_batch(w[keep], v[row[keep]], sim[keep], own[keep])
     return run
 
 
 PAIR = "v long, id long, sim double"
+LISTED = f"{PAIR}, own boolean"
 
 
 def _closest(pairs: DataFrame) -> DataFrame:
-    """The NEIGHBOURS closest entries of each node; a partial limit runs before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.col("sim").desc(), "id"))
+    """The NEIGHBOURS closest entries of each node inside and outside its component; a partial limit runs before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("v", "own").orderBy(F.col("sim").desc(), "id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= NEIGHBOURS).drop("rank")
 
 
+def _merged(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(v, id, sim, own, fresh): the entries of both, fresh where only ``new`` has them."""
+    found = old.select("v", "id", "sim", "own", F.lit(False).alias("fresh")).unionByName(new.withColumn("fresh", F.lit(True)))
+    return found.groupBy("v", "id").agg(F.max("sim").alias("sim"), F.max("own").alias("own"), F.min("fresh").alias("fresh"))
+
+
 def start_lists(vecs: DataFrame, dim: int, orders: range) -> DataFrame:
-    """(v, id, sim): pairs of nodes next to each other in random sign-projection orders."""
+    """(v, id, sim, own): pairs of components next to each other in random sign-projection orders."""
     kind = dict(vecs.dtypes)["vec"]
-    placed = vecs.mapInArrow(_project(dim, orders), f"trial int, place long, node long, vec {kind}")
+    placed = vecs.mapInArrow(_project(dim, orders), f"trial int, place long, node long, vec {kind}, component long")
     placed = placed.repartitionByRange("trial", "place").sortWithinPartitions("trial", "place", "node")
-    return placed.mapInArrow(_window(dim), PAIR)
+    return placed.mapInArrow(_window(dim), LISTED)
 
 
-def descend(lists: DataFrame, vecs: DataFrame, dim: int) -> DataFrame:
-    """Refine the lists (v, id, sim, fresh) until few of their entries change."""
-    n = lists.count()
-    for _ in range(ITERATIONS):
-        listed = lists.join(vecs.select(F.col("node").alias("id"), "vec"), "id") \
-            .groupBy(F.col("v").alias("u")).agg(F.collect_list(F.struct("id", "fresh", "vec")).alias("list"))
-        farthest = lists.groupBy("v").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).alias("least"))
-        edges = lists.select("v", F.col("id").alias("u"), "fresh").join(
-            vecs.select(F.col("node").alias("v"), "vec").join(farthest, "v"), "v")
-        met = edges.join(listed, "u").select("v", "vec", "least", "fresh", "list").mapInArrow(_meet(dim), PAIR)
-        old = lists.select("v", "id", "sim", F.lit(False).alias("fresh"))
-        found = old.unionByName(met.withColumn("fresh", F.lit(True)))
-        both = found.groupBy("v", "id").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+def descend(lists: DataFrame, met: DataFrame, vecs: DataFrame, dim: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Lists (v, id, sim, own) refined from ``met`` pairs until few entries change, and the links found (v, id).
+
+    Links are pairs of different components at the threshold, in a list or not.
+    """
+    links, n = None, None
+    for _ in range(ITERATIONS + 1):
+        both = stored(_merged(lists, met), "met")
+        found = both.where(~F.col("own") & (F.col("sim") >= threshold)).select("v", "id")
+        links = found if links is None else links.unionByName(found)
         lists = stored(_closest(both), "lists")
-        changed = lists.where("fresh").count()
-        if changed <= CHANGE * max(1, n):
+        counts = lists.agg(F.count("*"), F.count_if("fresh")).first()
+        if n is not None and counts[1] <= CHANGE * max(1, n):
             break
-    return lists
+        n = counts[0] if n is None else n
+        listed = lists.join(vecs.select(F.col("node").alias("id"), "vec", "component"), "id") \
+            .groupBy(F.col("v").alias("u")).agg(F.collect_list(F.struct("id", "fresh", "vec", "component")).alias("list"))
+
+        def least(own: bool):
+            of = F.when(F.col("own") == own, F.col("sim"))
+            return F.when(F.count(of) >= NEIGHBOURS, F.min(of)).otherwise(F.lit(-2.0))
+        farthest = lists.groupBy("v").agg(least(False).alias("least_out"), least(True).alias("least_own"))
+        edges = lists.select("v", F.col("id").alias("u"), "fresh").join(
+            vecs.select(F.col("node").alias("v"), "vec", "component").join(farthest, "v"), "v")
+        tried = edges.join(listed, "u").where(F.col("fresh") | F.exists("list", lambda e: e["fresh"]))
+        met = tried.select("v", "vec", "component", "least_out", "least_own", "fresh", "list") \
+            .mapInArrow(_meet(dim, threshold), LISTED)
+    return lists, links
+
+
+def _relabelled(vecs: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+    """``vecs`` with the components that ``links`` (v, id) join named as one, and whether there is any such."""
+    at = vecs.select("node", "component")
+    ends = links.distinct().join(at.select(F.col("node").alias("v"), F.col("component").alias("a")), "v") \
+        .join(at.select(F.col("node").alias("id"), F.col("component").alias("b")), "id").where("a != b")
+    ends = stored(ends.select("a", "b").distinct(), "joined")
+    if ends.isEmpty():
+        return vecs, False
+    names = connected_components(ends).select(F.col("node").alias("component"), F.col("component").alias("name"))
+    return stored(vecs.join(names, "component", "left").select(
+        "node", "vec", F.coalesce("name", "component").alias("component")), "labelled"), True
+
+
+def _own(lists: DataFrame, vecs: DataFrame) -> DataFrame:
+    """``lists`` with ``own`` by the present components."""
+    at = vecs.select("node", "component")
+    return lists.select("v", "id", "sim").join(at.select(F.col("node").alias("v"), F.col("component").alias("a")), "v") \
+        .join(at.select(F.col("node").alias("id"), F.col("component").alias("b")), "id") \
+        .select("v", "id", "sim", (F.col("a") == F.col("b")).alias("own"))
 
 
 def _audit(vecs: DataFrame, dim: int, threshold: float) -> DataFrame:
@@ -222,30 +282,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
                                  F.when(valid, x).alias("vec")), "vectors")
     vecs = stored(rows.where("vec is not null").groupBy("vec").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
                   .select("node", "vec", "copies"), "nodes")
-    plain = vecs.select("node", "vec")
-    lists = descend(stored(_closest(start_lists(plain, dim, range(ORDERS)).distinct()).withColumn("fresh", F.lit(True)),
-                           "lists"), plain, dim)
-    audit = _audit(plain, dim, threshold)
+    nodes = vecs.select("node", "vec", F.col("node").alias("component"))
+    lists, done = vectors.sparkSession.createDataFrame([], LISTED), 0
+    audit, recall = _audit(vecs.select("node", "vec"), dim, threshold), 1.0
     truth = audit.count()
-    edges, recall = lists.where(F.col("sim") >= threshold).select(F.col("v").alias("a"), F.col("id").alias("b")), 1.0
-    for extra in range(1, AUDIT_ROUNDS + 1):
-        labels = stored(connected_components(edges), "components")
-        if not truth:
-            break
-        side = labels.select(F.col("node").alias("v"), F.col("component").alias("cv"))
-        other = labels.select(F.col("node").alias("id"), F.col("component").alias("ci"))
-        recall = audit.join(side, "v").join(other, "id").where("cv = ci").count() / truth
-        if recall >= RECALL or extra == AUDIT_ROUNDS:
+    while True:
+        lists, links = descend(_own(lists, nodes), start_lists(nodes, dim, range(done, done + ORDERS)), nodes, dim, threshold)
+        nodes, joined = _relabelled(nodes, links)
+        done += ORDERS
+        if truth:
+            recall = _own(audit, nodes).where("own").count() / truth
+        if not joined and (recall >= RECALL or done >= AUDIT_ROUNDS * ORDERS):
             break
-        more = start_lists(plain, dim, range(ORDERS * extra, ORDERS * (extra + 1)))
-        both = lists.select("v", "id", "sim", F.lit(False).alias("fresh")) \
-            .unionByName(more.withColumn("fresh", F.lit(True))).groupBy("v", "id") \
-            .agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-        lists = descend(stored(_closest(both), "lists"), plain, dim)
-        edges = edges.unionByName(lists.where(F.col("sim") >= threshold).select(F.col("v").alias("a"), F.col("id").alias("b")))
-    if truth:
-        edges = edges.unionByName(audit.select(F.col("v").alias("a"), F.col("id").alias("b")))
-        labels = stored(connected_components(edges), "components")
+    nodes, _ = _relabelled(nodes, audit.select("v", "id"))
+    labels = nodes.select("node", "component")
     members = vecs.join(labels, "node").select("node", "component", "copies", "vec")
     links = _count_links(members, dim, threshold)
     owner = rows.where("vec is not null").join(vecs.select("vec", "node", "copies"), "vec").select("row", "vec_id", "node", "copies")
