@@ -2,6 +2,7 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from wattline.llm import nn_descent
 
@@ -48,3 +49,36 @@ def _check(spark, x):
 def test_clumps_with_full_lists_are_joined(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "AUDITED", 0)
     _check(spark, _clumps(np.random.default_rng(3), 100))
+
+
+def _isolated(rng, pairs):
+    """Pairs just above 0.95, each far from all others."""
+    x = _noise(rng, pairs)
+    side = _noise(rng, pairs)
+    side -= (side * x).sum(1, keepdims=True) * x
+    return np.concatenate([x, 0.951 * x + np.sqrt(1 - 0.951 ** 2) * nn_descent.unit(side)])
+
+
+def test_isolated_pairs_are_found_without_the_audit(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "AUDITED", 0)
+    _check(spark, _isolated(np.random.default_rng(4), 1_500))
+
+
+def test_orders_grow_with_the_rows():
+    few, many, most = (nn_descent.orders_needed(n, 0.95) for n in (2, 10_000, 10_000_000))
+    assert few < many < most < 100
+
+
+def test_recall_below_the_target_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_relabelled", lambda vecs, links: (vecs, False))
+    monkeypatch.setattr(nn_descent, "EXTRA_ORDERS", 0)
+    x = _isolated(np.random.default_rng(6), 50)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall of audited links is 0.0000"):
+        nn_descent.near_duplicates(frame)
+
+
+def test_recall_counts_nodes_besides_links(spark):
+    nodes = spark.createDataFrame([(i, 0 if i < 10 else i) for i in range(12)], "node long, component long")
+    pairs = [(0, i, 1.0) for i in range(1, 10)] + [(10, 11, 1.0)]
+    assert nn_descent._recall(spark.createDataFrame(pairs, nn_descent.PAIR), nodes) == 0.5

@@ -13,8 +13,16 @@ all links of its node, so rounds repeat with new orders: from the second on, a
 node has a list of the closest nodes of its own component and another of the
 closest ones outside, and an order compares a row with the last rows of other
 components before it. A link that leaves a component is thus never displaced by
-links inside. Rounds end when one adds no edge. Links inside a component are
-then counted exactly, block by block.
+links inside. Links inside a component are then counted exactly, block by block.
+
+A pair at the threshold agrees in one sign with a fixed probability, so orders
+of more rows part it more often: at least as many orders are made as leave such
+a pair apart in all of them with a probability of 1 - ``RECALL``, then rounds
+repeat until one adds no edge. Recall is audited against brute force over two
+bounded seeded samples, of all nodes and of those whose lists aren't saturated,
+as the smaller of the shares over links and over nodes. More orders are made
+while it is below ``RECALL``; if ``EXTRA_ORDERS`` times the orders don't reach
+it, the query fails and names it. Found misses are kept as edges.
 
 Nothing here grows with the degree of a node: lists are bounded, hubs are
 split by adaptive joins, a component is handled in pairs of bounded blocks
@@ -28,9 +36,11 @@ gives an empty result.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +50,7 @@ from wattline.llm.components import connected_components
 
 THRESHOLD = 0.95
 NEIGHBOURS = 8
+#: Orders of one round.
 ORDERS = 12
 #: Following nodes of an order that a node is compared with.
 STEPS = 3
@@ -49,7 +60,8 @@ ITERATIONS = 5
 CHANGE = 0.01
 AUDITED = 500
 RECALL = 0.995
-AUDIT_ROUNDS = 3
+#: Orders after which a recall below RECALL is an error, as a multiple of ``orders_needed``.
+EXTRA_ORDERS = 4
 #: Members of a component that are compared with each other at once.
 BLOCK = 512
 
@@ -221,21 +233,48 @@ def _own(lists: DataFrame, vecs: DataFrame) -> DataFrame:
         .select("v", "id", "sim", (F.col("a") == F.col("b")).alias("own"))
 
 
-def _audit(vecs: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """(v, id, sim): all links of a bounded seeded sample of nodes, by brute force against every node."""
+def orders_needed(n: int, threshold: float) -> int:
+    """Orders that part a pair at the threshold among n nodes in all of them with a probability of 1 - RECALL at most."""
+    agree = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+    together = agree ** math.log2(max(2, n))
+    return math.ceil(math.log(1 - RECALL) / math.log1p(-together)) if 0 < together < 1 else 1
+
+
+def _sampled(vecs: DataFrame, seed: int):
+    """A bounded seeded sample of nodes (node, vec), on the driver."""
     total = max(1, vecs.count())
-    sample = vecs.where(unit_hash(55, "node") < AUDITED / total).limit(2 * AUDITED).toPandas()
+    return vecs.where(unit_hash(seed, "node") < AUDITED / total).select("node", "vec").limit(2 * AUDITED).toPandas()
+
+
+def _audit(vecs: DataFrame, lists: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """(v, id, sim): all links of bounded seeded samples of nodes, by brute force against every node.
+
+    One sample is of all nodes, the other of those that have fewer than NEIGHBOURS links in ``lists``.
+    """
+    full = lists.where(F.col("sim") >= threshold).groupBy("v").count().where(F.col("count") >= NEIGHBOURS)
+    loose = stored(vecs.join(full.select(F.col("v").alias("node")), "node", "left_anti"), "loose")
+    sample = pd.concat([_sampled(vecs, 55), _sampled(loose, 56)]).drop_duplicates("node")
     if not len(sample):
         return vecs.sparkSession.createDataFrame([], PAIR)
     ids, queries = sample["node"].to_numpy(np.int64), unit(np.array(sample["vec"].tolist(), dtype=np.float64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, sim = batch.column(0).to_numpy(), _matrix(batch.column(1), dim) @ queries.T
-            r, q = np.nonzero(sim >= threshold)
-            other = node[r] != ids[q]
-            yield _pairs_batch(ids[q][other], node[r][other], sim[r, q][other])
-    return stored(vecs.mapInArrow(run, PAIR), "audit")
+            node, matrix = batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
+            for lo in range(0, len(ids), BLOCK):
+                of = ids[lo:lo + BLOCK]
+                sim = matrix @ queries[lo:lo + BLOCK].T
+                r, q = np.nonzero(sim >= threshold)
+                other = node[r] != of[q]
+                yield _pairs_batch(of[q][other], node[r][other], sim[r, q][other])
+    return stored(vecs.select("node", "vec").mapInArrow(run, PAIR), "audit")
+
+
+def _recall(audit: DataFrame, nodes: DataFrame) -> float:
+    """The smaller of two shares of audited links that lie in one component: of all, and the mean of each node's share."""
+    each = _own(audit, nodes).groupBy("v").agg(F.count("*").alias("n"), F.count_if("own").alias("found"))
+    pairs, per_node = each.agg(F.sum("found") / F.sum("n"), F.avg(F.col("found") / F.col("n"))).first()
+    return 1.0 if pairs is None else min(pairs, per_node)
 
 
 def _block_links(dim: int, threshold: float):
@@ -283,17 +322,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
     vecs = stored(rows.where("vec is not null").groupBy("vec").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
                   .select("node", "vec", "copies"), "nodes")
     nodes = vecs.select("node", "vec", F.col("node").alias("component"))
-    lists, done = vectors.sparkSession.createDataFrame([], LISTED), 0
-    audit, recall = _audit(vecs.select("node", "vec"), dim, threshold), 1.0
-    truth = audit.count()
+    lists, audit, recall, done = vectors.sparkSession.createDataFrame([], LISTED), None, 1.0, 0
+    needed = orders_needed(nodes.count(), threshold)
     while True:
         lists, links = descend(_own(lists, nodes), start_lists(nodes, dim, range(done, done + ORDERS)), nodes, dim, threshold)
         nodes, joined = _relabelled(nodes, links)
         done += ORDERS
-        if truth:
-            recall = _own(audit, nodes).where("own").count() / truth
-        if not joined and (recall >= RECALL or done >= AUDIT_ROUNDS * ORDERS):
+        if joined or done < needed:
+            continue
+        audit = audit or _audit(nodes, lists, dim, threshold)
+        recall = _recall(audit, nodes)
+        if recall >= RECALL:
             break
+        if done >= EXTRA_ORDERS * needed:
+            raise RuntimeError(f"near-duplicates: recall of audited links is {recall:.4f} after {done} orders, below {RECALL}")
     nodes, _ = _relabelled(nodes, audit.select("v", "id"))
     labels = nodes.select("node", "component")
     members = vecs.join(labels, "node").select("node", "component", "copies", "vec")
