@@ -82,3 +82,10 @@ def test_recall_counts_nodes_besides_links(spark):
     nodes = spark.createDataFrame([(i, 0 if i < 10 else i) for i in range(12)], "node long, component long")
     pairs = [(0, i, 1.0) for i in range(1, 10)] + [(10, 11, 1.0)]
     assert nn_descent._recall(spark.createDataFrame(pairs, nn_descent.PAIR), nodes) == 0.5
+
+
+def test_clumps_pairs_and_a_hot_group_with_few_audited_nodes(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "AUDITED", 5)
+    rng = np.random.default_rng(5)
+    hot = _at(rng, np.repeat(_noise(rng, 1), 600, axis=0), 0.99)
+    _check(spark, np.concatenate([_clumps(rng, 50), _isolated(rng, 500), hot]))
