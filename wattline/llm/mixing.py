@@ -103,16 +103,28 @@ def _plan(source: pd.DataFrame) -> pd.DataFrame:
     return source.assign(passes=passes, extra=extra)
 
 
+def numbered(rows: DataFrame, key: str, out: str) -> DataFrame:
+    """``rows`` (one a key) with ``out``: the key's place from 0, null last, by a range-partitioned sort.
+
+    Only the row counts of the partitions meet in one task.
+    """
+    order = F.col(key).asc_nulls_last()
+    at = F.monotonically_increasing_id()
+    placed = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("__at", at)
+    placed = stored(placed.withColumn("__part", F.shiftright("__at", 33)), "numbered")
+    before = bucket_offsets(placed.groupBy("__part").agg(F.count("*").alias("__n")), [], "__part", "__n", "__before")
+    within = F.col("__at") - F.shiftleft("__part", 33)
+    return placed.join(before.drop("__n"), "__part").withColumn(out, F.col("__before") + within).drop("__part", "__at", "__before")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET) -> DataFrame:
     """(source, source_size, target): shares by weight, stopped at MAX_REPEATS times a source's size.
 
     Capping and resharing repeat until no target is above its cap; each round
     is one aggregate over the table of sources, of which two sums are read.
     """
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                          ((F.row_number().over(place) - 1) % len(weights) + 1).cast("int"))
+    sources = numbered(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "source", "place")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
     sources = stored(sources.select("source", "source_size", weight.alias("weight"),
                                     (F.col("source_size") * float(MAX_REPEATS)).alias("cap")), "sources")
     whole = sources.agg(F.sum("source_size"), F.sum("weight")).first()
@@ -138,7 +150,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, seed: int = 1,
     lengths = stored(rows.groupBy("source", "size").agg(F.count("*").alias("docs")), "lengths")
     targets = source_targets(lengths.select("source", (F.col("size") * F.col("docs")).alias("size")), weights, budget)
     same_source = F.col("source").eqNullSafe(F.col("t_source"))
-    hist = lengths.join(F.broadcast(targets.withColumnRenamed("source", "t_source")), same_source).drop("t_source")
+    hist = lengths.join(targets.withColumnRenamed("source", "t_source"), same_source).drop("t_source")
     plan = stored(hist.groupBy("source").applyInPandas(
         _plan, "source string, size long, docs long, source_size long, target double, passes int, extra long"), "plan")
     return _pick(rows, plan)
