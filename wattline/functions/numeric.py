@@ -47,10 +47,6 @@ def to_num_series(c) -> Column:
     return F.when(~s.isin("", "None", "nan"), safe_numeric(s))
 
 
-def safe_div(num, den) -> Column:
-    return F.try_divide(as_col(num), as_col(den))
-
-
 def ratio_if(cond, num, den) -> Column:
     """``num / den`` only where ``cond`` holds."""
     return F.when(cond, F.try_divide(as_col(num), as_col(den)))

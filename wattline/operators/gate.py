@@ -38,7 +38,12 @@ def assemble_text(pages: DataFrame, max_pages: int = 2, key: str = "file_path",
         p = p.where(txt != "")
     numbers = range(1, max_pages + 1)
     agg = p.groupBy(key).agg(*[F.max(F.when(F.col("page_no") == i, txt)).alias(f"_page{i}") for i in numbers])
-    return agg.select(key, pystrip(F.concat_ws("\n", *[f"_page{i}" for i in numbers])).alias("text"))
+    return agg.select(key, joined_pages(*[F.col(f"_page{i}") for i in numbers]).alias("text"))
+
+
+def joined_pages(*texts: Column) -> Column:
+    """The text of a document from its pages in order; a page that isn't there (null) is left out."""
+    return pystrip(F.concat_ws("\n", *texts))
 
 
 def keyless_pages(pages: DataFrame, key: str = "file_path") -> DataFrame:
@@ -126,8 +131,14 @@ def text_gate(df: DataFrame, text_col: str = "text", min_chars: int = 80) -> Dat
 
 
 def forced_only(alternate_pages: DataFrame, gated: DataFrame, key: str = "file_path") -> DataFrame:
-    """The alternate pages of the keys that the gate forces; their texts are the only ones needed."""
-    return alternate_pages.join(gated.where("force_ocr").select(key), key, "left_semi")
+    """The alternate pages of the keys that the gate forces; their texts are the only ones needed.
+
+    The flag goes through ``explode``: a filter on it would be pushed through
+    the gate's projections, and all its rules with their features inlined in
+    one condition are too much code for one generated method.
+    """
+    forced = gated.select(key, F.explode(F.array("force_ocr")).alias("forced")).where("forced").select(key)
+    return alternate_pages.join(forced, key, "left_semi")
 
 
 def choose_text_source(gated: DataFrame, alternate: DataFrame | None,

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import posixpath
 import re
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BILLS_FOLDER = "7. Recibos CFE"
@@ -138,3 +139,19 @@ def sort_paths(listing: DataFrame, limit: int | None = None) -> DataFrame:
     """O2/O3: case-blind path order, optionally the first ``limit`` paths."""
     out = listing.orderBy(F.lower("file_path"), "file_path")
     return out.limit(limit) if limit else out
+
+
+def numbered(rows: DataFrame, sort: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """``rows`` in the order of ``sort``, written to ``path``, with each row's ``position`` from 1.
+
+    The sorted parts are written once, so their order is fixed; a position is
+    the row's number in its part and the rows of the parts before.
+    """
+    spark, number = rows.sparkSession, F.monotonically_increasing_id()
+    sort(rows).select("*", F.shiftright(number, 33).alias("_part"), number.bitwiseAND((1 << 33) - 1).alias("_number")).write.parquet(path)
+    parts = spark.read.parquet(path)
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    # A row per part, not per row of the table.
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_part", before.alias("_before"))
+    return parts.join(offsets, "_part").select(*rows.columns, (F.col("_before") + F.col("_number") + 1).alias("position"))

@@ -520,4 +520,28 @@ SELECT file_path, CASE WHEN parse_status = 'ok' THEN 'ok' ELSE 'error' END AS st
   CASE WHEN cls IN (0, 1, 3, 4, 5) THEN 'ocr' ELSE 'pdfplumber' END AS text_source,
   coalesce(reason, 'init') AS reason, nullif(parse_error, '') AS error
 FROM bills WHERE okey % 2 = 1"""
+    q["page_store_resume"] = q["incremental_parse"]
+    q["compacted_runs"] = q["incremental_runs"]
+    q["maintained_malls"], q["maintained_tenants"] = q["mall_rollup"], q["tenant_fingerprints"]
+    q["maintained_tariffs"] = WITH + BILLS_NUM + """
+SELECT mall_folder, recibos_subgroup, tarifa, count(*) AS tarifa_bills FROM x GROUP BY ALL"""
+    q["run_table"] = WITH + """
+, r AS (SELECT 1 AS number, * FROM bills WHERE okey % 2 = 0
+  UNION ALL SELECT 2, * FROM bills WHERE okey % 2 = 1 OR parse_status <> 'ok'
+  UNION ALL SELECT 3, * FROM bills WHERE okey % 3 = 0)
+SELECT number, count(*) FILTER (parse_status = 'ok') AS processed, count(*) FILTER (parse_status <> 'ok') AS errors,
+  CASE number WHEN 2 THEN (SELECT count(*) FROM bills WHERE okey % 2 = 0 AND parse_status = 'ok') ELSE 0 END AS skipped
+FROM r GROUP BY number"""
+    q["page_stream"] = WITH + """
+SELECT file_path, parse_status, reason AS text_source_reason, text_len, kwh_total FROM (""" + "SELECT *, reason FROM (SELECT " + PARSED_COLUMNS + """, reason
+FROM bills)) WHERE parse_status <> 'error:FileNotFoundError'"""
+    q["rejected_lines"] = WITH + """
+SELECT 'done' AS kind, file_path AS value FROM paths WHERE cls <> 11 AND okey % 2 = 0
+UNION ALL SELECT 'rejected', '{"file_path": "' || file_path FROM paths WHERE cls <> 11 AND (okey % 10 = 4 OR okey % 10 = 5)"""
+    q["sorted_index"] = WITH + """
+SELECT file_path, file_name, mall AS mall_folder, sub AS recibos_subgroup, year_folder AS recibos_year_folder, year_num AS recibos_year,
+  row_number() OVER (ORDER BY mall NULLS LAST, sub NULLS LAST, year_num NULLS LAST, file_name) AS position
+FROM paths WHERE cls <> 11"""
+    q["sorted_malls"] = "SELECT *, row_number() OVER (ORDER BY mall_folder NULLS LAST, recibos_subgroup NULLS LAST) AS position FROM (" \
+        + q["mall_fingerprints"] + ")"
     return q

@@ -37,11 +37,16 @@ BILL_COLUMNS = [c for c in FIELD_COLUMNS if c != "historico_rows"] + INDEX_COLUM
 def parse_bills(index: DataFrame, pages: DataFrame,
                 alternate_pages: Optional[DataFrame] = None, max_pages: int = 2,
                 min_chars: int = 80, specs: Sequence[FieldSpec] = DEFAULT_SPECS,
-                keep_rows: bool = True) -> DataFrame:
+                keep_rows: bool = True, prune: bool = False) -> DataFrame:
     """Parsed bill table (one row per index row) with the envelope.
 
     ``keep_rows`` keeps the ``historico_rows`` array for ``bill_history``.
+    ``prune`` leaves out the pages of files that aren't in the index before any
+    text is assembled: for an index of few files of a large page table.
     """
+    if prune:
+        pages = pages_of(pages, index)
+        alternate_pages = None if alternate_pages is None else pages_of(alternate_pages, index)
     emb = assemble_text(pages, max_pages)
     alt = None
     if alternate_pages is not None:
@@ -50,6 +55,11 @@ def parse_bills(index: DataFrame, pages: DataFrame,
     return parse_texts(index, emb, alt, max_pages, min_chars, specs, keep_rows)
 
 
+def pages_of(pages: DataFrame, files: DataFrame, key: str = "file_path") -> DataFrame:
+    """The pages of the given files. The join and the assembly share one exchange by ``key``; few files are broadcast by AQE."""
+    return pages.join(files.select(key), key, "left_semi")
+
+
 def parse_texts(index: Optional[DataFrame], texts: DataFrame, alternate_texts: Optional[DataFrame] = None,
                 max_pages: int = 2, min_chars: int = 80,
                 specs: Sequence[FieldSpec] = DEFAULT_SPECS, keep_rows: bool = True,
@@ -141,10 +151,12 @@ def progress_records(parsed: DataFrame) -> DataFrame:
     )
 
 
+def counters() -> list:
+    """Processed / errors of a parse, to aggregate or to observe."""
+    return [F.count_if(F.col("parse_status") == "ok").alias("processed"),
+            F.count_if(F.col("parse_status") != "ok").alias("errors")]
+
+
 def run_counters(parsed: DataFrame) -> DataFrame:
     """Processed / errors (skipped comes from the resume filter)."""
-    return parsed.agg(
-        F.count_if(F.col("parse_status") == "ok").alias("processed"),
-        F.count_if(F.col("parse_status") != "ok").alias("errors"),
-        F.count(F.lit(1)).alias("attempted"),
-    )
+    return parsed.agg(*counters(), F.count(F.lit(1)).alias("attempted"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,15 +23,19 @@ from wattline.operators.gate import (
     assemble_text, choose_text_source, gate_features, gate_reason, text_gate,
 )
 from wattline.operators.history import history_features
-from wattline.operators.paths import build_index, read_listing, sort_paths
+from wattline.operators.paths import build_index, numbered, read_listing, sort_index, sort_paths
 from wattline.operators.profile import dataset_profile, describe, histogram, row_count_and_columns, \
     unique_count, value_counts
 from wattline.plans.analysis import analyze
-from wattline.plans.incremental import committed, done_files, incremental_parse, resume_filter
+from wattline.plans import rollup_state
+from wattline.plans.incremental import compact, committed, done_files, incremental_parse, quarantine, read_progress, \
+    resume_filter, rollup_counts, run_table
 from wattline.plans.parse import bill_history, bills_table, parse_bills, progress_records, \
     run_counters
 from wattline.session import checkpoint_dir
+from wattline.sources.page_store import write_page_store
 from wattline.sources.rendered import ROOT, render_bills
+from wattline.streaming.stream import stream_pages
 
 MAX_PAGES = 2
 FIRST_N = 100
@@ -87,6 +91,13 @@ def _folder(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """A written copy, for queries that read their rows several times."""
+    path = _folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _bills(spark, sf_dir):
     return bills_table(_parsed(spark, sf_dir, keep_rows=False)).drop("parsed_at")
 
@@ -159,7 +170,7 @@ def q_bill_history(spark, sf_dir):
 
 def _history_with_second_contract(spark, sf_dir):
     """Class 16 files get a second copy of their rows under another contract, class 19 files under another account."""
-    h = bill_history(_parsed(spark, sf_dir))
+    h = _stored(bill_history(_parsed(spark, sf_dir)), "history-rows")
     key = F.regexp_extract(F.col("file_name"), r"^(\d+)\.", 1).cast("long")
     extra = h.where(key % 100 == 16).withColumn(
         "no_servicio", F.concat(F.lit("1"), F.col("no_servicio")))
@@ -168,8 +179,8 @@ def _history_with_second_contract(spark, sf_dir):
 
 
 def q_history_features(spark, sf_dir):
-    v2 = history_features(_history_with_second_contract(spark, sf_dir))
-    return compare_types(v2)
+    # Read several times: stored first.
+    return compare_types(history_features(_stored(_history_with_second_contract(spark, sf_dir), "history")))
 
 
 def q_progress_records(spark, sf_dir):
@@ -235,7 +246,8 @@ def q_meter_profile_kw(spark, sf_dir):
 
 def q_dataset_profile(spark, sf_dir):
     """S7, A9 on demand and load factor, roles picked from the candidate names."""
-    bills = _with_demand(_bills(spark, sf_dir)).withColumnsRenamed({"kwh_total": "kwh", "kw_max_demand": "kw_max"})
+    # Every part of the profile reads the bills: stored first.
+    bills = _stored(_with_demand(_bills(spark, sf_dir)).withColumnsRenamed({"kwh_total": "kwh", "kw_max_demand": "kw_max"}), "profiled")
     p = dataset_profile(bills)
     flat = p.select("rows", F.col("unique_meters").alias("unique_meters"),
                     *[F.col(f"{d}.{c}").alias(f"{d}_{c}") for d in ("kwh_desc", "kw_desc", "load_factor_desc")
@@ -320,10 +332,115 @@ def q_resume_filter(spark, sf_dir):
 def q_incremental_parse(spark, sf_dir):
     b = _src(spark, sf_dir)
     todo = resume_filter(build_index(b.listing, ROOT), progress_log(spark, sf_dir))
-    parsed = parse_bills(todo, b.pages, b.alternate_pages, MAX_PAGES, keep_rows=False)
+    parsed = parse_bills(todo, b.pages, b.alternate_pages, MAX_PAGES, keep_rows=False, prune=True)
     return compare_types(progress_records(parsed).drop("at"))
 
 
+def q_page_store_resume(spark, sf_dir):
+    """J5 from a page store: what is left to do is joined with the pages' buckets before any text is assembled."""
+    b = _src(spark, sf_dir)
+    store = write_page_store(spark, _folder(spark, "page-store"), b.pages, b.listing, b.alternate_pages, buckets=16)
+    todo = resume_filter(build_index(store.listing(), ROOT), progress_log(spark, sf_dir))
+    parsed = parse_bills(todo, store.pages(todo), store.alternate_pages(todo), MAX_PAGES, keep_rows=False)
+    return compare_types(progress_records(parsed).drop("at"))
+
+
+def _three_runs(spark, sf_dir) -> str:
+    """A folder of three runs: half of the files, all with resume, and a third of them again without it."""
+    b = _src(spark, sf_dir)
+    out = _folder(spark, "runs")
+    for name, rows in (("listing", b.listing), ("pages", b.pages), ("alternates", b.alternate_pages)):
+        rows.write.parquet(f"{out}-{name}")
+    listing, pages, alternates = (spark.read.parquet(f"{out}-{name}") for name in ("listing", "pages", "alternates"))
+    idx = build_index(listing, ROOT)
+    key = F.regexp_extract("file_name", r"^(\d+)", 1).cast("long")
+    incremental_parse(spark, idx.where(key % 2 == 0), pages, alternates, out)
+    incremental_parse(spark, idx, pages, alternates, out)
+    incremental_parse(spark, idx.where(key % 3 == 0), pages, alternates, out, resume=False)
+    return out
+
+
+def q_compacted_runs(spark, sf_dir):
+    """The committed rows of three runs after their compaction into one base."""
+    out = _three_runs(spark, sf_dir)
+    compact(spark, out)
+    bills = committed(spark, out, "bills").select("file_path", "parse_status", "kwh_total")
+    history = committed(spark, out, "history_v2").groupBy("file_path").agg(F.count(F.lit(1)).alias("history_rows"))
+    return bills.join(history, "file_path", "left").na.fill(0, ["history_rows"])
+
+
+def _state(spark, sf_dir) -> DataFrame:
+    """The maintained state of three runs, one of which replaces files."""
+    return rollup_state.merged(rollup_counts(spark, _three_runs(spark, sf_dir)))
+
+
+def q_maintained_malls(spark, sf_dir):
+    """A1 from the signed counts of three runs."""
+    return compare_types(rollup_state.malls(_state(spark, sf_dir)), {**_MONEY, **_RATIO})
+
+
+def q_maintained_tenants(spark, sf_dir):
+    """A5 from the signed counts of three runs."""
+    return compare_types(rollup_state.tenants(_state(spark, sf_dir)), {**_MONEY, **_RATIO})
+
+
+def q_maintained_tariffs(spark, sf_dir):
+    """A2 from the signed counts of three runs."""
+    return compare_types(rollup_state.tariffs(_state(spark, sf_dir)))
+
+
+def q_run_table(spark, sf_dir):
+    """The counters of three runs, observed while they were written."""
+    runs = run_table(spark, _three_runs(spark, sf_dir))
+    number = F.row_number().over(Window.orderBy("run"))
+    return compare_types(runs.select(number.alias("number"), "processed", "errors", "skipped"))
+
+
+def q_page_stream(spark, sf_dir):
+    """Pages that arrive in files out of order, the first pages twice; the committed bills."""
+    b = _src(spark, sf_dir)
+    out = _folder(spark, "page-stream")
+    n = F.pmod(F.xxhash64("file_path", "page_no"), F.lit(1000)).cast("int")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + n)
+    pages = b.pages.select("file_path", F.col("page_no").cast("int").alias("page_no"), "text", at.alias("arrived_at"))
+    again = pages.where("page_no = 1").withColumn("arrived_at", F.expr("arrived_at + INTERVAL 5 MINUTES"))
+    # A page of no document, much later, moves the watermark past all others.
+    last = spark.createDataFrame([("/elsewhere", 1, "", 1_800_000_000)], "file_path string, page_no int, text string, at long") \
+        .select("file_path", "page_no", "text", F.timestamp_seconds("at").alias("arrived_at"))
+    for part in (pages.where("page_no <> 1"), pages.where("page_no = 1"), again, last):
+        part.coalesce(2).write.mode("append").parquet(f"{out}/pages")
+    alternates = assemble_text(b.alternate_pages, MAX_PAGES, skip_empty=True)
+    stream_pages(spark, f"{out}/pages", ROOT, f"{out}/runs", f"{out}/checkpoint", alternates, MAX_PAGES, max_files=2).awaitTermination()
+    listed = _index(spark, sf_dir).select("file_path")
+    bills = committed(spark, f"{out}/runs", "bills").join(listed, "file_path", "left_semi")
+    return compare_types(bills.select("file_path", "parse_status", "text_source_reason", "text_len", "kwh_total"))
+
+
+def q_rejected_lines(spark, sf_dir):
+    """A progress log with broken lines between its records: the files that are done, and the lines put aside."""
+    out = _folder(spark, "log")
+    log = progress_log(spark, sf_dir)
+    text = F.to_json(F.struct(*log.columns))
+    broken = log.where("status = 'error'").select(F.concat(F.lit('{"file_path": "'), F.col("file_path")).alias("value"))
+    log.select(text.alias("value")).unionByName(broken).write.text(f"{out}/progress")
+    quarantine(spark, f"{out}/progress", f"{out}/rejected")
+    done = done_files(read_progress(spark, f"{out}/progress")).select(F.lit("done").alias("kind"), F.col("file_path").alias("value"))
+    aside = spark.read.parquet(f"{out}/rejected").select(F.lit("rejected").alias("kind"), F.col("line").alias("value"))
+    return done.unionByName(aside)
+
+
+def q_sorted_index(spark, sf_dir):
+    """O1: every index row with its place in the sorted index."""
+    return compare_types(numbered(_index(spark, sf_dir), sort_index, _folder(spark, "sorted-index")))
+
+
+def q_sorted_malls(spark, sf_dir):
+    """Every row of the mall rollup with its place in the sorted table."""
+    malls = mall_fingerprints(_bills(spark, sf_dir), TARIFFS)
+    order = [F.asc_nulls_last(k) for k in ("mall_folder", "recibos_subgroup")]
+    return compare_types(numbered(malls, lambda t: t.orderBy(*order), _folder(spark, "sorted-malls")), {**_MONEY, **_RATIO})
+
+
 def q_incremental_runs(spark, sf_dir):
     """Half of the files, then all with resume; the committed rows of both runs."""
     b = _src(spark, sf_dir)
@@ -350,6 +467,16 @@ def q_analysis_run(spark, sf_dir):
 
 
 QUERIES = {
+    "page_store_resume": q_page_store_resume,
+    "compacted_runs": q_compacted_runs,
+    "maintained_malls": q_maintained_malls,
+    "maintained_tenants": q_maintained_tenants,
+    "maintained_tariffs": q_maintained_tariffs,
+    "run_table": q_run_table,
+    "page_stream": q_page_stream,
+    "rejected_lines": q_rejected_lines,
+    "sorted_index": q_sorted_index,
+    "sorted_malls": q_sorted_malls,
     "first_index_rows": q_first_index_rows,
     "tariff_map": q_tariff_map,
     "first_malls": q_first_malls,
