@@ -46,8 +46,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import stored, temporaries
-
 COMPONENTS = 32
 SCALE, OFFSET = 64, 1_000_000
 #: Entries are cut to this size before they become integers.
