@@ -208,7 +208,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Texts only matter for the order where an id repeats; without such ids none is hashed, and the ranges come from ids alone.
+    repeats = not rows.groupBy("doc_id").count().where("count > 1").isEmpty()
+    order = ["doc_id", F.xxhash64("text")] if repeats else ["doc_id"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     encoded = ordered.mapInArrow(_encode_rows(tokenizer_path, end_id),
                                  "doc_id long, part int, first long, n_tokens long, ids array<int>")
     (encoded.write.option("compression", "snappy").option("parquet.writer.version", "PARQUET_2_0")
@@ -228,11 +231,15 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     The window runs over one row per file.
     """
     files = read_token_files(spark, path).select("doc_id", "part", "first", "n_tokens")
+    return files.join(_file_starts(spark, path), "part").select(
+        "doc_id", "part", "first", (F.col("before") + F.col("first")).alias("start"), "n_tokens")
+
+
+def _file_starts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, before): the ids in all files before each, from one column."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
+    return read_token_files(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return files.join(starts, "part").select("doc_id", "part", "first", (F.col("before") + F.col("first")).alias("start"),
-                                             "n_tokens")
 
 
 def _crc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +257,8 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
     rows = read_token_files(spark, path).select("doc_id", "part", "first", "ids").mapInArrow(
         _crc_rows, "doc_id long, part int, first long, n_tokens long, ids_crc32 long")
-    starts = read_index(spark, path).groupBy("part").agg(F.min("start").alias("file_start"))
-    return rows.join(starts, "part").select("doc_id", (F.col("file_start") + F.col("first")).alias("start"),
-                                            "n_tokens", "ids_crc32")
+    return rows.join(_file_starts(spark, path), "part").select("doc_id", (F.col("before") + F.col("first")).alias("start"),
+                                                               "n_tokens", "ids_crc32")
 
 
 def token_output(docs: DataFrame, tokenizer_path: str, end_id: int = 0, path: str | None = None) -> DataFrame:
