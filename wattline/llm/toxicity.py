@@ -32,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import per_process, small_batches, text_or_empty, unit_hash
+from wattline.llm.common import per_process, small_batches, stored, text_or_empty, unit_hash
 from wattline.llm.token_files import slices
 
-#: Labelled documents (expected number) to learn from, per label; longer ones than CHARS aren't taken.
+#: Labelled texts (expected number) to learn from, per label, and how many bytes of them: whole texts, in a
+#: seeded order, until the bytes are spent. A text of any length can be among them.
 SAMPLE_DOCS = {0: 1200, 1: 1000}
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = {0: 3_500_000, 1: 3_000_000}
 #: A predicted document scores at least this.
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
@@ -112,7 +113,7 @@ def marginals(emit: np.ndarray, first: np.ndarray, start: float, trans: np.ndarr
 # --- model ------------------------------------------------------------------
 
 def _hash(text: str, kind: int) -> int:
-    return (int.from_bytes(text.encode("utf-8", "replace")[:24], "little") * 0x9E3779B97F4A7C15
+    return (int.from_bytes(text.encode("utf-8", "replace"), "little") * 0x9E3779B97F4A7C15
             + len(text) * 0x632BE59BD9B4E019 + kind * 0x2545F4914F6CDD1D) % 0xFFFFFFFFFFFFFFC5 % SPACE
 
 
@@ -255,22 +256,42 @@ def tokens(text: str) -> list[str]:
     return TOKEN.findall(text.lower())
 
 
+def _chosen(found: list, budget: dict[int, int]) -> list:
+    """The sampled texts (toxic, hash, bytes), in a seeded order until a label's bytes are spent; at least one of each."""
+    spent, chosen = Counter(), []
+    for row in found:
+        if spent[row["toxic"]] < budget[row["toxic"]]:
+            spent[row["toxic"]] += row["bytes"]
+            chosen.append(row)
+    return chosen
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: dict[int, int] | None = None, key: str = "doc_id",
-        text: str = "text", seed: int = 2) -> Crf | None:
-    """Learn from a seeded sample of labelled, not held-out documents; only the sample reaches the driver."""
+        text: str = "text", seed: int = 2, sample_bytes: dict[int, int] | None = None) -> Crf | None:
+    """Learn from a seeded sample of labelled, not held-out texts; only the sample reaches the driver.
+
+    Different texts are sampled, so one that repeats counts once, under any id.
+    """
     wanted = sample_docs or SAMPLE_DOCS
-    marked = labels.where("toxic is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
-    rows = docs.where(~held_out(key) & F.col(text).isNotNull() & (F.octet_length(text) <= SAMPLE_CHARS)) \
-        .select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    found = {int(r["toxic"]): r["n"] for r in marked.where(~held_out("label_id")).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    marked = labels.where("toxic is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.where(~held_out(key) & F.col(text).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    # Ids, lengths and hashes meet the labels; texts don't.
+    sizes = rows.select("doc_id", F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("hash"))
+    texts = sizes.join(marked.where(F.col("toxic").isin(0, 1)), sizes["doc_id"] == marked["label_id"]) \
+        .groupBy("toxic", "hash").agg(F.max("bytes").alias("bytes"))
+    texts = stored(texts, "labelled-texts")
+    found = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not all(found.get(k) for k in (0, 1)):
         return None
+    place = unit_hash(seed, "hash")
     share = F.when(F.col("toxic") == 1, F.lit(wanted[1] / found[1])).otherwise(F.lit(wanted[0] / found[0]))
-    picked = marked.where(unit_hash(seed, "label_id") < share)
-    # The sample's size bounds the broadcast: about SAMPLE_DOCS ids, whatever the tables' sizes.
-    sample = rows.join(F.broadcast(picked), rows["doc_id"] == picked["label_id"]).select("doc_id", "text", "toxic").toPandas()
-    sample = sample.drop_duplicates("text").sort_values(["doc_id", "text"])
-    y = sample["toxic"].to_numpy(dtype=int)
+    # About SAMPLE_DOCS rows of three numbers, whatever the tables' sizes.
+    chosen = _chosen(texts.where(place < share).orderBy(place, "hash").collect(), sample_bytes or SAMPLE_BYTES)
+    toxic_hashes = {r["hash"] for r in chosen if r["toxic"]}
+    picked = docs.sparkSession.createDataFrame([(r["hash"],) for r in chosen], "hash long").distinct()
+    sample = rows.select("text", F.xxhash64("text").alias("hash")).join(F.broadcast(picked), "hash") \
+        .groupBy("hash").agg(F.min("text").alias("text")).toPandas().sort_values("hash")
+    y = sample["hash"].isin(toxic_hashes).to_numpy(dtype=int)
     if len(set(y)) < 2:
         return None
     words = [tokens(t) for t in sample["text"]]
