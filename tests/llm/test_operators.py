@@ -232,6 +232,45 @@ def test_toxicity(docs, none, spark):
     assert toxicity.score_documents(none, toxicity.fit(none, labels)).count() == 0
 
 
+def _invented(rng, letters, n):
+    """Words of a language of its own: syllables from some letters."""
+    return [" ".join("".join(rng.choice(letters) + rng.choice("aeiou") for _ in range(rng.randrange(1, 4))) for _ in range(60)) for _ in range(n)]
+
+
+def test_unlearned_language_is_rejected(spark):
+    rng = random.Random(3)
+    learned = {"xx": _invented(rng, "bdgklm", 60), "yy": _invented(rng, "nprstv", 60)}
+    foreign = _invented(rng, "chjqwz", 20) + [" ".join("".join(rng.choice("абвгдежз") for _ in range(5)) for _ in range(50))]
+    mixed = [" ".join(a.split()[:30] + b.split()[:30]) for a, b in zip(learned["xx"], learned["yy"])][:10]
+    rows = [(i, t, x) for x, texts in learned.items() for i, t in enumerate(texts, 1000 * len(x) * (x == "yy"))]
+    rows += [(9000 + i, t, None) for i, t in enumerate(foreign)] + [(9500 + i, t, None) for i, t in enumerate(mixed)] + [(9900, "qwz", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = {r["doc_id"] for r in language_mix.keep_identified(docs, language_mix.fit(docs)).collect()}
+    # All labelled documents, held-out ones too, texts in two languages and ones too short to tell; none of the others.
+    assert kept == {i for i, _, _ in rows if not 9000 <= i < 9500}
+
+
+def test_toxic_documents_that_are_all_long(spark):
+    rng = random.Random(4)
+    bad = ["vile", "scum", "filth"]
+
+    def prose(n, toxic):
+        return " ".join(rng.choice(bad) if toxic and rng.random() < 0.05 else f"w{rng.randrange(300)}" for _ in range(n))
+    rows = [(i, prose(6000 if i % 2 else rng.choice([50, 6000]), i % 2 == 1), i % 2) for i in range(90)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    assert min(len(r[1]) for r in rows if r[2]) > 20_000
+    score = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, toxicity.fit(docs, labels)).collect()}
+    assert min(score[r[0]] for r in rows if r[2]) > 0.7 > 0.3 > max(score[r[0]] for r in rows if not r[2])
+    # A budget of a few bytes still takes one text of each label.
+    assert toxicity.fit(docs, labels, sample_bytes={0: 1, 1: 1}) is not None
+
+
+def test_words_with_a_common_beginning_differ():
+    long = "a" * 24
+    assert toxicity.own_features(long + "xyz")[0] != toxicity.own_features(long + "abc")[0]
+
+
 def test_language_mix(docs, none):
     model = language_mix.fit(docs)
     rows = language_mix.identify(docs, model).collect()

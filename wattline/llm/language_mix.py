@@ -9,7 +9,8 @@ criterion). The largest proportion of the selected set is the prediction.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. A null
 lang is never learned from; a null doc_id is never held out nor learned from.
-Equal proportions go to the language first by code point. An empty table gives
+A text of a language that wasn't learned gets the learned one that suits it
+best; ``keep_identified`` rejects it. Equal proportions go to the language first by code point. An empty table gives
 an empty result; without anything to learn from all is ``und``.
 """
 from __future__ import annotations
@@ -18,7 +19,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,11 @@ SMOOTHING = 0.5
 CACHE_ENTRIES = 200_000
 #: The pipeline rejects a text none of whose languages holds this share.
 LEAST_SHARE = 0.3
+#: A text of fewer trigrams isn't rejected for their likelihood.
+LEAST_TRIGRAMS = 40
+#: Lowest part of the labelled sample by likelihood; a language's floor lies below it by as much as it lies below the
+#: median, and by FLOOR_GAP (log likelihood a trigram) at least.
+FLOOR_PART, FLOOR_GAP = 0.01, 1.0
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -63,6 +69,8 @@ class LanguageModel:
     languages: list[str]
     grams: dict[str, int]
     table: np.ndarray  # log likelihood of each trigram (the last row: any other) by language
+    #: Least mean log likelihood of a trigram of a text in a language, where one was learned.
+    floors: dict[str, float] = field(default_factory=dict)
 
     def word(self, word: str) -> np.ndarray:
         unseen = len(self.table) - 1
@@ -83,14 +91,19 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(gram), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
 
+def _sample(docs: DataFrame, sample_docs: int, key: str, text: str, lang: str, seed: int) -> DataFrame:
+    """(lang, docs, doc_id, text): a bounded seeded sample of the labelled, not held-out documents of each language."""
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)) \
+        .select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
+    return known.join(F.broadcast(sizes), "lang").where(unit_hash(seed, "doc_id") < F.lit(float(sample_docs)) / F.col("docs"))
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text", lang: str = "lang",
         seed: int = 3) -> LanguageModel:
     """Trigram likelihoods of each language from the sample; only its trigram counts reach the driver."""
     small_batches(docs.sparkSession)
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)) \
-        .select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
-    picked = known.join(F.broadcast(sizes), "lang").where(unit_hash(seed, "doc_id") < F.lit(float(sample_docs)) / F.col("docs"))
+    picked = _sample(docs, sample_docs, key, text, lang, seed)
     counts = picked.select("lang", "text").mapInArrow(_count_rows, "lang string, gram string, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique())
@@ -101,6 +114,15 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", te
     return LanguageModel(languages, grams, np.log(table / table.sum(0)) if languages else table)
 
 
+def with_floors(docs: DataFrame, model: LanguageModel, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text",
+                lang: str = "lang", seed: int = 3) -> LanguageModel:
+    """``model`` with the floors of its languages, from the likelihoods of the labelled sample's own texts."""
+    sample = _sample(docs, sample_docs, key, text, lang, seed).select("text")
+    found = sample.mapInArrow(_identify_rows(model, 0, []), _FOUND).where(F.col("__trigrams") >= LEAST_TRIGRAMS)
+    rows = found.groupBy("__lang").agg(F.percentile_approx("__depth", [FLOOR_PART, 0.5], 10_000).alias("q")).collect()
+    return replace(model, floors={r["__lang"]: r["q"][0] - max(r["q"][1] - r["q"][0], FLOOR_GAP) for r in rows})
+
+
 # --- mixture inference --------------------------------------------------------
 
 def _em(like: np.ndarray, starts: np.ndarray, owner: np.ndarray, n: np.ndarray, allowed: np.ndarray,
@@ -171,29 +193,37 @@ class Identifier:
                     ids[k] = i
         return np.array(ids, dtype=np.int64)
 
-    def identify(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[list[str]]]:
-        """Predicted language, score, largest share and selected set of each text."""
+    def identify(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[list[str]], np.ndarray, np.ndarray]:
+        """Predicted language, score, largest share, selected set, trigrams and their mean log likelihood, of each text.
+
+        The likelihood is each unit's in the language of the set that suits it best.
+        """
         count = len(self.model.languages)
         found = [words(t) if count else [] for t in texts]
         n_words = np.array([len(w) for w in found], dtype=np.int64)
         some = np.flatnonzero(n_words)
         lang, sets = [UNKNOWN] * len(texts), [[] for _ in texts]
         score, top = np.zeros(len(texts)), np.zeros(len(texts))
+        size, depth = np.zeros(len(texts), np.int64), np.zeros(len(texts))
         if some.size:
             rows = self.rows_of([w for f in found for w in f])
             n_words = n_words[some]
             n = -(-n_words // UNIT_WORDS)
             word_starts = np.concatenate([[0], np.cumsum(n_words)[:-1]])
             unit_starts = np.concatenate([s + np.arange(0, k, UNIT_WORDS) for s, k in zip(word_starts, n_words)])
-            share, full = infer(np.add.reduceat(rows, unit_starts, axis=0), n)
+            units = np.add.reduceat(rows, unit_starts, axis=0)
+            share, full = infer(units, n)
             pick = share.argmax(1)
             at = np.arange(some.size)
             top[some] = share[at, pick]
             score[some] = (n * np.minimum(full[at, pick], share[at, pick]) + 0.5) / (n + 0.5 * count)
+            size[some] = [sum(map(len, found[i])) for i in some]
+            suited = np.where(np.repeat(share > 1e-9, n, axis=0), units, -np.inf).max(1)
+            depth[some] = np.add.reduceat(suited, np.cumsum(n) - n) / size[some]
             for k, row in enumerate(some):
                 lang[row] = self.model.languages[pick[k]]
                 sets[row] = [self.model.languages[j] for j in np.flatnonzero(share[k] > 1e-9)]
-        return lang, score, top, sets
+        return lang, score, top, sets, size, depth
 
     def rows_of(self, flat: list[str]) -> np.ndarray:
         ids = self._ids(flat)
@@ -208,17 +238,18 @@ def _identify_rows(model: LanguageModel, text_at: int, keep: list[int]):
         for batch in batches:
             lo = 0
             for texts in slices([t or "" for t in batch.column(text_at).to_pylist()]):
-                lang, score, top, sets = identifier.identify(texts)
+                lang, score, top, sets, size, depth = identifier.identify(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(lo, len(texts)) for k in keep]
                     + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(top, pa.float64()),
-                       pa.array(sets, pa.list_(pa.string()))],
-                    [batch.schema.names[k] for k in keep] + ["__lang", "__score", "__share", "__set"])
+                       pa.array(sets, pa.list_(pa.string())), pa.array(size), pa.array(depth),
+                       pa.array([n >= LEAST_TRIGRAMS and d < model.floors.get(x, -np.inf) for x, n, d in zip(lang, size, depth)], pa.bool_())],
+                    [batch.schema.names[k] for k in keep] + [f.split()[0] for f in _FOUND.split(", ")])
                 lo += len(texts)
     return run
 
 
-_FOUND = "__lang string, __score double, __share double, __set array<string>"
+_FOUND = "__lang string, __score double, __share double, __set array<string>, __trigrams long, __depth double, __foreign boolean"
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,14 +261,21 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
                         F.col("__share").alias("share"), F.col("__set").alias("languages"))
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) whose texts aren't rejected; no shuffle."""
+def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose texts aren't rejected; no shuffle.
+
+    A text is rejected if it has no letter, if its largest share is below
+    LEAST_SHARE, or if it is in none of the learned languages: its trigrams are
+    less likely than the floor of the language that suits it best, which is set
+    from the labelled documents (``with_floors``).
+    """
     small_batches(docs.sparkSession)
+    model = with_floors(docs, model, key=key, text=text, lang=lang) if model.languages else model
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     fields = T.StructType(plain.schema.fields + T._parse_datatype_string(_FOUND).fields)
     found = plain.mapInArrow(_identify_rows(model, names.index(text), list(range(len(names)))), fields)
-    return found.where(~rejected("__lang", "__share")).select(*plain.columns).toDF(*names)
+    return found.where(~rejected("__lang", "__share") & ~F.col("__foreign")).select(*plain.columns).toDF(*names)
 
 
 def rejected(lang: str = "lang_pred", share: str = "share") -> Column:
