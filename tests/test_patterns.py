@@ -1,6 +1,7 @@
 """The layout patterns are linear on runs of blanks and equal to their plain forms."""
 import random
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +57,43 @@ def test_blank_runs_take_linear_time(spark, name):
     df.select(F.sum(F.length(F.regexp_extract("t", getattr(X, name), 0)))).collect()
     # 81 texts of 10,000 blanks on 8 cores; one cubic text alone would take hours.
     assert time.time() - began < 20, name
+
+
+LABELS = ["NO. DE SERVICIO:", "no. de servicio :", "CUENTA:", "SUBCUENTA : ", "RMU:", "RPU:", "XRPU:", "LÍMITE DE PAGO:", "limite de pago :",
+          "LıMıTE DE PAGO:", "CORTE A PARTIR:", "Periodo facturado:", "TARIFA:", "xTARIFA:", "Categoría Tarifaria", "MEDIDOR:", "MULTIPLICADOR:",
+          "NO HILOS:", "no hiloſ:", "Energía (kWh)", "Energia (KWh)", "Energía", "TOTAL A PAGAR:", "Cargo Fijo", "Subtotal", "ſubtotal", "IVA 16%",
+          "İVA 16%", "Fac. del Periodo", "Total", "CARGO", "MITE", "IBERDROLA", "CFE SUMINISTRADOR DE SERVICIOS BASICOS", "straße", "ﬁjo"]
+VALUES = ["123 456-789", "AB12-3", "ABC 123456", "07 NOV 25", "07 NOV 25 - 09 dic 2025", "PDBT NO", "gdmth", "5,100 5,000 100", "$1,234.50", "3", "x", "é",
+          "\U0001f600", "", "kWh", "12 kWh"]
+
+
+def test_anchored_fields_equal_those_of_the_whole_text(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(LABELS if k % 2 else VALUES) + rng.choice(BLANKS) for k in range(rng.randrange(1, 30))) for _ in range(5000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "id int, text string").repartition(8)
+    plain = [replace(spec, anchor=None) for spec in X.DEFAULT_SPECS]
+    assert sum(spec.anchor is not None for spec in X.DEFAULT_SPECS) == 19
+    got, want = (X.extract_fields(df, specs=specs, evidence=specs is not plain).drop("evidence") for specs in (X.DEFAULT_SPECS, plain))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert all(want.where(F.col(c).isNotNull()).count() > 50 for c in ("no_servicio", "rpu", "limite_pago", "tarifa", "no_hilos", "kwh_total", "iva"))
+
+
+def test_evidence_is_where_it_says(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(LABELS if k % 2 else VALUES) + rng.choice(BLANKS) for k in range(rng.randrange(1, 30))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "id int, text string").repartition(8)
+    rows = X.extract_fields(df, evidence=True).join(df, "id").collect()
+    names = {name: spec for spec in reversed(X.DEFAULT_SPECS) for name in spec.names}
+    pairs = []
+    for r in rows:
+        found = {name for name in names if r[name] is not None}
+        assert found == set(r["evidence"])
+        for name in found:
+            snippet, offset = r["evidence"][name]
+            assert offset >= 1 and r["text"][offset - 1:].startswith(snippet) and snippet == snippet.strip()
+            pairs.append((name, snippet, r[name]))
+    assert len(pairs) > 3000
+    made = spark.createDataFrame(pairs, "name string, snippet string, value string")
+    for name, spec in names.items():
+        clean = spec.clean or (lambda c: c)
+        assert made.where((F.col("name") == name) & ~clean(F.col("snippet")).eqNullSafe(F.col("value"))).count() == 0, name

@@ -30,16 +30,23 @@ class FieldSpec:
 
     ``clean`` is applied to each stripped group. A name that already exists
     (from an earlier spec) is a fallback: the earlier value wins when set.
+
+    ``anchor`` is an upper-case literal that every match holds, whatever its
+    case, ``before`` characters after its start: the pattern is then matched
+    only from the first place of the anchor on. Patterns that look at what is
+    before a match further than one character have none.
     """
     names: tuple
     pattern: str
     clean: Optional[Cleaner] = None
+    anchor: Optional[str] = None
+    before: int = 0
 
 
-def _spec(names, pattern, clean=None) -> FieldSpec:
+def _spec(names, pattern, clean=None, anchor=None, before=0) -> FieldSpec:
     if isinstance(names, str):
         names = (names,)
-    return FieldSpec(tuple(names), pattern, clean)
+    return FieldSpec(tuple(names), pattern, clean, anchor, before)
 
 
 def _hist_date(c):
@@ -89,29 +96,32 @@ PAT_HIST_ROW = (r"(?iUd)del\s++(\d{1,2}\s++[A-ZÁÉÍÓÚÑ]{3}\s++\d{2,4})\s++a
 
 DEFAULT_SPECS: Sequence[FieldSpec] = (
     _spec("cliente_nombre", PAT_CLIENTE),
-    _spec("no_servicio", PAT_NO_SERVICIO, digits_only),
-    _spec("cuenta", PAT_CUENTA, alnum_only),
-    _spec("rmu", PAT_RMU, digits_only),
-    _spec("rpu", PAT_RPU, compact_id),
-    _spec("limite_pago", PAT_LIMITE, parse_es_date),
-    _spec("corte_a_partir", PAT_CORTE, parse_es_date),
-    _spec(("periodo_inicio", "periodo_fin"), PAT_PERIODO, parse_es_date),
-    _spec("tarifa", PAT_TARIFA, normalize_tarifa),
-    _spec("tarifa", PAT_TARIFA_CAT, normalize_tarifa),
-    _spec("medidor", PAT_MEDIDOR, alnum_only),
-    _spec("multiplicador", PAT_MULTIPLICADOR, num_clean),
-    _spec("no_hilos", PAT_NO_HILOS),
-    _spec(("lectura_actual_kwh", "lectura_anterior_kwh", "kwh_total"), PAT_ENERGY, num_clean),
+    _spec("no_servicio", PAT_NO_SERVICIO, digits_only, "NO."),
+    _spec("cuenta", PAT_CUENTA, alnum_only, "CUENTA"),
+    _spec("rmu", PAT_RMU, digits_only, "RMU"),
+    _spec("rpu", PAT_RPU, compact_id, "RPU"),
+    _spec("limite_pago", PAT_LIMITE, parse_es_date, "MITE", 2),
+    _spec("corte_a_partir", PAT_CORTE, parse_es_date, "CORTE"),
+    _spec(("periodo_inicio", "periodo_fin"), PAT_PERIODO, parse_es_date, "PERIODO"),
+    _spec("tarifa", PAT_TARIFA, normalize_tarifa, "TARIFA"),
+    _spec("tarifa", PAT_TARIFA_CAT, normalize_tarifa, "CATEGOR"),
+    _spec("medidor", PAT_MEDIDOR, alnum_only, "MEDIDOR"),
+    _spec("multiplicador", PAT_MULTIPLICADOR, num_clean, "MULTIPLICADOR"),
+    _spec("no_hilos", PAT_NO_HILOS, None, "NO"),
+    _spec(("lectura_actual_kwh", "lectura_anterior_kwh", "kwh_total"), PAT_ENERGY, num_clean, "ENERG"),
     _spec("kwh_total", PAT_KWH_ANY, num_clean),
-    _spec("importe_total", PAT_IMPORTE, num_clean),
-    _spec("cargo_fijo", PAT_CARGO_FIJO, num_clean),
-    _spec("subtotal_energia", PAT_SUBTOTAL_ENERGIA, num_clean),
-    _spec("subtotal", PAT_SUBTOTAL, num_clean),
-    _spec("iva", PAT_IVA, num_clean),
-    _spec("fac_del_periodo", PAT_FAC_PERIODO, num_clean),
+    _spec("importe_total", PAT_IMPORTE, num_clean, "TOTAL"),
+    _spec("cargo_fijo", PAT_CARGO_FIJO, num_clean, "CARGO"),
+    _spec("subtotal_energia", PAT_SUBTOTAL_ENERGIA, num_clean, "ENERG"),
+    _spec("subtotal", PAT_SUBTOTAL, num_clean, "SUBTOTAL"),
+    _spec("iva", PAT_IVA, num_clean, "IVA"),
+    _spec("fac_del_periodo", PAT_FAC_PERIODO, num_clean, "FAC."),
     _spec("total_linea", PAT_TOTAL_LINEA, num_clean),
 )
 
+# The letters that a case-blind pattern takes for an ASCII letter though they aren't upper-cased to it.
+FOLDED = ["\u0130", "\u212a"]
+
 # Output order of the flat record (the envelope adds its own columns).
 FIELD_COLUMNS = [
     "source_utility", "document_type", "cliente_nombre", "no_servicio", "cuenta",
@@ -168,13 +178,36 @@ def history_row_fields() -> list:
     ]
 
 
+EVIDENCE = "struct<snippet:string,offset:int>"
+
+
+def snippets(spec: FieldSpec, i: int) -> Column:
+    """(snippet, offset) of each group of a spec, from its match ``_match<i>`` at ``_begin<i>``.
+
+    A group that ends its pattern is found from the match's end, the groups
+    before it from there to the left, and a group that doesn't from the start.
+    """
+    match, found, end = F.col(f"_match{i}"), [], None
+    trailing = not spec.pattern.rstrip("$").endswith(":)")
+    for j in range(len(spec.names), 0, -1):
+        # A word boundary after the match may be needed to find its only group: that one was read in the text.
+        v = pystrip(F.col(f"_raw{i}") if len(spec.names) == 1 else F.regexp_extract(match, spec.pattern, j))
+        part = match if end is None else F.substr(match, F.lit(1), end - 1)
+        last = F.length(part) - F.length(v) + 2 - F.position(F.reverse(v), F.reverse(part)) if trailing else F.position(v, part)
+        end = last
+        found.append(F.struct(v.alias("snippet"), (F.col(f"_begin{i}") + last - 1).cast("int").alias("offset")))
+    return F.array(*found[::-1])
+
+
 def extract_fields(df: DataFrame, text_col: str = "text",
                    specs: Sequence[FieldSpec] = DEFAULT_SPECS,
-                   keep: Optional[Sequence[str]] = None) -> DataFrame:
+                   keep: Optional[Sequence[str]] = None, evidence: bool = False) -> DataFrame:
     """Add the flat bill fields (and ``historico_rows``) to ``df``.
 
     ``keep`` limits the carried input columns (default: all but the text is
     kept; callers drop the text right after to keep shuffles narrow).
+    ``evidence`` adds a map from each field that was found to the snippet of
+    the text it was read from and the snippet's place (from 1).
     """
     text = F.col(text_col)
     carried = list(keep) if keep is not None else [c for c in df.columns if c != text_col]
@@ -184,12 +217,23 @@ def extract_fields(df: DataFrame, text_col: str = "text",
         (fallback if set(spec.names) & seen else primary).append(i)
         seen.update(spec.names)
 
-    # Projection 1: one regex pass per primary spec over the long text; a
-    # fallback pattern scans the text only where its primary value is
-    # missing (the guard shares the primary match with its own column).
+    # Projection 1: the upper-cased text and the first place of each anchor in
+    # it. Places are those of the text itself where upper-casing keeps the
+    # number of characters (it never lowers it); two letters fold to ASCII
+    # ones without being upper-cased to them. Other texts are matched whole.
+    # Projection 2: one match per primary spec, from its anchor on, with a
+    # character before it for word boundaries; a fallback pattern is tried
+    # only where its primary value is missing (the guard shares the primary
+    # match with its own column).
     def raw_of(i, txt):
         spec = specs[i]
-        return F.regexp_extract(txt, spec.pattern, 1 if len(spec.names) == 1 else 0)
+        group = 1 if len(spec.names) == 1 else 0
+        if spec.anchor is None:
+            return F.regexp_extract(txt, spec.pattern, group)
+        place = F.col(places[spec.anchor])
+        rest = F.substr(txt, F.greatest(place - (spec.before + 1), F.lit(1)))
+        return F.when(~F.col("_aligned"), F.regexp_extract(txt, spec.pattern, group)) \
+            .when(place > 0, F.regexp_extract(rest, spec.pattern, group)).otherwise(F.lit(""))
 
     def groups(i, raw):
         spec = specs[i]
@@ -203,6 +247,10 @@ def extract_fields(df: DataFrame, text_col: str = "text",
     up = df.select(*[F.col(c) for c in carried], text.alias("_text"),
                    F.upper(F.coalesce(text, F.lit(""))).alias("_up"))
     text = F.col("_text")
+    places = {a: f"_place{k}" for k, a in enumerate(sorted({spec.anchor for spec in specs if spec.anchor}))}
+    aligned = (F.length("_up") == F.length(F.coalesce(text, F.lit("")))) & ~reduce(
+        lambda a, b: a | b, [F.contains("_up", F.lit(ch)) for ch in FOLDED])
+    up = up.select("*", aligned.alias("_aligned"), *[F.instr("_up", a).alias(name) for a, name in places.items()])
     doc = detect_document_type(text, F.col("_up"))
     hist = F.when(doc.getField("document_type") == "cfe_bill", history_rows(text)) \
         .otherwise(F.array().cast("array<string>"))
@@ -219,16 +267,31 @@ def extract_fields(df: DataFrame, text_col: str = "text",
             missing.append(val.isNull())
         guard = reduce(lambda a, b: a | b, missing)
         stage1.append(F.when(guard, raw_of(i, text)).alias(f"_raw{i}"))
+    if evidence:
+        for i in primary + fallback:
+            # What is before the match, in characters (regexp_instr counts UTF-16 units).
+            stage1.append((F.length(F.split(text, specs[i].pattern, 2)[0]) + 1).alias(f"_begin{i}"))
+            stage1.append(F.regexp_extract(text, specs[i].pattern, 0).alias(f"_match{i}"))
     stage = up.select(*[F.col(c) for c in carried], doc.alias("_doc"), hist.alias("_hist"),
                       *stage1)
 
-    # Projection 2: groups of multi-group matches, cleaning, fallbacks.
+    # Projection 3: groups of multi-group matches, cleaning, fallbacks.
     values: dict[str, Column] = {}
     for i in primary + fallback:
         for name, v in groups(i, F.col(f"_raw{i}")):
             values[name] = F.coalesce(values[name], v) if name in values else v
+    entries: list[Column] = []
+    if evidence:
+        stage = stage.select("*", *[s.alias(f"_seen{i}") for i in primary + fallback for s in [snippets(specs[i], i)]])
+        read: dict[str, list[Column]] = {}
+        for i in primary + fallback:
+            for j, (name, value) in enumerate(groups(i, F.col(f"_raw{i}"))):
+                read.setdefault(name, []).append(F.when(value.isNotNull(), F.col(f"_seen{i}")[j]))
+        entries = [F.when(values[name].isNotNull(), F.struct(F.lit(name).alias("key"), F.coalesce(*seen).alias("value")))
+                   for name, seen in read.items()]
     stage2 = stage.select(*[F.col(c) for c in carried], "_doc", "_hist",
-                          *[v.alias(n) for n, v in values.items()])
+                          *[v.alias(n) for n, v in values.items()],
+                          *([F.map_from_entries(F.array_compact(F.array(*entries))).alias("_evidence")] if evidence else []))
 
     out_cols = [F.col(c) for c in carried]
     out_cols.append(F.col("_doc.source_utility").alias("source_utility"))
@@ -239,4 +302,6 @@ def extract_fields(df: DataFrame, text_col: str = "text",
     out_cols.append((F.size("_hist") > 0).alias("tiene_consumo_historico"))
     out_cols.append(F.size("_hist").cast("int").alias("historico_count"))
     out_cols.append(F.col("_hist").alias("historico_rows"))
+    if evidence:
+        out_cols.append(F.col("_evidence").alias("evidence"))
     return stage2.select(*out_cols)

@@ -520,6 +520,35 @@ SELECT file_path, CASE WHEN parse_status = 'ok' THEN 'ok' ELSE 'error' END AS st
   CASE WHEN cls IN (0, 1, 3, 4, 5) THEN 'ocr' ELSE 'pdfplumber' END AS text_source,
   coalesce(reason, 'init') AS reason, nullif(parse_error, '') AS error
 FROM bills WHERE okey % 2 = 1"""
+    key = "printf('%012d', okey)"
+    spaced = " || ' ' || ".join(f"substr({key}, {k}, 3)" for k in (1, 4, 7, 10))
+    ini = f"CASE WHEN cls = 9 THEN '31 FEB ' || strftime(ini, '%y') ELSE {_es('ini')} END"
+    # field, the text before its snippet, the snippet
+    places = [
+        ("cliente_nombre", "''", "'CLIENTE ' || ck"), ("no_servicio", "'NO. DE SERVICIO: '", spaced),
+        ("cuenta", "'CUENTA: '", "'12-AB' || printf('%08d', ck)"), ("rmu", "'RMU: '", "'29010 ' || printf('%07d', ck)"),
+        ("rpu", "'RPU: '", "'ABC' || printf('%09d', ck)"), ("limite_pago", "'LÍMITE DE PAGO: '", _es("fin + 15")),
+        ("corte_a_partir", "'CORTE A PARTIR: '", _es("fin + 16")), ("periodo_inicio", "'Periodo facturado: '", ini),
+        ("periodo_fin", f"'Periodo facturado: ' || {ini} || ' - '", _es("fin")),
+        ("tarifa", "'TARIFA: '", "CASE WHEN cls <> 7 THEN CASE WHEN tariff = 'DB1' THEN tariff ELSE tariff || 'NO' END END"),
+        ("medidor", "'MEDIDOR: '", "CASE WHEN cls = 8 THEN 'M' || ck || ' NO HILOS' ELSE 'M' || ck END"),
+        ("multiplicador", "'MULTIPLICADOR: '", "'1'"), ("no_hilos", "'NO HILOS: '", "'3'"),
+        ("lectura_actual_kwh", "'Energía (kWh) '", _f0("kwh + 5000")), ("lectura_anterior_kwh", f"'Energía (kWh) ' || {_f0('kwh + 5000')} || ' '", "'5,000'"),
+        ("kwh_total", f"'Energía (kWh) ' || {_f0('kwh + 5000')} || ' 5,000 '", _f0("kwh")),
+        ("importe_total", "'TOTAL A PAGAR:' || chr(10) || '$'", _f2("total")), ("cargo_fijo", "'Cargo Fijo mensual '", "'70.10'"),
+        ("subtotal_energia", "chr(10) || 'Energía '", _f2("total")), ("subtotal", "'Subtotal '", _f2("total")), ("iva", "'IVA 16% '", "'11.22'"),
+        ("fac_del_periodo", "'Fac. del Periodo '", _f2("total")), ("total_linea", "chr(10) || 'Total '", _f2("total"))]
+    other = [("cliente_nombre", "''", "'CLIENTE ' || ck"), ("importe_total", "'TOTAL A PAGAR:' || chr(10) || '$'", _f2("total")),
+             ("tarifa", "'Categoría Tarifaria '", "'GDMTH'"), ("kwh_total", "'Consumo '", _f0("kwh"))]
+
+    def evidence(rows: list, where: str) -> str:
+        one = [f"{{'field': '{f}', 'before': {b}, 'snippet': {s}}}" for f, b, s in rows]
+        return f"SELECT file_path, t, unnest([{', '.join(one)}]) AS e FROM src_texts WHERE {where}"
+    q["bill_evidence"] = WITH + f"""
+, src_texts AS (SELECT *, CASE WHEN cls = 2 THEN emb_text ELSE clean_text END AS t FROM bills)
+, seen AS ({evidence(places, 'cfe_fields')} UNION ALL {evidence(other, 'cls = 2')})
+SELECT file_path, e.field AS field, e.snippet AS snippet, strpos(t, e.before || e.snippet) + length(e.before) AS "offset"
+FROM seen WHERE e.snippet IS NOT NULL"""
     q["page_store_resume"] = q["incremental_parse"]
     q["compacted_runs"] = q["incremental_runs"]
     q["maintained_malls"], q["maintained_tenants"] = q["mall_rollup"], q["tenant_fingerprints"]

@@ -37,12 +37,13 @@ BILL_COLUMNS = [c for c in FIELD_COLUMNS if c != "historico_rows"] + INDEX_COLUM
 def parse_bills(index: DataFrame, pages: DataFrame,
                 alternate_pages: Optional[DataFrame] = None, max_pages: int = 2,
                 min_chars: int = 80, specs: Sequence[FieldSpec] = DEFAULT_SPECS,
-                keep_rows: bool = True, prune: bool = False) -> DataFrame:
+                keep_rows: bool = True, prune: bool = False, evidence: bool = False) -> DataFrame:
     """Parsed bill table (one row per index row) with the envelope.
 
     ``keep_rows`` keeps the ``historico_rows`` array for ``bill_history``.
     ``prune`` leaves out the pages of files that aren't in the index before any
     text is assembled: for an index of few files of a large page table.
+    ``evidence`` adds where in the assembled text each field was read.
     """
     if prune:
         pages = pages_of(pages, index)
@@ -52,7 +53,7 @@ def parse_bills(index: DataFrame, pages: DataFrame,
     if alternate_pages is not None:
         forced = forced_only(alternate_pages, text_gate(emb, "text", min_chars))
         alt = assemble_text(forced, max_pages, skip_empty=True)
-    return parse_texts(index, emb, alt, max_pages, min_chars, specs, keep_rows)
+    return parse_texts(index, emb, alt, max_pages, min_chars, specs, keep_rows, evidence=evidence)
 
 
 def pages_of(pages: DataFrame, files: DataFrame, key: str = "file_path") -> DataFrame:
@@ -63,7 +64,7 @@ def pages_of(pages: DataFrame, files: DataFrame, key: str = "file_path") -> Data
 def parse_texts(index: Optional[DataFrame], texts: DataFrame, alternate_texts: Optional[DataFrame] = None,
                 max_pages: int = 2, min_chars: int = 80,
                 specs: Sequence[FieldSpec] = DEFAULT_SPECS, keep_rows: bool = True,
-                root: Optional[str] = None) -> DataFrame:
+                root: Optional[str] = None, evidence: bool = False) -> DataFrame:
     """Parse from assembled texts (``file_path``, ``text``).
 
     Batch: every index row gives one output row (a file without text is an
@@ -82,7 +83,7 @@ def parse_texts(index: Optional[DataFrame], texts: DataFrame, alternate_texts: O
     carried = ["file_path", "gate_reason", "embedded_text_len", "used_ocr", "text_source",
                "text_len"]
     ex = extract_fields(chosen.withColumn("text", F.when(F.col("text_len") > 0, F.col("text"))),
-                        "text", specs, keep=carried).withColumn("_found", F.lit(True))
+                        "text", specs, keep=carried, evidence=evidence).withColumn("_found", F.lit(True))
     if root is not None:
         path = F.col("file_path")
         j = ex.select("*", file_name(path).alias("file_name"), *path_metadata(path, root))
@@ -114,6 +115,7 @@ def parse_texts(index: Optional[DataFrame], texts: DataFrame, alternate_texts: O
         F.coalesce(F.col("gate_reason"), F.lit("init")).alias("text_source_reason"),
         F.lit(max_pages).cast("int").alias("extracted_pages"),
         F.current_timestamp().alias("parsed_at"),
+        *([F.when(is_ok, F.col("evidence")).alias("evidence")] if evidence else []),
     )
 
 

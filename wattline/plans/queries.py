@@ -164,6 +164,16 @@ def q_parse_bills(spark, sf_dir):
     return compare_types(_bills(spark, sf_dir))
 
 
+def q_bill_evidence(spark, sf_dir):
+    """P10: of every field that was read, the snippet and its place in the assembled text, through the canonical record."""
+    b = _src(spark, sf_dir)
+    parsed = parse_bills(build_index(b.listing, ROOT), b.pages, b.alternate_pages, MAX_PAGES, keep_rows=False, evidence=True)
+    # Stored first: conditions on the map would otherwise be pushed down to where it is made.
+    bill = canonical_bill(_stored(bills_table(parsed), "evidence")).select("bill.provenance.file_path", "bill.evidence", "bill.evidence_offsets")
+    each = bill.select("file_path", "evidence_offsets", F.explode("evidence").alias("field", "snippet"))
+    return compare_types(each.select("file_path", "field", "snippet", F.col("evidence_offsets")[F.col("field")].alias("offset")))
+
+
 def q_bill_history(spark, sf_dir):
     return compare_types(bill_history(_parsed(spark, sf_dir)))
 
@@ -467,6 +477,7 @@ def q_analysis_run(spark, sf_dir):
 
 
 QUERIES = {
+    "bill_evidence": q_bill_evidence,
     "page_store_resume": q_page_store_resume,
     "compacted_runs": q_compacted_runs,
     "maintained_malls": q_maintained_malls,
