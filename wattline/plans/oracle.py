@@ -553,7 +553,7 @@ FROM seen WHERE e.snippet IS NOT NULL"""
     q["compacted_runs"] = q["incremental_runs"]
     q["maintained_malls"], q["maintained_tenants"] = q["mall_rollup"], q["tenant_fingerprints"]
     q["maintained_tariffs"] = WITH + BILLS_NUM + """
-SELECT mall_folder, recibos_subgroup, tarifa, count(*) AS tarifa_bills FROM x GROUP BY ALL"""
+SELECT mall_folder, recibos_subgroup, coalesce(tarifa, 'nan') AS tarifa, count(*) AS tarifa_bills FROM x GROUP BY ALL"""
     q["run_table"] = WITH + """
 , r AS (SELECT 1 AS number, * FROM bills WHERE okey % 2 = 0
   UNION ALL SELECT 2, * FROM bills WHERE okey % 2 = 1 OR parse_status <> 'ok'

@@ -32,11 +32,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set only where it is unset (tests, local bench); on a cluster the
-    configured shared folder is used as is.
+    Set only where it is unset and everything runs on this machine (tests,
+    local bench); on a cluster the configured shared folder is used as is, and
+    without one this is an error: executors see no folder of the driver's.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         d = tempfile.mkdtemp(prefix="wattline-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
