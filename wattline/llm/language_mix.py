@@ -40,8 +40,8 @@ SMOOTHING = 0.5
 CACHE_ENTRIES = 200_000
 #: The pipeline rejects a text none of whose languages holds this share.
 LEAST_SHARE = 0.3
-#: A text of fewer trigrams isn't rejected for their likelihood.
-LEAST_TRIGRAMS = 40
+#: A text of fewer trigrams (some 35 words) is never rejected for their likelihood: a few names, links or a license line weigh too much in it.
+LEAST_TRIGRAMS = 200
 #: Lowest part of the labelled sample by likelihood; a language's floor lies below it by as much as it lies below the
 #: median, and by FLOOR_GAP (log likelihood a trigram) at least.
 FLOOR_PART, FLOOR_GAP = 0.01, 1.0
