@@ -147,13 +147,16 @@ def test_shingles_short_and_long_texts():
 
 # --- SentencePiece ------------------------------------------------------------
 
-def test_long_units_merge_like_the_library():
-    import public_tokenizers
-    import sentencepiece
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    model, library = piece_lattice.load_model(path), sentencepiece.SentencePieceProcessor(model_file=path)
-    for text in ["a" * 200, "representation" * 9, "the  quick▁ 中文 fox\n\tnaïve", "ab" * 70 + "!" * 80, "x", " "]:
-        ids = np.frombuffer(b"".join(piece_lattice.merge_long(u, model) for u in model.units(text)), "<u2")
-        assert ids.tolist() == library.encode(text)
-        lists = pa.array([ids.tolist(), []], pa.list_(pa.int32()))
-        assert piece_lattice.decode_lists(lists, piece_lattice.piece_bytes(model)) == [text.replace("▁", " "), ""]
+def test_units_are_cut_where_no_piece_spans():
+    model = piece_lattice.piece_model([("<unk>", 0.0, 2), ("▁", -1.0, 1), ("ab", -2.0, 1), ("bab", -3.0, 1)], piece_lattice.BPE)
+    unit = "abab" * 40 + "aa" + "b" * 70
+    parts = model.parts(unit)
+    assert "".join(parts) == unit and parts[0] == "abab" * 40 + "a" and parts[1] == "ab" and parts[2:] == ["b"] * 69
+    assert all(p[i:i + 2] in model.together for p in parts for i in range(len(p) - 1))
+
+
+def test_mask_ends():
+    assert piece_lattice.mask_ends([0b1011], 3) == [1, 3]
+    assert piece_lattice.mask_ends([1 | 1 << 60], 60) == [60]
+    assert piece_lattice.mask_ends([1 | 1 << 59, 1 | 1 << 7], 67) == [59, 60, 67]
+    assert piece_lattice.mask_ends([1, 0, 1], 120) == [120]

@@ -383,6 +383,39 @@ def test_piece_lattice(docs, none, monkeypatch, hot):
     assert piece_lattice.digest(piece_lattice.encode(none, model), model).count() == 0
 
 
+def test_units_of_any_length_equal_the_library(spark):
+    import sentencepiece
+    rng = random.Random(5)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, library = piece_lattice.load_model(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["a" * 200, "representation" * 9, "the  quick▁ 中文 fox\n\tnaïve", "ab" * 70 + "!" * 80, " " * 300 + "x", "",
+             "".join(chr(rng.randrange(0x4e00, 0x9fa5)) for _ in range(3_000)), "的中国人民大学是我们" * 40,
+             "".join(chr(rng.randrange(0xe01, 0xe3a)) for _ in range(2_000)),
+             "".join(rng.choice("etaoinshrdlu") for _ in range(10_000)), "=" * 1_000 + "-" * 61 + "x" * 60 + "y" * 61] \
+        + ["".join(rng.choice("etaoinsh") for _ in range(n)) for n in range(55, 70)] \
+        + ["▁".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(50, 130))) for _ in range(3)) for _ in range(9)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: list(r["ids"]) for r in piece_lattice.encode(frame, model).collect()}
+    assert got == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
+def test_viterbi_on_units_of_any_length(spark):
+    rng = random.Random(3)
+    pieces = ["▁", "a", "b", "c"] + sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(2, 6))) for _ in range(60)})
+    score = {p: -rng.random() * len(p) - 0.5 for p in dict.fromkeys(pieces)}
+    model = piece_lattice.piece_model([("<unk>", 0.0, 2)] + [(p, score[p], 1) for p in score], piece_lattice.UNIGRAM)
+    units = ["▁" + "".join(rng.choice("abcz" if n % 2 else "abc") for _ in range(n)) for n in (59, 60, 61, 119, 121, 400)]
+    unknown = min(score.values()) - 10
+    got = {r["unit"]: r["ids"] for r in piece_lattice.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), model).collect()}
+    assert set(got) == set(units)
+    for u in units:
+        best = [0.0] + [-1e18] * len(u)
+        for i in range(1, len(u) + 1):
+            best[i] = max(best[j] + score.get(u[j:i], unknown if i - j == 1 else -1e9) for j in range(max(0, i - 6), i))
+        total = sum(score[model.pieces[i]] if i else unknown for i in np.frombuffer(got[u], "<u2"))
+        assert abs(total - best[-1]) < 1e-6
+
+
 def test_viterbi_on_a_unigram_table(spark):
     rng = random.Random(13)
     pieces = ["▁", "a", "b", "c"] + sorted({"".join(rng.choice("abc▁") for _ in range(rng.randrange(2, 5))) for _ in range(40)})

@@ -4,7 +4,7 @@ Texts are cut into units at places that no piece of the model spans; the
 different units of the corpus make one table. Its bounded-length substrings are
 exploded, equi-joined to the piece table and grouped by unit: these edges are
 the unit's lattice. A fold with Spark's higher-order ``aggregate`` then picks the
-path, kept as a bit mask of boundaries:
+path, kept as the unit's boundaries:
 
 * for a unigram model, Viterbi: the path with the largest sum of scores;
 * for a BPE model, the model's own merges: the best-scored edge that joins two
@@ -13,25 +13,27 @@ path, kept as a bit mask of boundaries:
 
 Units go back to their texts in two ways: at most ``HOT_UNITS`` that are frequent
 in a seeded sample of texts through a broadcast dictionary of that bounded size,
-all others by joins (unit to ids, then text to its rare units). Ids equal the
-library's.
+all others by chunk: texts are dealt to chunks of about ``CHUNK_BYTES`` by a hash of
+their rows, once, and each chunk's rare units and their ids meet its texts in a
+cogroup. Ids equal the library's.
 
 Characters outside the model become its byte pieces. Decoding looks pieces up,
 joins bytes, and turns the word mark into spaces again.
 
-Nulls: a null or empty text has no ids. Repeated rows are encoded alike. Units
-longer than ``LONGEST`` characters don't fit a mask and run the same merges in
-a heap. An empty table gives an empty result.
+Nulls: a null or empty text has no ids. Repeated rows are encoded alike; rows equal
+in every column share a chunk. Units of any length have a lattice: those of more than
+``LONGEST`` characters are first cut between neighbours that stand together in no
+piece, and what stays longer is folded over an array of masks. An empty table gives
+an empty result.
 """
 from __future__ import annotations
 
-import heapq
 import itertools
 import re
 import uuid
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,19 +41,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import HASH_GROUPS, per_process, small_batches, stored, text_or_empty, unit_hash
+from wattline.llm.common import HASH_GROUPS, per_process, small_batches, stored, temporaries, text_or_empty, unit_hash
 from wattline.llm.token_files import gather, slices
 
 MARK = "▁"
 #: Units in the broadcast dictionary (each of at most LONGEST characters).
 HOT_UNITS = 200_000
-#: Characters of a unit whose boundaries fit a 64-bit mask.
+#: Characters of a unit whose boundaries fit one 64-bit mask; longer units have a mask for every so many characters.
 LONGEST = 60
-#: Units whose lattices one task builds, about.
-UNITS_PER_TASK = 40_000
+#: Groups that a task's hash aggregate keeps while it builds lattices.
+HELD_UNITS = 160_000
+#: Bytes of text in a chunk, about: the texts that one Python group holds.
+CHUNK_BYTES = 8 << 20
+#: Chunks a shuffle task reads on large inputs.
+CHUNKS_PER_TASK = 16
 #: Texts (expected number) among which frequent units are looked for.
 SAMPLE_DOCS = 15_000
-#: Different units that a worker counts before it passes them on.
+#: Different units that a worker holds before it passes them on.
 COUNTED = 100_000
 BPE, UNIGRAM = 2, 1
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -72,6 +78,7 @@ class PieceModel:
     unknown: int
     fine: bool
     coarse: bool
+    together: frozenset[str]
 
     @property
     def longest(self) -> int:
@@ -83,28 +90,43 @@ class PieceModel:
             return []
         escaped = MARK + text.replace(" ", MARK)
         if self.fine and not _OTHER.search(text):
-            return _FINE.findall(escaped)
-        return _COARSE.findall(escaped) if self.coarse else [escaped]
+            units = _FINE.findall(escaped)
+        else:
+            units = _COARSE.findall(escaped) if self.coarse else [escaped]
+        if max(map(len, units)) <= LONGEST:
+            return units
+        return [part for u in units for part in (self.parts(u) if len(u) > LONGEST else [u])]
+
+    def parts(self, unit: str) -> list[str]:
+        """The unit cut between neighbours that stand together in no piece."""
+        ends = [i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.together] + [len(unit)]
+        return [unit[lo:hi] for lo, hi in zip([0] + ends, ends)]
 
     def fallback(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in char.encode("utf-8", "replace")] if self.byte_ids else [self.unknown]
 
-    def segment_ids(self, unit: str, mask: int) -> bytes:
-        """Ids (16 bits each) of a unit's segments between the boundaries of the mask."""
+    def segment_ids(self, unit: str, ends: Iterable[int]) -> bytes:
+        """Ids (16 bits each) of a unit's segments, given where they end."""
         out, lo = [], 0
-        for hi in range(1, len(unit) + 1):
-            if mask >> hi & 1:
-                piece = unit[lo:hi]
-                known = self.ids.get(piece)
-                if known is not None:
-                    out.append(known)
-                else:
-                    for c in piece:
-                        out.extend(self.fallback(c))
-                lo = hi
+        for hi in ends:
+            piece = unit[lo:hi]
+            known = self.ids.get(piece)
+            if known is not None:
+                out.append(known)
+            else:
+                for c in piece:
+                    out.extend(self.fallback(c))
+            lo = hi
         return np.array(out, "<u2").tobytes()
 
 
+def mask_ends(masks: list[int], n: int) -> list[int]:
+    """The boundaries after the first one, from masks of LONGEST characters each (a single mask holds one bit more)."""
+    width = LONGEST + (len(masks) == 1)
+    return [i for k, m in enumerate(masks) for i in range(max(1, k * LONGEST), min(n, k * LONGEST + width - 1) + 1)
+            if m >> (i - k * LONGEST) & 1]
+
+
 def unit_codes(model: PieceModel, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The different units of texts, each text's units as places among them, and how many each text has."""
     units = [model.units(t) for t in texts]
@@ -135,43 +157,13 @@ def piece_model(rows: list[tuple[str, float, int]], kind: int) -> PieceModel:
     if len(rows) >= 1 << 16:
         raise ValueError("ids must fit 16 bits")
     normal = {p: i for i, (p, _, t) in enumerate(rows) if t == 1}
+    if kind == BPE and max(map(len, normal), default=1) > LONGEST:
+        raise ValueError(f"pieces of a BPE model must have at most {LONGEST} characters")
     plain = [p for p in normal if not _OTHER.search(p)]
     return PieceModel(normal, {p: rows[i][1] for p, i in normal.items()}, [i for i, r in enumerate(rows) if r[2] == 6],
                       [r[0] for r in rows], kind, next((i for i, r in enumerate(rows) if r[2] == 2), 0),
-                      cut_safely(_FINE, plain), cut_safely(_COARSE, list(normal)))
-
-
-def merge_long(unit: str, model: PieceModel) -> bytes:
-    """The same merges for a unit of any length, by a heap over neighbouring symbols."""
-    n = len(unit)
-    after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap: list[tuple[float, int, int]] = []
-
-    def offer(i: int) -> None:
-        j = after[i] if i >= 0 else n
-        if i >= 0 and j < n:
-            score = model.scores.get(unit[i:after[j]])
-            if score is not None:
-                heapq.heappush(heap, (-score, i, after[j]))
-    for i in range(n - 1):
-        offer(i)
-    while heap:
-        _, i, end = heapq.heappop(heap)
-        j = after[i]
-        if not alive[i] or j >= n or after[j] != end:
-            continue
-        alive[j] = False
-        after[i] = end
-        if end < n:
-            before[end] = i
-        offer(before[i])
-        offer(i)
-    out, i = [], 0
-    while i < n:
-        known = model.ids.get(unit[i:after[i]])
-        out.extend([known] if known is not None else [x for c in unit[i:after[i]] for x in model.fallback(c)])
-        i = after[i]
-    return np.array(out, "<u2").tobytes()
+                      cut_safely(_FINE, plain), cut_safely(_COARSE, list(normal)),
+                      frozenset(p[i:i + 2] for p in normal for i in range(len(p) - 1)))
 
 
 # --- units of the corpus --------------------------------------------------------
@@ -198,39 +190,53 @@ def count_units(docs: DataFrame, model: PieceModel, text: str = "text") -> DataF
 def piece_table(spark, model: PieceModel) -> DataFrame:
     """(piece, id, rank, score, late): rank orders pieces by falling score, equal scores alike.
 
-    ``late`` pieces are half of a piece with a better rank, so merging one may
+    ``late`` pieces are half of a piece with no worse a rank, so merging one may
     open a merge that comes before it.
     """
     order = {s: r for r, s in enumerate(sorted(set(model.scores.values()), reverse=True))}
     rank = {p: order[s] for p, s in model.scores.items()}
-    late = {half for p in rank for k in range(1, len(p)) for half in (p[:k], p[k:]) if rank.get(half, -1) > rank[p]}
+    late = {half for p in rank for k in range(1, len(p)) for half in (p[:k], p[k:]) if rank.get(half, -1) >= rank[p]}
     rows = [(p, i, rank[p], float(model.scores[p]), int(p in late)) for p, i in model.ids.items()]
     return spark.createDataFrame(rows, "piece string, id int, rank long, score double, late int")
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge: Column) -> DataFrame:
-    """(uid, unit, edges): the pieces of ``least`` or more characters inside each unit (uid, unit).
+    """(unit, edges): the pieces of ``least`` or more characters inside each unit (unit, n: its characters, at most LONGEST).
 
     Every unit keeps a row: one substring is always emitted and counts as an
-    edge only if it is a piece of that length. The grouping reuses the
-    partitioning by uid, so exploded substrings never travel.
+    edge only if it is a piece of that length. The grouping reuses a
+    partitioning by unit, so exploded substrings never travel.
     """
     n = F.char_length("unit")
-    # A given number of partitions, so that small tables of long work aren't merged into few tasks.
-    parts = max(1, -(-units.count() // UNITS_PER_TASK))
-    starts = units.repartition(parts, "uid").select("uid", "unit", F.explode(F.sequence(F.lit(0), F.greatest(
-        F.lit(0), n - least))).alias("start"))
+    starts = units.select("unit", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), n - least))).alias("start"))
     first = F.when(F.col("start") == 0, F.lit(1)).otherwise(F.lit(least))
-    cuts = starts.select("uid", "unit", "start", F.explode(F.sequence(first, F.least(F.lit(longest), n - F.col("start")))).alias("len"))
+    cuts = starts.select("unit", "start", F.explode(F.sequence(first, F.least(F.lit(longest), n - F.col("start")))).alias("len"))
     found = cuts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("len"))) \
         .join(F.broadcast(pieces), "piece", "left").where("id is not null or (start = 0 and len = 1)")
-    return found.groupBy("uid", "unit").agg(F.collect_list(
+    return found.groupBy("unit").agg(F.collect_list(
         F.when(F.col("id").isNotNull() & (F.col("len") >= least), edge)).alias("edges"))
 
 
+def long_lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge: Column) -> DataFrame:
+    """The lattice of units of any length: substrings are cut from windows, so no exploded row holds a whole unit."""
+    named = units.select("unit", F.md5("unit").alias("uid"))
+    windows = named.select("uid", F.explode(F.transform(
+        F.sequence(F.lit(0), F.char_length("unit") - 1, F.lit(LONGEST)),
+        lambda at: F.struct(at.alias("base"), F.substring(F.col("unit"), at + 1, F.lit(LONGEST + longest)).alias("part")))).alias("w"))
+    n = F.char_length("w.part")
+    starts = windows.select("uid", "w", F.explode(F.sequence(F.lit(0), F.least(F.lit(LONGEST), n) - 1)).alias("at"))
+    cuts = starts.select("uid", "w", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("at")))).alias("len")) \
+        .where(F.col("len") >= least)
+    found = cuts.select("uid", (F.col("w.base") + F.col("at")).alias("start"), "len",
+                        F.substring(F.col("w.part"), F.col("at") + 1, F.col("len")).alias("piece")).join(F.broadcast(pieces), "piece")
+    edges = found.groupBy("uid").agg(F.collect_list(edge).alias("edges"))
+    none = F.array().cast(edges.schema["edges"].dataType)
+    return named.join(edges, "uid", "left").select("unit", F.coalesce("edges", none).alias("edges"))
+
+
 def bpe_edge() -> Column:
-    """An edge as one number that sorts by rank, then start: rank, start (6 bits), length (6 bits), late (1 bit)."""
-    return F.shiftleft(F.col("rank"), 13) + F.shiftleft(F.col("start").cast("long"), 7) \
+    """An edge as one number that sorts by rank, then start: rank, start (31 bits), length (6 bits), late (1 bit)."""
+    return F.shiftleft(F.col("rank").cast("long"), 38) + F.shiftleft(F.col("start").cast("long"), 7) \
         + F.shiftleft(F.col("len").cast("long"), 1) + F.col("late")
 
 
@@ -243,15 +249,19 @@ def _sr(x: Column, by: Column) -> Column:
 
 
 def _span(edge: Column) -> tuple[Column, Column]:
-    return F.shiftright(edge, 7).bitwiseAND(63), F.shiftright(edge, 1).bitwiseAND(63)
+    return F.shiftright(edge, 7).bitwiseAND((1 << 31) - 1), F.shiftright(edge, 1).bitwiseAND(63)
+
+
+def _joins(at: Column, length: Column) -> Column:
+    """Whether boundaries ``at`` (bit i: before character i of the edge) hold exactly two neighbouring symbols."""
+    inner = F.shiftright(at, 1).bitwiseAND(_sl(F.lit(1).cast("long"), length - 1) - 1)
+    return (at.bitwiseAND(1) + _sr(at, length).bitwiseAND(1) == 2) & (F.bit_count(inner) == 1)
 
 
 def _merges(mask: Column, edge: Column) -> Column:
     """Whether the edge spans exactly two neighbouring symbols."""
     start, length = _span(edge)
-    at = _sr(mask, start)
-    inner = F.shiftright(at, 1).bitwiseAND(_sl(F.lit(1).cast("long"), length - 1) - 1)
-    return (at.bitwiseAND(1) + _sr(at, length).bitwiseAND(1) == 2) & (F.bit_count(inner) == 1)
+    return _joins(_sr(mask, start), length)
 
 
 def _merged(mask: Column, edge: Column) -> Column:
@@ -282,8 +292,57 @@ def fold_merges(edges: Column, n: Column) -> tuple[Column, Column]:
     return once, F.aggregate(F.sequence(F.lit(1), n), whole, first)
 
 
+def _window(masks: Column, start: Column) -> Column:
+    """LONGEST + 1 boundaries from ``start`` on, read from an array of masks."""
+    at, shift = F.floor(start / LONGEST).cast("int"), start % LONGEST
+    after = F.coalesce(F.get(masks, at + 1), F.lit(0).cast("long"))
+    return _sr(F.get(masks, at), shift).bitwiseOR(_sl(after, LONGEST - shift)).bitwiseAND((1 << (LONGEST + 1)) - 1)
+
+
+def fold_long_merges(edges: Column, n: Column) -> Column:
+    """Masks of LONGEST boundaries each for a unit of any length, after all merges.
+
+    A round applies the sorted edges in order and stops where a late piece
+    has opened an earlier edge; the next one starts again from the first edge.
+    """
+    full = F.lit((1 << LONGEST) - 1).cast("long")
+    whole = F.transform(F.sequence(F.lit(0), F.floor(n / LONGEST).cast("int")), lambda k: F.when(
+        k < F.floor(n / LONGEST), full).otherwise(_sl(F.lit(1).cast("long"), n % LONGEST + 1) - 1))
+
+    def merged(masks, e):
+        start, length = _span(e)
+        at, shift = F.floor(start / LONGEST).cast("int"), start % LONGEST + 1
+        inner = _sl(F.lit(1).cast("long"), length - 1) - 1
+        here, there = _sl(inner, shift).bitwiseAND(full), _sr(inner, LONGEST - shift)
+        return F.transform(masks, lambda m, k: F.when(k == at, m.bitwiseAND(F.bitwise_not(here)))
+                           .when(k == at + 1, m.bitwiseAND(F.bitwise_not(there))).otherwise(m))
+
+    def fits(masks, e):
+        start, length = _span(e)
+        return _joins(_window(masks, start), length)
+
+    def one(state, e):
+        start, length = _span(e)
+        after = merged(state["masks"], e)
+
+        def opens(x):
+            at = _span(x)[0]
+            return (x < e) & (at < start + length) & (at > start - LONGEST) & fits(after, x)
+        opened = (e.bitwiseAND(1) == 1) & F.exists(edges, opens)
+        return F.when(state["ended"] | ~fits(state["masks"], e), state).otherwise(
+            F.struct(after.alias("masks"), opened.alias("ended")))
+
+    def once(state, _):
+        masks = state["masks"]
+        run = F.aggregate(edges, F.struct(masks.alias("masks"), F.lit(False).alias("ended")), one,
+                          lambda r: F.struct(r["masks"].alias("masks"), (~r["ended"]).alias("ended")))
+        return F.when(state["ended"], state).otherwise(run)
+    return F.aggregate(F.sequence(F.lit(1), n), F.struct(whole.alias("masks"), F.lit(False).alias("ended")), once,
+                       lambda r: r["masks"])
+
+
 def fold_viterbi(edges: Column, n: Column) -> tuple[Column, Column]:
-    """Best scores with back pointers, and the boundaries of the best path read from a column ``best`` of them.
+    """Best scores with back pointers, and the ends of the best path's segments read from a column ``best`` of them.
 
     Edges are structs (start, len, score), sorted by start.
     """
@@ -299,50 +358,61 @@ def fold_viterbi(edges: Column, n: Column) -> tuple[Column, Column]:
     def back(state, _):
         prev = F.col("best")[state["at"]]["back"]
         return F.when(state["at"] == 0, state).otherwise(F.struct(
-            prev.alias("at"), state["mask"].bitwiseOR(_sl(F.lit(1).cast("long"), prev)).alias("mask")))
-    walk = F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), _sl(F.lit(1).cast("long"), n).alias("mask")),
-                       back, lambda s: s["mask"])
+            prev.alias("at"), F.concat(F.array(state["at"]), state["ends"]).alias("ends")))
+    walk = F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<int>").alias("ends")),
+                       back, lambda s: s["ends"])
     return best, walk
 
 
 def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
-    """(unit, ids): every unit (unit) with its ids, 16 bits each."""
+    """(unit, ids): every unit (unit) with its ids, 16 bits each.
+
+    Units should come partitioned by unit, or they are shuffled for it. Many groups stay
+    in a task's hash map (HELD_UNITS); that setting must hold until the caller's action, so it stays set.
+    """
     spark = units.sparkSession
-    units = stored(units.select("unit", F.monotonically_increasing_id().alias("uid")), "units")
-    short = units.where(F.char_length("unit") <= LONGEST)
+    if int(spark.conf.get(HASH_GROUPS)) < HELD_UNITS:
+        spark.conf.set(HASH_GROUPS, HELD_UNITS)
+    # The length comes from the aggregate, so that a filter on it isn't pushed into what makes the units.
+    units = units.groupBy("unit").agg(F.max(F.char_length("unit")).alias("n"))
+    short, long = units.where(F.col("n") <= LONGEST), units.where(F.col("n") > LONGEST)
     pieces, n = piece_table(spark, model), F.char_length("unit")
     if model.kind == BPE:
-        found = stored(lattice(short, pieces, min(model.longest, LONGEST), 2, bpe_edge()), "lattice",
-                       groups=(HASH_GROUPS, 4 * UNITS_PER_TASK))
+        # A generator between two projections keeps the sorted edges from being made anew for every use.
+        found = lattice(short, pieces, min(model.longest, LONGEST), 2, bpe_edge())
         found = found.select("unit", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
         once, rounds = fold_merges(F.col("edges"), n)
-        found = found.select("unit", "edges", once.alias("mask"))
-        paths = found.select("unit", F.when(F.col("mask") >= 0, F.col("mask")).otherwise(rounds).alias("mask"))
+        found = found.select("unit", "edges", F.explode(F.array(once)).alias("mask"))
+        paths = found.select("unit", F.array(F.when(F.col("mask") >= 0, F.col("mask")).otherwise(rounds)).alias("path"))
+        found = long_lattice(long, pieces, model.longest, 2, bpe_edge())
+        found = found.select("unit", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
+        paths = paths.unionByName(found.select("unit", fold_long_merges(F.col("edges"), n).alias("path")))
     else:
         # A character outside the model costs more than any piece.
         unknown = min(model.scores.values(), default=0.0) - 10.0
         edge = F.struct("start", "len", "score")
-        found = stored(lattice(short, pieces, min(model.longest, LONGEST), 1, edge), "lattice", groups=(HASH_GROUPS, 50_000))
+        found = lattice(short, pieces, min(model.longest, LONGEST), 1, edge) \
+            .unionByName(long_lattice(long, pieces, model.longest, 1, edge))
         chars = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
             i.alias("start"), F.lit(1).alias("len"), F.lit(unknown).alias("score")))
-        found = found.select("uid", "unit", F.array_sort(F.concat("edges", chars)).alias("edges"))
+        found = found.select("unit", F.explode(F.array(F.array_sort(F.concat("edges", chars)))).alias("edges"))
         best, walk = fold_viterbi(F.col("edges"), n)
-        found = found.select("uid", "unit", F.explode(F.array(best)).alias("best"))
-        paths = found.select("uid", "unit", walk.alias("mask"))
-    masks = paths.select("unit", "mask").unionByName(
-        units.where(F.char_length("unit") > LONGEST).select("unit", F.lit(None).cast("long").alias("mask")))
+        found = found.select("unit", F.explode(F.array(best)).alias("best"))
+        paths = found.select("unit", walk.cast("array<long>").alias("path"))
+    masked = model.kind == BPE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [model.segment_ids(u, m) if m is not None else merge_long(u, model)
-                   for u, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            ids = [model.segment_ids(u, mask_ends(path, len(u)) if masked else path)
+                   for u, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["unit", "ids"])
-    return masks.mapInArrow(run, "unit string, ids binary")
+    return paths.mapInArrow(run, "unit string, ids binary")
 
 
 # --- texts ------------------------------------------------------------------------
 
 ENCODED = "doc_id long, text string, ids array<int>"
+NO_ROWS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
 
 
 def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str = "text",
@@ -354,53 +424,59 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64("text"))
-    some = rows.where(unit_hash(9, "mark") < SAMPLE_DOCS / max(1, docs.count()))
-    often = count_units(some, model).where((F.col("n") > 1) & (F.char_length("unit") <= LONGEST))
-    top = stored(often.orderBy(F.desc("n"), "unit").limit(HOT_UNITS).select("unit"), "hot-units")
-    frequent = spark.sparkContext.broadcast({r["unit"]: None for r in top.toLocalIterator()})
+    rows = docs.select(F.xxhash64(*docs.columns).alias("mark"), F.col(key).cast("long").alias("doc_id"),
+                       text_or_empty(text).alias("text"))
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    with temporaries(spark):
+        some = rows.where(unit_hash(9, "mark") < SAMPLE_DOCS / max(1, n))
+        often = count_units(some, model).where((F.col("n") > 1) & (F.char_length("unit") <= LONGEST))
+        top = stored(often.orderBy(F.desc("n"), "unit").limit(HOT_UNITS).select("unit"), "hot-units")
+        hot = {r["unit"]: bytes(r["ids"]) for r in encode_units(top, model).toLocalIterator()}
+    shared = spark.sparkContext.broadcast(hot)
+    chunks = max(1, -(-size // CHUNK_BYTES))
+    tasks = min(chunks, max(4 * spark.sparkContext.defaultParallelism, chunks // CHUNKS_PER_TASK))
+    # One shuffle of the texts: the pass that finds rare units and the one that writes ids both read it.
+    rows = rows.select("doc_id", "text", F.pmod("mark", F.lit(chunks)).alias("chunk")).repartition(tasks, "chunk")
 
     def rare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        def pairs() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(list(held), np.int64), [len(u) for u in held.values()])),
+                 pa.array(itertools.chain.from_iterable(held.values()), pa.string())], ["chunk", "unit"])
+            held.clear()
+            return out
+        known, held = shared.value.keys(), {}
         for batch in batches:
-            lo = 0
-            for texts in slices(batch.column(1).to_pylist()):
-                marks = batch.column(0).slice(lo, len(texts)).to_numpy()
-                lo += len(texts)
-                different, place, n = unit_codes(model, texts)
-                new = np.array([u not in known for u in different.to_pylist()], dtype=bool)
-                at = np.flatnonzero(new[place]) if len(place) else np.zeros(0, np.int64)
-                pairs = np.unique(np.repeat(np.arange(len(n)), n)[at] * max(1, len(different)) + place[at])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(marks[pairs // max(1, len(different))], pa.int64()),
-                     different.take(pa.array(pairs % max(1, len(different))))], ["mark", "unit"])
-    rare = stored(rows.select("mark", "text").mapInArrow(rare_units, "mark long, unit string").distinct(), "rare-units")
-    coded = stored(encode_units(rare.select("unit").distinct().unionByName(top), model), "unit-ids")
-    shared = spark.sparkContext.broadcast({r["unit"]: bytes(r["ids"]) for r in coded.join(top, "unit").toLocalIterator()})
-    found = stored(rare.join(coded, "unit").groupBy("mark").agg(F.collect_list(F.struct("unit", "ids")).alias("rare")),
-                   "rare-ids", groups=(HASH_GROUPS, 20_000))
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk, t in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(chunk, set()).update(set(model.units(t)) - known)
+            if sum(map(len, held.values())) > 10 * COUNTED:
+                yield pairs()
+        yield pairs()
+    # A chunk's unit may come twice, where a worker has passed its units on early.
+    rare = rows.mapInArrow(rare_units, "chunk long, unit string").repartition(tasks, "unit")
+    coded = rare.join(encode_units(rare.select("unit"), model), "unit").select("chunk", "unit", "ids")
+
+    def code(texts: pa.Table, own: pa.Table) -> pa.Table:
         get = shared.value.get
-        for batch in batches:
+        more = dict(zip(own["unit"].to_pylist(), own["ids"].to_pylist()))
+        out = []
+        for batch in texts.to_batches():
             lo = 0
-            for texts in slices(batch.column(1).to_pylist()):
-                here = slice(lo, lo + len(texts))
-                lo += len(texts)
-                own = batch.column(2).slice(here.start, len(texts)).flatten()
-                more = dict(zip(own.field("unit").to_pylist(), own.field("ids").to_pylist()))
-                different, place, n = unit_codes(model, texts)
+            for part in slices(batch.column("text").to_pylist()):
+                here, lo = batch.slice(lo, len(part)), lo + len(part)
+                different, place, n = unit_codes(model, part)
                 ids = [get(u) or more[u] for u in different.to_pylist()]
                 lengths = np.array([len(i) // 2 for i in ids], dtype=np.int64)
                 found, ends = gather(place, lengths, np.frombuffer(b"".join(ids), "<u2").astype(np.int32))
                 at = ends[np.concatenate([[0], np.cumsum(n)])].astype(np.int32)
                 coded_rows = pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(here.start, len(texts)), batch.column(1).slice(here.start, len(texts)),
-                     pa.ListArray.from_arrays(pa.array(at), pa.array(found))], ["doc_id", "text", "ids"])
-                yield then(coded_rows) if then else coded_rows
-    return rows.join(found, "mark", "left").select("doc_id", "text", "rare") \
-        .mapInArrow(code, schema)
+                    [here.column("doc_id"), here.column("text"), pa.ListArray.from_arrays(pa.array(at), pa.array(found))],
+                    ["doc_id", "text", "ids"])
+                out.append(then(coded_rows) if then else coded_rows)
+        return pa.Table.from_batches(out) if out else empty
+    empty = then(pa.RecordBatch.from_pylist([], NO_ROWS)) if then else pa.RecordBatch.from_pylist([], NO_ROWS)
+    empty = pa.Table.from_batches([empty])
+    return rows.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(code, schema)
 
 
 def piece_bytes(model: PieceModel) -> pa.Array:
