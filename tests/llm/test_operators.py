@@ -406,7 +406,7 @@ def test_viterbi_on_units_of_any_length(spark):
     model = piece_lattice.piece_model([("<unk>", 0.0, 2)] + [(p, score[p], 1) for p in score], piece_lattice.UNIGRAM)
     units = ["▁" + "".join(rng.choice("abcz" if n % 2 else "abc") for _ in range(n)) for n in (59, 60, 61, 119, 121, 400)]
     unknown = min(score.values()) - 10
-    got = {r["unit"]: r["ids"] for r in piece_lattice.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), model).collect()}
+    got = {r["unit"]: r["ids"] for r in piece_lattice.encode_units(spark.createDataFrame([(u, k) for u in units for k in (1, 2)], "unit string, mark long"), model).collect()}
     assert set(got) == set(units)
     for u in units:
         best = [0.0] + [-1e18] * len(u)
@@ -423,7 +423,7 @@ def test_viterbi_on_a_unigram_table(spark):
     score = {p: -rng.random() * len(p) - 0.5 for p in pieces}
     model = piece_lattice.piece_model([("<unk>", 0.0, 2)] + [(p, score[p], 1) for p in pieces], piece_lattice.UNIGRAM)
     units = sorted({"▁" + "".join(rng.choice("abcz") for _ in range(rng.randrange(1, 8))) for _ in range(40)})
-    frame = spark.createDataFrame([(u,) for u in units], "unit string")
+    frame = spark.createDataFrame([(u, 7) for u in units], "unit string, mark long")
     unknown = min(score.values()) - 10
 
     def best(u):

@@ -201,25 +201,27 @@ def piece_table(spark, model: PieceModel) -> DataFrame:
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge: Column) -> DataFrame:
-    """(unit, edges): the pieces of ``least`` or more characters inside each unit (unit, n: its characters, at most LONGEST).
+    """(unit, marks, edges): the pieces of ``least`` or more characters inside each unit (unit, marks) of at most LONGEST.
 
-    Every unit keeps a row: one substring is always emitted and counts as an
+    Every unit keeps a row: one substring is always emitted, alone carries the marks, and counts as an
     edge only if it is a piece of that length. The grouping reuses a
     partitioning by unit, so exploded substrings never travel.
     """
     n = F.char_length("unit")
-    starts = units.select("unit", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), n - least))).alias("start"))
+    starts = units.select("unit", "marks", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), n - least))).alias("start"))
     first = F.when(F.col("start") == 0, F.lit(1)).otherwise(F.lit(least))
-    cuts = starts.select("unit", "start", F.explode(F.sequence(first, F.least(F.lit(longest), n - F.col("start")))).alias("len"))
+    cuts = starts.select("unit", "marks", "start", F.explode(F.sequence(first, F.least(F.lit(longest), n - F.col("start")))).alias("len"))
+    leads = (F.col("start") == 0) & (F.col("len") == 1)
     found = cuts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("len"))) \
-        .join(F.broadcast(pieces), "piece", "left").where("id is not null or (start = 0 and len = 1)")
-    return found.groupBy("unit").agg(F.collect_list(
-        F.when(F.col("id").isNotNull() & (F.col("len") >= least), edge)).alias("edges"))
+        .join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | leads)
+    return found.groupBy("unit").agg(
+        F.first(F.when(leads, F.col("marks")), ignorenulls=True).alias("marks"),
+        F.collect_list(F.when(F.col("id").isNotNull() & (F.col("len") >= least), edge)).alias("edges"))
 
 
 def long_lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge: Column) -> DataFrame:
     """The lattice of units of any length: substrings are cut from windows, so no exploded row holds a whole unit."""
-    named = units.select("unit", F.md5("unit").alias("uid"))
+    named = units.select("unit", "marks", F.md5("unit").alias("uid"))
     windows = named.select("uid", F.explode(F.transform(
         F.sequence(F.lit(0), F.char_length("unit") - 1, F.lit(LONGEST)),
         lambda at: F.struct(at.alias("base"), F.substring(F.col("unit"), at + 1, F.lit(LONGEST + longest)).alias("part")))).alias("w"))
@@ -231,7 +233,7 @@ def long_lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int,
                         F.substring(F.col("w.part"), F.col("at") + 1, F.col("len")).alias("piece")).join(F.broadcast(pieces), "piece")
     edges = found.groupBy("uid").agg(F.collect_list(edge).alias("edges"))
     none = F.array().cast(edges.schema["edges"].dataType)
-    return named.join(edges, "uid", "left").select("unit", F.coalesce("edges", none).alias("edges"))
+    return named.join(edges, "uid", "left").select("unit", "marks", F.coalesce("edges", none).alias("edges"))
 
 
 def bpe_edge() -> Column:
@@ -365,7 +367,7 @@ def fold_viterbi(edges: Column, n: Column) -> tuple[Column, Column]:
 
 
 def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
-    """(unit, ids): every unit (unit) with its ids, 16 bits each.
+    """(unit, marks, ids): every different unit (unit, mark) with its marks, null ones left out, and its ids, 16 bits each.
 
     Units should come partitioned by unit, or they are shuffled for it. Many groups stay
     in a task's hash map (HELD_UNITS); that setting must hold until the caller's action, so it stays set.
@@ -374,19 +376,19 @@ def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
     if int(spark.conf.get(HASH_GROUPS)) < HELD_UNITS:
         spark.conf.set(HASH_GROUPS, HELD_UNITS)
     # The length comes from the aggregate, so that a filter on it isn't pushed into what makes the units.
-    units = units.groupBy("unit").agg(F.max(F.char_length("unit")).alias("n"))
+    units = units.groupBy("unit").agg(F.max(F.char_length("unit")).alias("n"), F.collect_list("mark").alias("marks"))
     short, long = units.where(F.col("n") <= LONGEST), units.where(F.col("n") > LONGEST)
     pieces, n = piece_table(spark, model), F.char_length("unit")
     if model.kind == BPE:
         # A generator between two projections keeps the sorted edges from being made anew for every use.
         found = lattice(short, pieces, min(model.longest, LONGEST), 2, bpe_edge())
-        found = found.select("unit", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
+        found = found.select("unit", "marks", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
         once, rounds = fold_merges(F.col("edges"), n)
-        found = found.select("unit", "edges", F.explode(F.array(once)).alias("mask"))
-        paths = found.select("unit", F.array(F.when(F.col("mask") >= 0, F.col("mask")).otherwise(rounds)).alias("path"))
+        found = found.select("unit", "marks", "edges", F.explode(F.array(once)).alias("mask"))
+        paths = found.select("unit", "marks", F.array(F.when(F.col("mask") >= 0, F.col("mask")).otherwise(rounds)).alias("path"))
         found = long_lattice(long, pieces, model.longest, 2, bpe_edge())
-        found = found.select("unit", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
-        paths = paths.unionByName(found.select("unit", fold_long_merges(F.col("edges"), n).alias("path")))
+        found = found.select("unit", "marks", F.explode(F.array(F.sort_array("edges"))).alias("edges"))
+        paths = paths.unionByName(found.select("unit", "marks", fold_long_merges(F.col("edges"), n).alias("path")))
     else:
         # A character outside the model costs more than any piece.
         unknown = min(model.scores.values(), default=0.0) - 10.0
@@ -395,18 +397,18 @@ def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
             .unionByName(long_lattice(long, pieces, model.longest, 1, edge))
         chars = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
             i.alias("start"), F.lit(1).alias("len"), F.lit(unknown).alias("score")))
-        found = found.select("unit", F.explode(F.array(F.array_sort(F.concat("edges", chars)))).alias("edges"))
+        found = found.select("unit", "marks", F.explode(F.array(F.array_sort(F.concat("edges", chars)))).alias("edges"))
         best, walk = fold_viterbi(F.col("edges"), n)
-        found = found.select("unit", F.explode(F.array(best)).alias("best"))
-        paths = found.select("unit", walk.cast("array<long>").alias("path"))
+        found = found.select("unit", "marks", F.explode(F.array(best)).alias("best"))
+        paths = found.select("unit", "marks", walk.cast("array<long>").alias("path"))
     masked = model.kind == BPE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [model.segment_ids(u, mask_ends(path, len(u)) if masked else path)
-                   for u, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["unit", "ids"])
-    return paths.mapInArrow(run, "unit string, ids binary")
+                   for u, path in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], ["unit", "marks", "ids"])
+    return paths.mapInArrow(run, "unit string, marks array<long>, ids binary")
 
 
 # --- texts ------------------------------------------------------------------------
@@ -431,18 +433,19 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
         some = rows.where(unit_hash(9, "mark") < SAMPLE_DOCS / max(1, n))
         often = count_units(some, model).where((F.col("n") > 1) & (F.char_length("unit") <= LONGEST))
         top = stored(often.orderBy(F.desc("n"), "unit").limit(HOT_UNITS).select("unit"), "hot-units")
-        hot = {r["unit"]: bytes(r["ids"]) for r in encode_units(top, model).toLocalIterator()}
+        hot = {r["unit"]: bytes(r["ids"]) for r in encode_units(top.withColumn("mark", F.lit(None).cast("long")), model).toLocalIterator()}
     shared = spark.sparkContext.broadcast(hot)
     chunks = max(1, -(-size // CHUNK_BYTES))
-    tasks = min(chunks, max(4 * spark.sparkContext.defaultParallelism, chunks // CHUNKS_PER_TASK))
-    # One shuffle of the texts: the pass that finds rare units and the one that writes ids both read it.
+    # One shuffle of the texts: the pass that finds rare units and the one that writes ids both read it. With fewer tasks
+    # than the session's shuffles have, the cogroup would shuffle them again.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chunks // CHUNKS_PER_TASK)
     rows = rows.select("doc_id", "text", F.pmod("mark", F.lit(chunks)).alias("chunk")).repartition(tasks, "chunk")
 
     def rare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.array(list(held), np.int64), [len(u) for u in held.values()])),
-                 pa.array(itertools.chain.from_iterable(held.values()), pa.string())], ["chunk", "unit"])
+                 pa.array(itertools.chain.from_iterable(held.values()), pa.string())], ["mark", "unit"])
             held.clear()
             return out
         known, held = shared.value.keys(), {}
@@ -453,8 +456,8 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
                 yield pairs()
         yield pairs()
     # A chunk's unit may come twice, where a worker has passed its units on early.
-    rare = rows.mapInArrow(rare_units, "chunk long, unit string").repartition(tasks, "unit")
-    coded = rare.join(encode_units(rare.select("unit"), model), "unit").select("chunk", "unit", "ids")
+    rare = rows.mapInArrow(rare_units, "mark long, unit string").repartition(tasks, "unit")
+    coded = encode_units(rare, model).select(F.explode("marks").alias("chunk"), "unit", "ids")
 
     def code(texts: pa.Table, own: pa.Table) -> pa.Table:
         get = shared.value.get
