@@ -448,10 +448,10 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
                  pa.array(itertools.chain.from_iterable(held.values()), pa.string())], ["mark", "unit"])
             held.clear()
             return out
-        known, held = shared.value.keys(), {}
+        known, held = shared.value, {}
         for batch in batches:
             for chunk, t in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(chunk, set()).update(set(model.units(t)) - known)
+                held.setdefault(chunk, set()).update(u for u in model.units(t) if u not in known)
             if sum(map(len, held.values())) > 10 * COUNTED:
                 yield pairs()
         yield pairs()
