@@ -417,6 +417,22 @@ ENCODED = "doc_id long, text string, ids array<int>"
 NO_ROWS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
 
 
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, chunk, size, packed) from (doc_id, chunk, text): texts compressed one by one, so that their shuffle is small."""
+    for batch in batches:
+        raw = batch.column(2).cast(pa.binary()).to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(map(len, raw), pa.int64(), size=len(raw)),
+             pa.array([pa.compress(t, "zstd", asbytes=True) if t else b"" for t in raw], pa.binary())],
+            ["doc_id", "chunk", "size", "packed"])
+
+
+def unpack(batch: pa.RecordBatch) -> list[str]:
+    """The texts of packed rows."""
+    return [pa.decompress(t, n, "zstd", asbytes=True).decode() if n else ""
+            for t, n in zip(batch.column("packed").to_pylist(), batch.column("size").to_pylist())]
+
+
 def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str = "text",
            then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: str = ENCODED) -> DataFrame:
     """(doc_id, text, ids): whole texts with their ids.
@@ -439,7 +455,8 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
     # One shuffle of the texts: the pass that finds rare units and the one that writes ids both read it. With fewer tasks
     # than the session's shuffles have, the cogroup would shuffle them again.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chunks // CHUNKS_PER_TASK)
-    rows = rows.select("doc_id", "text", F.pmod("mark", F.lit(chunks)).alias("chunk")).repartition(tasks, "chunk")
+    rows = rows.select("doc_id", F.pmod("mark", F.lit(chunks)).alias("chunk"), "text") \
+        .mapInArrow(pack, "doc_id long, chunk long, size long, packed binary").repartition(tasks, "chunk")
 
     def rare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> pa.RecordBatch:
@@ -450,7 +467,7 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
             return out
         known, held = shared.value, {}
         for batch in batches:
-            for chunk, t in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
+            for chunk, t in zip(batch.column(1).to_pylist(), unpack(batch)):
                 held.setdefault(chunk, set()).update(u for u in model.units(t) if u not in known)
             if sum(map(len, held.values())) > 10 * COUNTED:
                 yield pairs()
@@ -465,15 +482,16 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
         out = []
         for batch in texts.to_batches():
             lo = 0
-            for part in slices(batch.column("text").to_pylist()):
-                here, lo = batch.slice(lo, len(part)), lo + len(part)
+            for part in slices(unpack(batch)):
+                doc_ids = batch.column("doc_id").slice(lo, len(part))
+                lo += len(part)
                 different, place, n = unit_codes(model, part)
                 ids = [get(u) or more[u] for u in different.to_pylist()]
                 lengths = np.array([len(i) // 2 for i in ids], dtype=np.int64)
                 found, ends = gather(place, lengths, np.frombuffer(b"".join(ids), "<u2").astype(np.int32))
                 at = ends[np.concatenate([[0], np.cumsum(n)])].astype(np.int32)
                 coded_rows = pa.RecordBatch.from_arrays(
-                    [here.column("doc_id"), here.column("text"), pa.ListArray.from_arrays(pa.array(at), pa.array(found))],
+                    [doc_ids, pa.array(part, pa.string()), pa.ListArray.from_arrays(pa.array(at), pa.array(found))],
                     ["doc_id", "text", "ids"])
                 out.append(then(coded_rows) if then else coded_rows)
         return pa.Table.from_batches(out) if out else empty
