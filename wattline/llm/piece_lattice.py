@@ -122,8 +122,14 @@ class PieceModel:
 
 def mask_ends(masks: list[int], n: int) -> list[int]:
     """The boundaries after the first one, from masks of LONGEST characters each (a single mask holds one bit more)."""
-    width = LONGEST + (len(masks) == 1)
-    return [i for k, m in enumerate(masks) for i in range(max(1, k * LONGEST), min(n, k * LONGEST + width - 1) + 1)
+    if len(masks) == 1:
+        ends, rest = [], masks[0] & -2
+        while rest:
+            low = rest & -rest
+            ends.append(low.bit_length() - 1)
+            rest ^= low
+        return ends
+    return [i for k, m in enumerate(masks) for i in range(max(1, k * LONGEST), min(n, k * LONGEST + LONGEST - 1) + 1)
             if m >> (i - k * LONGEST) & 1]
 
 
@@ -220,20 +226,24 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge:
 
 
 def long_lattice(units: DataFrame, pieces: DataFrame, longest: int, least: int, edge: Column) -> DataFrame:
-    """The lattice of units of any length: substrings are cut from windows, so no exploded row holds a whole unit."""
-    named = units.select("unit", "marks", F.md5("unit").alias("uid"))
-    windows = named.select("uid", F.explode(F.transform(
+    """The lattice of units of any length: substrings are cut from windows, and only a unit's first one carries the unit."""
+    windows = units.select("unit", "marks", F.explode(F.transform(
         F.sequence(F.lit(0), F.char_length("unit") - 1, F.lit(LONGEST)),
-        lambda at: F.struct(at.alias("base"), F.substring(F.col("unit"), at + 1, F.lit(LONGEST + longest)).alias("part")))).alias("w"))
+        lambda at: F.struct(at.alias("base"), F.substring(F.col("unit"), at + 1, F.lit(LONGEST + longest)).alias("part"),
+                            F.md5("unit").alias("uid")))).alias("w"))
+    leads = F.col("w.base") == 0
+    windows = windows.select("w", F.when(leads, F.col("unit")).alias("unit"), F.when(leads, F.col("marks")).alias("marks"))
     n = F.char_length("w.part")
-    starts = windows.select("uid", "w", F.explode(F.sequence(F.lit(0), F.least(F.lit(LONGEST), n) - 1)).alias("at"))
-    cuts = starts.select("uid", "w", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("at")))).alias("len")) \
-        .where(F.col("len") >= least)
-    found = cuts.select("uid", (F.col("w.base") + F.col("at")).alias("start"), "len",
-                        F.substring(F.col("w.part"), F.col("at") + 1, F.col("len")).alias("piece")).join(F.broadcast(pieces), "piece")
-    edges = found.groupBy("uid").agg(F.collect_list(edge).alias("edges"))
-    none = F.array().cast(edges.schema["edges"].dataType)
-    return named.join(edges, "uid", "left").select("unit", "marks", F.coalesce("edges", none).alias("edges"))
+    starts = windows.select("*", F.explode(F.sequence(F.lit(0), F.least(F.lit(LONGEST), n) - 1)).alias("at"))
+    cuts = starts.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("at")))).alias("len"))
+    leads = (F.col("w.base") + F.col("at") == 0) & (F.col("len") == 1)
+    found = cuts.select(F.col("w.uid").alias("uid"), (F.col("w.base") + F.col("at")).alias("start"), "len",
+                        F.when(leads, F.col("unit")).alias("unit"), F.when(leads, F.col("marks")).alias("marks"),
+                        F.substring(F.col("w.part"), F.col("at") + 1, F.col("len")).alias("piece")) \
+        .join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | F.col("unit").isNotNull())
+    return found.groupBy("uid").agg(
+        F.first("unit", ignorenulls=True).alias("unit"), F.first("marks", ignorenulls=True).alias("marks"),
+        F.collect_list(F.when(F.col("id").isNotNull() & (F.col("len") >= least), edge)).alias("edges")).drop("uid")
 
 
 def bpe_edge() -> Column:
