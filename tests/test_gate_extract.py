@@ -1,6 +1,6 @@
 """G1-G8 borders and X0-X24 on hand-written texts."""
 from wattline.operators.extract import extract_fields
-from wattline.operators.gate import assemble_text, text_gate
+from wattline.operators.gate import assemble_text, gate_features, gate_reason, text_gate
 
 ANCH = "TARIFA CUENTA "
 
@@ -82,3 +82,19 @@ def test_assemble_text_order_and_limit(spark):
     assert out == {"f": "one\ntwo", "g": "b"}
     out = {r.file_path: r.text for r in assemble_text(pages, 2, skip_empty=True).collect()}
     assert out["g"] == "b"
+
+
+def test_rules_need_few_features(spark):
+    """The rules give the same over the needed features as over all; a text in order is upper-cased and counted by neither."""
+    pad = "x" * 80
+    texts = [None, "", " ", pad, ANCH + pad, "tarifa cuenta " + pad, "TARIFA cuenta " + pad, "tarifa No.  de\nservicio " + pad,
+             ANCH + "iBeRdRoLa " + pad, ANCH + "ıberdrola " + pad, "tarﬁfa rpu " + pad, ANCH + "IBERDROLA Categoría Tarif " + pad,
+             ANCH + "iberdrola división tarifaria " + pad, " " + ANCH + "|" * 400 + " ", "TARIFA CUENTA " + "1" * 80 + "|",
+             ANCH + "ñ中" * 50 + "|" * 60, ANCH + "cid:٣" * 50 + pad, ANCH + "cid:x" * 60, "TARIFA CUENTA RPU NO DE SERVICIO " + pad]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    whole = df.select("id", *gate_features("text")).select("id", gate_reason(80).alias("reason"))
+    assert [r.reason for r in whole.orderBy("id").collect()] == gate(spark, texts)
+    plan = text_gate(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("upper(") == 1 and plan.count("trim(text") == 1
+    lengths = {r.id: r.embedded_text_len for r in text_gate(df, lengths=True).collect()}
+    assert lengths == {i: None if t is None else len(t.strip()) for i, t in enumerate(texts)}

@@ -2,8 +2,11 @@
 import os
 
 
-from wattline.operators.paths import bill_listing, build_index
+from pyspark.sql import functions as F
+
+from wattline.operators.paths import bill_listing, build_index, path_predicate, read_listing
 from wattline.plans.incremental import done_files, read_bills_csv, read_progress
+from wattline.sources.rendered import render_bills
 
 FILES = {
     "mallA/7. Recibos CFE/LOCALES/2024/a.pdf": True,
@@ -61,3 +64,28 @@ def test_progress_done_set(spark, scratch):
         fh.write('{"file_path": "c", "status": "ok"}\n')
     done = sorted(r.file_path for r in done_files(read_progress(spark, p)).collect())
     assert done == ["a", "c"]
+
+
+def test_listing_rule_reads_a_path_once(spark):
+    """The rule is one pattern, also as a filter; it agrees with the rule on segments."""
+    def listed(path, root, folder):
+        if path is None or not path.startswith(root + "/"):
+            return False
+        *dirs, name = path[len(root) + 1:].split("/")
+        known = folder in root.split("/")
+        inside = len(dirs) <= 1 or dirs[1] == folder if known else dirs[:1] == [folder] if len(dirs) == 1 else len(dirs) > 1 and dirs[1] == folder
+        return name.lower().endswith(".pdf") and inside
+    folder = "7. Recibos CFE"
+    names = ["a.pdf", "a.PdF", ".pdf", "a.pdf\n", "a\nb.pdf", "a.xml", "pdf", ""]
+    dirs = ["", "m/", f"{folder}/", f"m/{folder}/", f"/{folder}/", f"m/{folder}/x/y/", f"{folder}/{folder}/", f"{folder}/x/", f"m/x/{folder}/", "m/7x Recibos CFE/", "//"]
+    for root in ("/bills", "/b.(ills", f"/r/{folder}"):
+        paths = [f"{r}/{d}{n}" for r in (root, "/bxills", "") for d in dirs for n in names] + [None, root, "\n" + root + "/a.pdf"]
+        df = spark.createDataFrame([(p,) for p in paths], "file_path string")
+        found = [r.ok for r in df.select(path_predicate(F.col("file_path"), root, folder).alias("ok")).collect()]
+        assert found == [listed(p, root, folder) for p in paths]
+        assert "split(" not in read_listing(df, root, folder)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_listing_renders_a_path_once(spark):
+    plan = render_bills(spark, "/root/testdata/sf0.001").listing._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("/Otros/") == 1
