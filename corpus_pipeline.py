@@ -15,8 +15,8 @@ from wattline.llm.common import apply_decisions, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that no language holds; the models are learned from the documents' own labels."""
-    return language_mix.keep_identified(docs, language_mix.fit(docs))
+    """Drops texts that no language holds; models and floors are learned from all of the documents' own labels."""
+    return language_mix.keep_identified(docs, language_mix.fit(docs, sample_docs=None))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

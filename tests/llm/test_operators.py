@@ -250,6 +250,24 @@ def test_unlearned_language_is_rejected(spark):
     assert kept == {i for i, _, _ in rows if not 9000 <= i < 9500}
 
 
+def test_pipeline_learns_from_all_labelled_documents(spark, monkeypatch):
+    """Models and floors of the pipeline's first stage don't come from a sample: they are there when a sample would be empty."""
+    monkeypatch.setattr(language_mix, "unit_hash", lambda seed, *cols: F.lit(2.0))
+    rng = random.Random(5)
+    rows = [(1000 * k + i, t, lang) for k, (lang, letters) in enumerate([("xx", "bdgklm"), ("yy", "nprstv")])
+            for i, t in enumerate(_invented(rng, letters, 40))]
+    rows += [(9000 + i, t, None) for i, t in enumerate(_invented(rng, "chjqwz", 10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {i for i, _, lang in rows if lang}
+    model = language_mix.fit(docs, sample_docs=None)
+    grams = Counter(g for i, t, lang in rows if lang == "xx" and zlib.crc32(str(i).encode()) % 5 for w in language_mix.words(t)
+                    for g in language_mix.trigrams(w))
+    assert {g for g, n in grams.items()} <= set(model.grams) and len(model.languages) == 2
+    total = sum(grams.values()) + language_mix.SMOOTHING * len(model.table)
+    assert all(abs(model.table[model.grams[g], 0] - np.log((n + language_mix.SMOOTHING) / total)) < 1e-9 for g, n in grams.items())
+
+
 def test_toxic_documents_that_are_all_long(spark):
     rng = random.Random(4)
     bad = ["vile", "scum", "filth"]

@@ -19,7 +19,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import per_process, small_batches, unit_hash
+from wattline.llm.common import per_process, small_batches, stored, unit_hash
 from wattline.llm.token_files import slices
 
 UNKNOWN = "und"
@@ -42,7 +42,7 @@ CACHE_ENTRIES = 200_000
 LEAST_SHARE = 0.3
 #: A text of fewer trigrams (some 35 words) is never rejected for their likelihood: a few names, links or a license line weigh too much in it.
 LEAST_TRIGRAMS = 200
-#: Lowest part of the labelled sample by likelihood; a language's floor lies below it by as much as it lies below the
+#: Lowest part of the labelled documents by likelihood; a language's floor lies below it by as much as it lies below the
 #: median, and by FLOOR_GAP (log likelihood a trigram) at least.
 FLOOR_PART, FLOOR_GAP = 0.01, 1.0
 WORD = re.compile(r"[^\W\d_]+")
@@ -69,8 +69,6 @@ class LanguageModel:
     languages: list[str]
     grams: dict[str, int]
     table: np.ndarray  # log likelihood of each trigram (the last row: any other) by language
-    #: Least mean log likelihood of a trigram of a text in a language, where one was learned.
-    floors: dict[str, float] = field(default_factory=dict)
 
     def word(self, word: str) -> np.ndarray:
         unseen = len(self.table) - 1
@@ -79,29 +77,48 @@ class LanguageModel:
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter] = {}
+    held: dict[str, Counter] = {}
+
+    def spend(lang: str) -> None:
+        into = counts.setdefault(lang, Counter())
+        for word, n in held.pop(lang).items():
+            for g in trigrams(word):
+                into[g] += n
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            into = counts.setdefault(lang, Counter())
-            for word, n in Counter(words(text)).items():
-                for g in trigrams(word):
-                    into[g] += n
+            seen = held.setdefault(lang, Counter())
+            seen.update(words(text))
+            if len(seen) > CACHE_ENTRIES:
+                spend(lang)
+    for lang in list(held):
+        spend(lang)
     rows = [(lang, g, n) for lang, c in counts.items() for g, n in c.items()]
     if rows:
         lang, gram, n = zip(*rows)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(gram), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
 
-def _sample(docs: DataFrame, sample_docs: int, key: str, text: str, lang: str, seed: int) -> DataFrame:
-    """(lang, docs, doc_id, text): a bounded seeded sample of the labelled, not held-out documents of each language."""
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)) \
+def _labelled(key: str, text: str, lang: str) -> Column:
+    """Whether a document may be learned from."""
+    return F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)
+
+
+def _sample(docs: DataFrame, sample_docs: int | None, key: str, text: str, lang: str, seed: int) -> DataFrame:
+    """(lang, doc_id, text) of the labelled, not held-out documents: all, or a bounded seeded sample of each language."""
+    known = docs.where(_labelled(key, text, lang)) \
         .select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    if sample_docs is None:
+        return known
     sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
     return known.join(F.broadcast(sizes), "lang").where(unit_hash(seed, "doc_id") < F.lit(float(sample_docs)) / F.col("docs"))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text", lang: str = "lang",
+def fit(docs: DataFrame, sample_docs: int | None = SAMPLE_DOCS, key: str = "doc_id", text: str = "text", lang: str = "lang",
         seed: int = 3) -> LanguageModel:
-    """Trigram likelihoods of each language from the sample; only its trigram counts reach the driver."""
+    """Trigram likelihoods of each language from the sample, or from all labelled documents (``sample_docs`` None).
+
+    Only the trigram counts reach the driver: they grow with the alphabets, not with the texts.
+    """
     small_batches(docs.sparkSession)
     picked = _sample(docs, sample_docs, key, text, lang, seed)
     counts = picked.select("lang", "text").mapInArrow(_count_rows, "lang string, gram string, n long") \
@@ -114,13 +131,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", te
     return LanguageModel(languages, grams, np.log(table / table.sum(0)) if languages else table)
 
 
-def with_floors(docs: DataFrame, model: LanguageModel, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text",
-                lang: str = "lang", seed: int = 3) -> LanguageModel:
-    """``model`` with the floors of its languages, from the likelihoods of the labelled sample's own texts."""
-    sample = _sample(docs, sample_docs, key, text, lang, seed).select("text")
-    found = sample.mapInArrow(_identify_rows(model, 0, []), _FOUND).where(F.col("__trigrams") >= LEAST_TRIGRAMS)
-    rows = found.groupBy("__lang").agg(F.percentile_approx("__depth", [FLOOR_PART, 0.5], 10_000).alias("q")).collect()
-    return replace(model, floors={r["__lang"]: r["q"][0] - max(r["q"][1] - r["q"][0], FLOOR_GAP) for r in rows})
+def floors_of(found: DataFrame) -> dict[str, float]:
+    """The floor of each language, from all labelled texts (``__labelled``) that were identified as it."""
+    deep = found.where(F.col("__labelled") & (F.col("__trigrams") >= LEAST_TRIGRAMS))
+    rows = deep.groupBy("__lang").agg(F.percentile_approx("__depth", [FLOOR_PART, 0.5], 10_000).alias("q")).collect()
+    return {r["__lang"]: r["q"][0] - max(r["q"][1] - r["q"][0], FLOOR_GAP) for r in rows}
 
 
 # --- mixture inference --------------------------------------------------------
@@ -242,14 +257,13 @@ def _identify_rows(model: LanguageModel, text_at: int, keep: list[int]):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(lo, len(texts)) for k in keep]
                     + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(top, pa.float64()),
-                       pa.array(sets, pa.list_(pa.string())), pa.array(size), pa.array(depth),
-                       pa.array([n >= LEAST_TRIGRAMS and d < model.floors.get(x, -np.inf) for x, n, d in zip(lang, size, depth)], pa.bool_())],
+                       pa.array(sets, pa.list_(pa.string())), pa.array(size), pa.array(depth)],
                     [batch.schema.names[k] for k in keep] + [f.split()[0] for f in _FOUND.split(", ")])
                 lo += len(texts)
     return run
 
 
-_FOUND = "__lang string, __score double, __share double, __set array<string>, __trigrams long, __depth double, __foreign boolean"
+_FOUND = "__lang string, __score double, __share double, __set array<string>, __trigrams long, __depth double"
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -267,15 +281,21 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", k
     A text is rejected if it has no letter, if its largest share is below
     LEAST_SHARE, or if it is in none of the learned languages: its trigrams are
     less likely than the floor of the language that suits it best, which is set
-    from the labelled documents (``with_floors``).
+    from all labelled documents (``floors_of``). The rows are stored with what
+    was found, so each text is identified once, for the floors and for itself.
     """
     small_batches(docs.sparkSession)
-    model = with_floors(docs, model, key=key, text=text, lang=lang) if model.languages else model
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    plain = docs.select("*", _labelled(key, text, lang)).toDF(*[f"c{i}" for i in range(len(names))], "__labelled")
     fields = T.StructType(plain.schema.fields + T._parse_datatype_string(_FOUND).fields)
-    found = plain.mapInArrow(_identify_rows(model, names.index(text), list(range(len(names)))), fields)
-    return found.where(~rejected("__lang", "__share") & ~F.col("__foreign")).select(*plain.columns).toDF(*names)
+    run = _identify_rows(model, names.index(text), list(range(len(names) + 1)))
+    found = stored(plain.mapInArrow(run, fields), "identified")
+    floors = floors_of(found)
+    known = found.where(~rejected("__lang", "__share"))
+    if floors:
+        floor = F.create_map(*[F.lit(x) for pair in floors.items() for x in pair])[F.col("__lang")]
+        known = known.where(~F.coalesce((F.col("__trigrams") >= LEAST_TRIGRAMS) & (F.col("__depth") < floor), F.lit(False)))
+    return known.select(*plain.columns[:-1]).toDF(*names)
 
 
 def rejected(lang: str = "lang_pred", share: str = "share") -> Column:
