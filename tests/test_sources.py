@@ -1,10 +1,11 @@
 """S1 listing over a real folder tree, S3 CSV read, S6 progress log, P1 paths."""
 import os
+import re
 
 
 from pyspark.sql import functions as F
 
-from wattline.operators.paths import bill_listing, build_index, path_predicate, read_listing
+from wattline.operators.paths import bill_listing, build_index, path_metadata, path_predicate, read_listing
 from wattline.plans.incremental import done_files, read_bills_csv, read_progress
 from wattline.sources.rendered import render_bills
 
@@ -89,3 +90,27 @@ def test_listing_rule_reads_a_path_once(spark):
 def test_listing_renders_a_path_once(spark):
     plan = render_bills(spark, "/root/testdata/sf0.001").listing._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("/Otros/") == 1
+
+
+def test_year_folder_is_one_pattern(spark):
+    """The first folder below the bills folder whose first year lies in the window; as on segments, without array functions."""
+    folder, root = "7. Recibos CFE", "/bi.lls"
+
+    def expected(path):
+        if path is None or not path.startswith(root + "/"):
+            return None, None
+        parts = path[len(root) + 1:].split("/")
+        below = parts[parts.index(folder) + 1:-1] if folder in parts else []
+        for seg in below:
+            found = re.search("(19|20)[0-9]{2}", seg)
+            if found and 1990 <= int(found[0]) <= 2035:
+                return seg, int(found[0])
+        return None, None
+    segments = ["2021", "1985-2024", "1989", "1990", "2035", "2036", "x 2019 y", "12021", "1920 2020", "a\n2022\nb", "2٠21", "", folder, "19 99", "191999", "2192005"]
+    paths = [f"{root}/{m}{folder}/{a}/{b}/{leaf}" for m in ("", "m/", "2001/", f"{folder}/", "a/b/") for a in segments for b in segments
+             for leaf in ("f.pdf", "2020")]
+    paths += [f"{root}/{folder}/2020", f"{root}/m/{folder}", f"{root}/2020/x.pdf", f"/other/{folder}/2020/x", f"/bixlls/{folder}/2020/x", "", None, f"{root}/{folder}/2020/"]
+    df = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    found = df.select(*path_metadata(F.col("file_path"), root, folder))
+    assert [(r.recibos_year_folder, r.recibos_year) for r in found.collect()] == [expected(p) for p in paths]
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
