@@ -59,12 +59,18 @@ CHUNKS_PER_TASK = 16
 SAMPLE_DOCS = 15_000
 #: Different units that a worker holds before it passes them on.
 COUNTED = 100_000
+#: The byte between a unit and its ids.
+UNIT_END = b"\xff"
 BPE, UNIGRAM = 2, 1
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Texts of other characters than these are cut at word marks only.
 _OTHER = re.compile(f"[^\t\n\r\x20-\x7e¡-ɏ{MARK}]")
 _FINE = re.compile(rf"{MARK}*[{_LETTER}]+|{MARK}*[^{_LETTER}{MARK}\n]+|{MARK}+|\n")
 _COARSE = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
+#: Kinds of the characters that ``_FINE`` cuts, by code point; the mark, the only one above them, is the last.
+_IS_MARK, _IS_LETTER, _IS_LINE, _IS_SIGN = range(4)
+_KINDS = np.array([_IS_LINE if c == 10 else _IS_LETTER if re.match(f"[{_LETTER}]", chr(c)) else _IS_SIGN
+                   for c in range(0x250)] + [_IS_MARK], dtype=np.uint8)
 
 
 @dataclass
@@ -133,11 +139,54 @@ def mask_ends(masks: list[int], n: int) -> list[int]:
             if m >> (i - k * LONGEST) & 1]
 
 
+def split_fine(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All units that ``_FINE`` finds in texts of its characters, how many each text has, and the texts with a unit above LONGEST.
+
+    On arrays of characters: a unit is a run of letters or of signs with the
+    marks before it, a run of marks before anything else, or a line feed.
+    """
+    escaped = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+    whole = "".join(escaped)
+    bounds = np.concatenate([[0], np.cumsum(np.array([len(t) for t in escaped], dtype=np.int64))]).astype(np.int64)
+    chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    if not len(chars):
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64), np.zeros(0, np.int64)
+    kind = _KINDS[np.minimum(chars, 0x250)]
+    start = np.ones(len(chars), bool)
+    attached = (kind[:-1] == _IS_MARK) & (kind[1:] != _IS_LINE)
+    start[1:] = (kind[1:] == _IS_LINE) | ((kind[1:] != kind[:-1]) & ~attached)
+    start[bounds[bounds < len(chars)]] = True
+    at = np.flatnonzero(start)
+    bytes_before = np.concatenate([[0], np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800), dtype=np.int64)])
+    offsets = bytes_before[np.concatenate([at, [len(chars)]])].astype(np.int32)
+    units = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(whole.encode()))
+    too_long = at[np.diff(np.concatenate([at, [len(chars)]])) > LONGEST]
+    return units, np.diff(np.searchsorted(at, bounds)), np.unique(np.searchsorted(bounds, too_long, side="right") - 1)
+
+
+def all_units(model: PieceModel, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The units of texts in order (``PieceModel.units`` of each), and how many each text has."""
+    plain = np.array([model.fine and not _OTHER.search(t) for t in texts], dtype=bool)
+    units, n_plain, too_long = split_fine([t for t, p in zip(texts, plain) if p])
+    if len(too_long):
+        plain[np.flatnonzero(plain)[too_long]] = False
+        units, n_plain, _ = split_fine([t for t, p in zip(texts, plain) if p])
+    if plain.all():
+        return units, n_plain
+    others = [model.units(t) for t, p in zip(texts, plain) if not p]
+    n, first = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    n[plain], n[~plain] = n_plain, [len(u) for u in others]
+    first[plain] = np.cumsum(n_plain) - n_plain
+    first[~plain] = len(units) + np.cumsum(n[~plain]) - n[~plain]
+    every = pa.concat_arrays([units, pa.array(itertools.chain.from_iterable(others), pa.string())])
+    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return every.take(pa.array(at)), n
+
+
 def unit_codes(model: PieceModel, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The different units of texts, each text's units as places among them, and how many each text has."""
-    units = [model.units(t) for t in texts]
-    n = np.array([len(u) for u in units], dtype=np.int64)
-    coded = pa.array(itertools.chain.from_iterable(units), pa.string(), size=int(n.sum())).dictionary_encode()
+    units, n = all_units(model, texts)
+    coded = units.dictionary_encode()
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), n
 
 
@@ -477,18 +526,28 @@ def encode(docs: DataFrame, model: PieceModel, key: str = "doc_id", text: str =
             return out
         known, held = shared.value, {}
         for batch in batches:
-            for chunk, t in zip(batch.column(1).to_pylist(), unpack(batch)):
-                held.setdefault(chunk, set()).update(u for u in model.units(t) if u not in known)
+            chunks_of, lo = batch.column(1).to_numpy(), 0
+            for part in slices(unpack(batch)):
+                different, place, n = unit_codes(model, part)
+                names, which = np.unique(chunks_of[lo:lo + len(part)], return_inverse=True)
+                lo += len(part)
+                words = different.to_pylist()
+                rare = np.array([w not in known for w in words], dtype=bool)[place] if words else np.zeros(0, bool)
+                pairs_of = np.unique(np.repeat(which, n)[rare] * len(words) + place[rare])
+                for c, w in zip(names[pairs_of // max(1, len(words))].tolist(), (pairs_of % max(1, len(words))).tolist()):
+                    held.setdefault(c, set()).add(words[w])
             if sum(map(len, held.values())) > 10 * COUNTED:
                 yield pairs()
         yield pairs()
     # A chunk's unit may come twice, where a worker has passed its units on early.
     rare = rows.mapInArrow(rare_units, "mark long, unit string").repartition(tasks, "unit")
-    coded = encode_units(rare, model).select(F.explode("marks").alias("chunk"), "unit", "ids")
+    # One column for a unit and its ids takes less room in the shuffle; no UTF-8 text holds the byte between them.
+    coded = encode_units(rare, model).select(F.explode("marks").alias("chunk"), F.concat(
+        F.col("unit").cast("binary"), F.lit(UNIT_END), F.col("ids")).alias("coded"))
 
     def code(texts: pa.Table, own: pa.Table) -> pa.Table:
         get = shared.value.get
-        more = dict(zip(own["unit"].to_pylist(), own["ids"].to_pylist()))
+        more = {unit.decode(): ids for unit, _, ids in (c.partition(UNIT_END) for c in own["coded"].to_pylist())}
         out = []
         for batch in texts.to_batches():
             lo = 0
