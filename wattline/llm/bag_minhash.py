@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import ARROW_ROWS, HASH_GROUPS, row_mark, small_batches, stored, temporaries, text_or_empty
+from wattline.llm.common import ARROW_ROWS, HASH_GROUPS, release_shuffles, row_mark, small_batches, stored, temporaries, text_or_empty
 from wattline.llm.components import connected_components
 
 SHINGLE = 5
@@ -239,11 +239,16 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return stored(rows.mapInArrow(_sign_rows, "row long, doc_id long, mark binary, bag binary, bands array<long>"), "sketch")
 
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """Different pairs (a, b) of each bucket's smallest node and its other members."""
+def _shared(buckets: DataFrame) -> DataFrame:
+    """(band, node, first) of the buckets that hold several nodes, ``first`` the smallest of them; no other bucket holds a pair."""
     first = stored(buckets.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
                    .where("first != last").select("band", "first"), "buckets")
-    star = buckets.join(first, "band").where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    return stored(buckets.join(first, "band").select("band", "node", "first"), "shared-buckets")
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """Different pairs (a, b) of each bucket's smallest node and its other members."""
+    star = shared.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     return stored(star.distinct(), "stars")
 
 
@@ -321,17 +326,33 @@ def _compare_blocks(threshold: float):
     return run
 
 
+def _different(split: DataFrame) -> DataFrame:
+    """The rows of one bucket of those that hold the same nodes: the others would repeat its comparisons.
+
+    128 bits stand for the nodes of a bucket, as they do for a text.
+    """
+    nodes = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"nodes_{seed}") for seed in (1, 2)]
+    named = split.groupBy("band").agg(F.count("*").alias("n"), *nodes)
+    kept = named.groupBy("n", "nodes_1", "nodes_2").agg(F.min("band").alias("band")).select("band")
+    return stored(split.join(stored(kept, "different-buckets"), "band", "left_semi"), "different")
+
+
 def _block_links(split: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links that join components of the members of split buckets, whatever pair of members they need."""
+    split = _different(split)
     sized = split.join(sets.select("node", F.size("elements").alias("n")), "node")
     blocks = stored(sized.groupBy("band").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("n_blocks")), "block-counts")
     dealt = split.join(blocks, "band").select(
-        "band", "node", "component", F.pmod(F.xxhash64("node"), F.greatest("n_blocks", F.lit(1))).alias("block"))
+        "band", "n_blocks", "node", "component", F.pmod(F.xxhash64("node"), F.greatest("n_blocks", F.lit(1))).alias("block"))
     blocks = stored(dealt.join(sets, "node").groupBy("band", "block").agg(
+        F.max("n_blocks").alias("n_blocks"),
         F.collect_list(F.struct("node", "component", "elements")).alias("members")), "blocks", groups=(HASH_GROUPS, 1_000))
-    other = blocks.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
-    pairs = blocks.join(other, "band").where("block <= other")
-    found = pairs.select("members", "others").mapInArrow(_compare_blocks(threshold), "a long, b long")
+    # A bucket of one block meets itself alone: only the blocks of larger ones are exchanged.
+    alone = blocks.where("n_blocks <= 1").select("members", F.col("members").alias("others"))
+    several = blocks.where("n_blocks > 1").select("band", "block", "members")
+    other = several.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
+    pairs = several.join(other, "band").where("block <= other").select("members", "others").unionByName(alone)
+    found = pairs.mapInArrow(_compare_blocks(threshold), "a long, b long")
     return stored(found, "block-links", rows=(ARROW_ROWS, 32))
 
 
@@ -364,11 +385,13 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
         nodes = stored(rows.groupBy("bag").agg(F.min("row").alias("node")), "nodes")
         heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
         buckets = stored(heads.select("node", F.explode("bands").alias("band")), "bands")
+        buckets = _shared(buckets)
         pairs = _stars(buckets)
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = _element_sets(docs, nodes.join(wanted, "node", "left_semi"), key, text)
         links = stored(_linked(pairs, sets, threshold), "links")
         labels = connected_components(links)
+        release_shuffles(docs.sparkSession)
         for step in range(ROUNDS + 1):
             split = _split(buckets, labels)
             if split.isEmpty():
@@ -378,6 +401,9 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
             if not more.isEmpty():
                 links = links.unionByName(more)
                 labels = connected_components(links)
+            # Components only grow, so a bucket of one component stays so; the shuffles of the round are not needed again.
+            buckets = split.select("band", "node")
+            release_shuffles(docs.sparkSession)
         classes = nodes.join(labels, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
         members = keep(rows.select("row", "doc_id", "mark", "bag").join(classes, "bag"), "members")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
