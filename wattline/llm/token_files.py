@@ -22,6 +22,7 @@ An empty table gives an empty result.
 """
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 import zlib
@@ -123,8 +124,11 @@ class TextEncoder:
         self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = [0, *itertools.accumulate(4 * len(i) for i in ids)]
+        # One array for all of them: a pre-token has few ids, and an array of its own would cost more than they do.
+        every = np.fromiter(itertools.chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
+        return [every[a:b] for a, b in itertools.pairwise(ends)]
 
     def _plain(self, text: str) -> bool:
         return (text.isascii() and not _CONTROL.search(text) or not _OTHER.search(text)) \
