@@ -1,5 +1,6 @@
 """Operator 10: which buckets its steps read, and that no link is lost by reading fewer."""
 from wattline.llm import bag_minhash
+from wattline.llm.components import connected_components
 
 
 def test_only_shared_buckets_are_read_again(spark):
@@ -20,3 +21,21 @@ def test_buckets_of_the_same_nodes_are_compared_once(spark, monkeypatch):
     sets = spark.createDataFrame([(n, v) for n, v in values.items()], "node long, elements array<long>")
     links = {tuple(sorted((r["a"], r["b"]))) for r in bag_minhash._block_links(split, sets, 0.8).collect()}
     assert links == {(1, 2), (20, 31)}
+
+
+def test_components_of_few_edges_write_few_files(spark):
+    """Many shuffle partitions don't become as many tasks and files of a few rows."""
+    few = spark.sparkContext.defaultParallelism
+    held = {"spark.sql.shuffle.partitions": str(5 * few), "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(2 * i, 2 * i + 1) for i in range(100)] + [(7, 7), (500, 500)], "a long, b long")
+        found = connected_components(edges)
+        assert len(found.inputFiles()) <= few
+        assert {r["node"]: r["component"] for r in found.collect()} == {n: n - n % 2 for n in range(200)} | {500: 500}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

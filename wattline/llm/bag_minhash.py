@@ -33,7 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import ARROW_ROWS, HASH_GROUPS, release_shuffles, row_mark, small_batches, stored, temporaries, text_or_empty
+from wattline.llm.common import (
+    ARROW_ROWS, HASH_GROUPS, gathered, release_shuffles, row_mark, small_batches, stored, temporaries, text_or_empty,
+)
 from wattline.llm.components import connected_components
 
 SHINGLE = 5
@@ -241,28 +243,37 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 def _shared(buckets: DataFrame) -> DataFrame:
     """(band, node, first) of the buckets that hold several nodes, ``first`` the smallest of them; no other bucket holds a pair."""
-    first = stored(buckets.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-                   .where("first != last").select("band", "first"), "buckets")
-    return stored(buckets.join(first, "band").select("band", "node", "first"), "shared-buckets")
+    n = buckets.count()
+    first = buckets.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    first = stored(gathered(first.where("first != last").select("band", "first"), n), "buckets")
+    return stored(gathered(buckets.join(first, "band").select("band", "node", "first"), n), "shared-buckets")
 
 
 def _stars(shared: DataFrame) -> DataFrame:
     """Different pairs (a, b) of each bucket's smallest node and its other members."""
     star = shared.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    return stored(star.distinct(), "stars")
+    return stored(gathered(star.distinct(), shared.count()), "stars")
 
 
-def _split(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(band, node, component, size) of the members of buckets that hold more than one component."""
-    named = stored(buckets.join(labels, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")), "named-buckets")
+def _renamed(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """``df`` with the components in ``column`` named anew by ``names`` (node, component); others keep their names."""
+    names = names.select(F.col("node").alias(column), F.col("component").alias("_name"))
+    return df.join(names, column, "left").withColumn(column, F.coalesce("_name", column)).drop("_name")
+
+
+def _split(named: DataFrame) -> DataFrame:
+    """(band, node, component, size) of the members of buckets (band, node, component) that hold more than one component."""
+    named = stored(named, "named-buckets")
     split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                       F.count("*").alias("size")).where("low != high")
-    return stored(named.join(stored(split.select("band", "size"), "split-buckets"), "band"), "split")
+    split = stored(gathered(split.select("band", "size"), named.count()), "split-buckets")
+    return stored(named.join(split, "band").select("band", "node", "component", "size"), "split")
 
 
 def _centre_pairs(split: DataFrame, seed: int) -> DataFrame:
-    """Different pairs of members of split buckets and a few seeded nodes of other components in their buckets.
+    """Different pairs (a, b) of members of split buckets and a few seeded nodes of other components in their buckets.
+
+    ``low`` and ``high`` are the two components.
 
     The same nodes tend to be drawn in all buckets of a group, so pairs stay few.
     """
@@ -271,8 +282,10 @@ def _centre_pairs(split: DataFrame, seed: int) -> DataFrame:
         .select("band", F.col("node").alias("centre"), F.col("component").alias("other"))
     largest = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("size"), "band"))
     members = split.withColumn("rank", largest).where(F.col("rank") <= ROUND_BUCKETS)
-    pairs = members.join(stored(centres, "centres"), "band").where("component != other") \
-        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    centres = stored(gathered(centres, split.count()), "centres")
+    pairs = members.join(centres, "band").where("component != other") \
+        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"),
+                F.least("component", "other").alias("low"), F.greatest("component", "other").alias("high"))
     return stored(pairs.distinct(), "centre-pairs")
 
 
@@ -291,10 +304,10 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare_blocks(threshold: float):
-    """Links (a, b) between two blocks: enough of them to join every two components that any pair of them joins."""
+    """Links (a, b) between two blocks, with their components: enough to join every two components that any pair of them joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, ...]] = []
             for i in range(batch.num_rows):
                 blocks = [batch.column(0)[i].values, batch.column(1)[i].values]
                 (node_a, comp_a), (node_b, comp_b) = ((x.field(0).to_numpy(), x.field(1).to_numpy()) for x in blocks)
@@ -320,9 +333,9 @@ def _compare_blocks(threshold: float):
                     x, y = top(int(comp_a[p])), top(int(comp_b[q]))
                     if x != y:
                         root[max(x, y)] = min(x, y)
-                        found.append((int(node_a[p]), int(node_b[q])))
-            a, b = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                        found.append((int(node_a[p]), int(node_b[q]), int(comp_a[p]), int(comp_b[q])))
+            columns = zip(*found) if found else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "low", "high"])
     return run
 
 
@@ -352,18 +365,18 @@ def _block_links(split: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     several = blocks.where("n_blocks > 1").select("band", "block", "members")
     other = several.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
     pairs = several.join(other, "band").where("block <= other").select("members", "others").unionByName(alone)
-    found = pairs.mapInArrow(_compare_blocks(threshold), "a long, b long")
+    found = pairs.mapInArrow(_compare_blocks(threshold), "a long, b long, low long, high long")
     return stored(found, "block-links", rows=(ARROW_ROWS, 32))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose multisets overlap by the threshold or more."""
+    """The pairs (a, b and more columns) whose multisets overlap by the threshold or more."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
     both = F.size(F.array_intersect("ea", "eb"))
     least = F.least(F.size("ea"), F.size("eb")) / F.greatest(F.size("ea"), F.size("eb"))
     joined = pairs.join(right, "b").join(left, "a").where(least >= threshold)
-    return joined.where(both >= threshold * (F.size("ea") + F.size("eb") - both) - 1e-9).select("a", "b")
+    return joined.where(both >= threshold * (F.size("ea") + F.size("eb") - both) - 1e-9).select(*pairs.columns)
 
 
 def _element_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
@@ -392,19 +405,25 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id
         links = stored(_linked(pairs, sets, threshold), "links")
         labels = connected_components(links)
         release_shuffles(docs.sparkSession)
+        component = F.coalesce("component", "node")
+        named, renames = buckets.join(labels, "node", "left").select("band", "node", component.alias("component")), []
         for step in range(ROUNDS + 1):
-            split = _split(buckets, labels)
+            split = _split(named)
             if split.isEmpty():
                 break
             more = stored(_linked(_centre_pairs(split, step), sets, threshold), "links") if step < ROUNDS \
                 else _block_links(split, sets, threshold)
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                labels = connected_components(links)
             # Components only grow, so a bucket of one component stays so; the shuffles of the round are not needed again.
-            buckets = split.select("band", "node")
+            named = split.select("band", "node", "component")
+            if not more.isEmpty():
+                # The round's links join components: these few are named anew, not all nodes.
+                renames.append(connected_components(more.select(F.col("low").alias("a"), F.col("high").alias("b"))))
+                named = _renamed(named, renames[-1], "component")
             release_shuffles(docs.sparkSession)
-        classes = nodes.join(labels, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
+        classes = nodes.join(labels, "node", "left").select("bag", component.alias("class"))
+        for names in renames:
+            classes = _renamed(classes, names, "class")
+        classes = stored(classes, "named-bags")
         members = keep(rows.select("row", "doc_id", "mark", "bag").join(classes, "bag"), "members")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
         sizes = members.groupBy("class").agg(first.alias("first"), F.count("*").alias("class_size"))

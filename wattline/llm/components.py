@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import stored
+from wattline.llm.common import gathered, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,30 +20,39 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Self-loops, repeated edges and both directions are allowed; edges with a
     null end are ignored. No edges give no rows.
     """
-    both = edges.where("a is not null and b is not null").select("a", "b")
-    rest = stored(both.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                  "edges")
-    labels = both.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("component"))
-    labels = stored(labels, "labels")
-    while not rest.isEmpty():
-        ends = rest.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("b").alias("m")),
-                                             F.struct(F.col("b").alias("n"), F.col("a").alias("m")))).alias("e"))
-        smallest = ends.groupBy(F.col("e.n").alias("node")).agg(F.min("e.m").alias("parent"))
-        parents = _roots(stored(smallest.where("parent < node"), "parents"))
-        labels = stored(labels.join(parents.withColumnRenamed("node", "component"), "component", "left")
-                        .select("node", F.coalesce("parent", "component").alias("component")), "labels")
+    both = edges.where("a is not null and b is not null")
+    first = stored(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    left = first.count()
+    nodes, smallest = 2 * left, _smallest(first, left)
+    labels = smallest.select("node", F.col("node").alias("component"))
+    rest = first.where("a != b")
+    while left:
+        parents = _roots(smallest.where("parent < node"), left)
+        named = labels.join(parents.withColumnRenamed("node", "component"), "component", "left") \
+            .select("node", F.coalesce("parent", "component").alias("component"))
+        labels = stored(gathered(named, nodes), "labels")
         moved = rest.join(parents.select(F.col("node").alias("a"), F.col("parent").alias("pa")), "a", "left") \
             .join(parents.select(F.col("node").alias("b"), F.col("parent").alias("pb")), "b", "left") \
             .select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")).where("a != b")
-        rest = stored(moved.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        rest = stored(gathered(moved.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), left), "edges")
+        left = rest.count()
+        if left:
+            smallest = _smallest(rest, left)
     return labels
 
 
-def _roots(parents: DataFrame) -> DataFrame:
-    """Each node's last ancestor, by pointer doubling (parents are smaller than their children)."""
+def _smallest(edges: DataFrame, n: int) -> DataFrame:
+    """(node, parent): the smallest neighbour of every node of ``n`` edges (a, b)."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("b").alias("m")),
+                                          F.struct(F.col("b").alias("n"), F.col("a").alias("m")))).alias("e"))
+    return stored(gathered(ends.groupBy(F.col("e.n").alias("node")).agg(F.min("e.m").alias("parent")), 2 * n), "parents")
+
+
+def _roots(parents: DataFrame, n: int) -> DataFrame:
+    """Each node's last ancestor, by pointer doubling (parents of ``n`` edges, smaller than their children)."""
     while True:
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        jumped = stored(parents.join(up, "parent", "left"), "jumped")
+        jumped = stored(gathered(parents.join(up, "parent", "left"), 2 * n), "jumped")
         if jumped.where("above is not null").isEmpty():
             return parents
         parents = jumped.select("node", F.coalesce("above", "parent").alias("parent"))
