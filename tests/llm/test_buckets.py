@@ -39,3 +39,25 @@ def test_components_of_few_edges_write_few_files(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_the_largest_component_is_not_compared_with_itself(spark, monkeypatch):
+    """Blocks meet in tiles without a join, and every link between components is found."""
+    monkeypatch.setattr(bag_minhash, "BLOCK_SHINGLES", 40)
+    monkeypatch.setattr(bag_minhash, "TILE", 2)
+    met, real = spark.sparkContext.accumulator(0), bag_minhash._overlaps
+
+    def counted(left, right):
+        met.add(1)
+        return real(left, right)
+    monkeypatch.setattr(bag_minhash, "_overlaps", counted)
+    main, rest = list(range(1, 81)), list(range(100, 140))
+    split = spark.createDataFrame([(5, n, 1 if n in main else n, 120) for n in main + rest], "band long, node long, component long, size long")
+    values = {n: [1000 * n + k for k in range(10)] for n in main + rest}
+    values |= {100: values[40], 120: values[7], 139: values[125]}
+    sets = spark.createDataFrame(list(values.items()), "node long, elements array<long>")
+    links = bag_minhash._block_links(split, sets, 0.8).collect()
+    assert {tuple(sorted((r["a"], r["b"]))) for r in links} == {(40, 100), (7, 120), (125, 139)}
+    assert {tuple(sorted((r["low"], r["high"]))) for r in links} == {(1, 100), (1, 120), (125, 139)}
+    # 20 blocks of the component by 10 of the others, and these by each other once.
+    assert 0 < met.value <= 20 * 10 + 10 * 11 // 2

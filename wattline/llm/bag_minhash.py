@@ -48,6 +48,8 @@ CENTRES, ROUNDS = 16, 2
 ROUND_BUCKETS = 1
 #: Shingles of a bucket's members that one block holds, about (a longer document is a block of its own).
 BLOCK_SHINGLES = 16_000
+#: Blocks that a tile takes from each side, and tiles that are gathered in a hash map at once.
+TILE, TILES_AT_ONCE = 8, 64
 #: Words of documents that are signed together within a worker.
 SLICE_WORDS = 400_000
 
@@ -303,37 +305,40 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return incidence(left) @ incidence(right).T
 
 
-def _compare_blocks(threshold: float):
-    """Links (a, b) between two blocks, with their components: enough to join every two components that any pair of them joins."""
+def _compare_tiles(threshold: float):
+    """Links (a, b) of a tile, with their components: enough to join every two components that any compared pair joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[int, ...]] = []
             for i in range(batch.num_rows):
-                blocks = [batch.column(0)[i].values, batch.column(1)[i].values]
-                (node_a, comp_a), (node_b, comp_b) = ((x.field(0).to_numpy(), x.field(1).to_numpy()) for x in blocks)
-                apart = comp_a[:, None] != comp_b[None, :]
-                if not apart.any():
-                    continue
-                sets = []
-                for x in blocks:
-                    lists = x.field(2)
-                    at = lists.offsets.to_numpy()
-                    values = lists.values.to_numpy()
-                    sets.append([values[p:q] for p, q in zip(at[:-1], at[1:])])
-                n_a, n_b = (np.array([len(x) for x in y], dtype=np.float64) for y in sets)
-                both = _overlaps(*sets).astype(np.float64)
-                hits = np.nonzero(apart & (both >= threshold * (n_a[:, None] + n_b[None, :] - both) - 1e-9))
+                lane, group, members = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].values
+                block, node, component = (members.field(k).to_numpy() for k in range(3))
+                at, values = members.field(3).offsets.to_numpy(), members.field(3).values.to_numpy()
+                blocks = {}
+                for b in np.unique(block):
+                    rows = np.flatnonzero(block == b)
+                    blocks[int(b)] = rows, [values[at[r]:at[r + 1]] for r in rows], (at[rows + 1] - at[rows]).astype(np.float64)
                 root: dict[int, int] = {}
 
                 def top(c: int) -> int:
                     while root.get(c, c) != c:
                         c = root[c]
                     return c
-                for p, q in zip(*hits):
-                    x, y = top(int(comp_a[p])), top(int(comp_b[q]))
-                    if x != y:
-                        root[max(x, y)] = min(x, y)
-                        found.append((int(node_a[p]), int(node_b[q]), int(comp_a[p]), int(comp_b[q])))
+                for p, (rows_p, sets_p, n_p) in blocks.items():
+                    for q, (rows_q, sets_q, n_q) in blocks.items():
+                        if p < 0 or p // TILE != group or q // TILE != lane or 0 <= q < p:
+                            continue
+                        apart = component[rows_p][:, None] != component[rows_q][None, :]
+                        if not apart.any():
+                            continue
+                        both = _overlaps(sets_p, sets_q).astype(np.float64)
+                        hits = apart & (both >= threshold * (n_p[:, None] + n_q[None, :] - both) - 1e-9)
+                        for k, m in zip(*np.nonzero(hits)):
+                            a, b = int(rows_p[k]), int(rows_q[m])
+                            x, y = top(int(component[a])), top(int(component[b]))
+                            if x != y:
+                                root[max(x, y)] = min(x, y)
+                                found.append((int(node[a]), int(node[b]), int(component[a]), int(component[b])))
             columns = zip(*found) if found else ((),) * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "low", "high"])
     return run
@@ -351,22 +356,43 @@ def _different(split: DataFrame) -> DataFrame:
 
 
 def _block_links(split: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links that join components of the members of split buckets, whatever pair of members they need."""
+    """Links that join components of the members of split buckets, whatever pair of members they need.
+
+    A bucket's largest component has blocks of its own: these meet the blocks
+    of the others, never each other, so a large group costs its size times its
+    few members that are still apart. Blocks meet in tiles of up to ``TILE``
+    from each side, gathered like any group: a join of the blocks by bucket
+    would hold all of a large bucket on both sides.
+    """
     split = _different(split)
     sized = split.join(sets.select("node", F.size("elements").alias("n")), "node")
-    blocks = stored(sized.groupBy("band").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("n_blocks")), "block-counts")
-    dealt = split.join(blocks, "band").select(
-        "band", "n_blocks", "node", "component", F.pmod(F.xxhash64("node"), F.greatest("n_blocks", F.lit(1))).alias("block"))
-    blocks = stored(dealt.join(sets, "node").groupBy("band", "block").agg(
-        F.max("n_blocks").alias("n_blocks"),
-        F.collect_list(F.struct("node", "component", "elements")).alias("members")), "blocks", groups=(HASH_GROUPS, 1_000))
-    # A bucket of one block meets itself alone: only the blocks of larger ones are exchanged.
-    alone = blocks.where("n_blocks <= 1").select("members", F.col("members").alias("others"))
-    several = blocks.where("n_blocks > 1").select("band", "block", "members")
-    other = several.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
-    pairs = several.join(other, "band").where("block <= other").select("members", "others").unionByName(alone)
-    found = pairs.mapInArrow(_compare_blocks(threshold), "a long, b long, low long, high long")
-    return stored(found, "block-links", rows=(ARROW_ROWS, 32))
+    parts = sized.groupBy("band", "component").agg(F.sum("n").alias("n"))
+    counts = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+
+    def n_blocks(n: Column) -> Column:
+        return F.greatest(F.ceil(n / F.lit(BLOCK_SHINGLES)), F.lit(1))
+    one = F.col("n") <= BLOCK_SHINGLES
+    counts = counts.select("band", F.when(~one, F.col("main.component")).alias("main"), n_blocks(F.col("main.n")).alias("n_main"),
+                           F.when(one, F.lit(1)).otherwise(n_blocks(F.col("n") - F.col("main.n"))).alias("n_rest"))
+    counts = stored(counts, "block-counts")
+    # Blocks and lanes of the largest component are numbered downwards from -1. A small bucket is one block.
+    mixed = F.xxhash64("node")
+    block = F.when(F.col("component") == F.col("main"), -1 - F.pmod(mixed, "n_main")).otherwise(F.pmod(mixed, "n_rest"))
+    dealt = split.join(counts, "band").select("band", "main", "n_main", "n_rest", "node", "component", block.alias("block"))
+    own, last = F.floor(F.col("block") / TILE), F.floor((F.col("n_rest") - 1) / TILE)
+    first = F.when(F.col("main").isNull(), F.lit(0)).otherwise(F.floor(-F.col("n_main") / TILE))
+    lanes = F.transform(F.sequence(F.lit(0).cast("long"), F.when(F.col("block") < 0, last).otherwise(own)),
+                        lambda g: F.struct(own.alias("lane"), g.alias("group")))
+    groups = F.transform(F.array_union(F.sequence(first.cast("long"), F.lit(0).cast("long")), F.sequence(F.lit(0).cast("long"), last)),
+                         lambda k: F.struct(k.alias("lane"), own.alias("group")))
+    groups = F.filter(groups, lambda t: (t["lane"] < 0) | (t["lane"] >= t["group"]))
+    tiles = F.when(F.col("block") < 0, lanes).otherwise(F.array_union(lanes, groups))
+    placed = dealt.select("band", "node", "component", "block", F.explode(tiles).alias("tile"))
+    tiles = placed.join(sets, "node").groupBy("band", "tile").agg(
+        F.collect_list(F.struct("block", "node", "component", "elements")).alias("members"))
+    found = tiles.select("tile.lane", "tile.group", "members") \
+        .mapInArrow(_compare_tiles(threshold), "a long, b long, low long, high long")
+    return stored(found, "block-links", rows=(ARROW_ROWS, 8), groups=(HASH_GROUPS, TILES_AT_ONCE))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
